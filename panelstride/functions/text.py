@@ -111,7 +111,7 @@ def entity_from_filename(path) -> Column:
 
 def parse_day_first(c, pattern: str = "dd-MM-yyyy") -> Column:
     """Strict day-first date text -> DATE; anything else -> null."""
-    return F.try_to_date(F.trim(as_col(c).cast("string")), F.lit(pattern))
+    return F.try_to_date(F.trim(as_col(c).cast("string")), pattern)
 
 
 LENIENT_DATE_PATTERNS = ("dd-MM-yyyy", "dd.MM.yyyy", "dd/MM/yyyy", "yyyy-MM-dd",
@@ -125,4 +125,4 @@ def parse_date_lenient(c, patterns: tuple[str, ...] = LENIENT_DATE_PATTERNS) ->
     """
     text = F.trim(as_col(c).cast("string"))
     head = F.regexp_extract(text, r"^(\S+)", 1)  # drop a trailing time of day
-    return F.coalesce(*[F.try_to_date(head, F.lit(p)) for p in patterns])
+    return F.coalesce(*[F.try_to_date(head, p) for p in patterns])

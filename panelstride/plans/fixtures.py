@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import entity_from_filename
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -82,10 +84,12 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "dd-MM-yyyy"))
     price_text = F.replace(_dec("l_extendedprice").cast("string"), F.lit("."), F.lit(","))
     letter = F.char(F.lit(65) + F.col("l_suppkey") % 26)
+    source_file = F.concat(F.lit("SUP"), letter, F.lit("2011010120260422.xlsx"))
     return li.select(
         day_text.alias("tarih"),
         price_text.alias("kapanis_tl"),
-        F.concat(F.lit("SUP"), letter, F.lit("2011010120260422.xlsx")).alias("source_file"),
+        source_file.alias("source_file"),
+        entity_from_filename(source_file).alias("ticker"),
         "l_suppkey", "l_orderkey", "l_linenumber",
     )
 
@@ -104,7 +108,54 @@ def bronze_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 3, F.concat(F.lit("1."), comma))
         .when(shape == 4, F.lit("nan"))
         .when(shape == 5, F.lit(""))
-        .when(shape == 6, F.concat(F.lit(" "), comma))
+        .when(shape == 6, F.concat(F.lit("\u00a0 "), comma))
         .otherwise(plain)
     )
     return li.select("l_orderkey", "l_linenumber", text.alias("raw_value"))
+
+
+def date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date text in several shapes, one per line number: day-first with dashes,
+    ISO, dotted, slashed without padding, with a time of day, junk, impossible."""
+    li = table(spark, sf_dir, "lineitem")
+    d = F.col("l_shipdate")
+    n = F.col("l_linenumber")
+    text = (
+        F.when(n == 1, F.date_format(d, "dd-MM-yyyy"))
+        .when(n == 2, F.date_format(d, "yyyy-MM-dd"))
+        .when(n == 3, F.date_format(d, "dd.MM.yyyy"))
+        .when(n == 4, F.concat_ws("/", F.dayofmonth(d), F.month(d), F.year(d)))
+        .when(n == 5, F.concat(F.date_format(d, "dd-MM-yyyy"), F.lit(" 00:00:00")))
+        .when(n == 6, F.lit("n/a"))
+        .otherwise(F.lit("31-31-2020"))
+    )
+    return li.select("l_orderkey", "l_linenumber", text.alias("raw_date"))
+
+
+# Header text samples: raw workbook headers (fixed fixture values), picked per
+# part and suffixed with the part's brand on two rows out of three.
+RAW_HEADERS = (
+    "Tarih", "Kapanış(TL)", "Min(TL)", "Max(TL)", "AOF(TL)", "Hacim(TL)",
+    " Halkaaçık PD(mn TL)", "İşlem Ğ", "PiyasaDeğeri(mn USD)", "BIST 100", "USDTRY",
+    "Sermaye(mn TL)", "PD/DD",
+)
+
+
+def header_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    pick = F.element_at(F.array(*[F.lit(h) for h in RAW_HEADERS]),
+                        (F.col("p_partkey") % len(RAW_HEADERS) + 1).cast("int"))
+    text = F.when(F.col("p_size") % 3 == 0, pick).otherwise(F.concat(pick, F.lit(" "), F.col("p_brand")))
+    return part.select("p_partkey", text.alias("raw_header"))
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook-like file names: segment + date range (letters lead) from customer,
+    bare numbers from part (no leading letters)."""
+    a = table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("origin"),
+        F.concat(F.lit("raw/"), F.col("c_mktsegment"), F.lit("2011010120260422.xlsx")).alias("file_name"))
+    b = table(spark, sf_dir, "part").select(
+        F.lit("part").alias("origin"),
+        F.concat(F.col("p_partkey").cast("string"), F.lit(".xlsx")).alias("file_name"))
+    return a.unionByName(b)
