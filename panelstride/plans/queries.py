@@ -21,10 +21,12 @@ from ..functions.text import (
     parse_date_lenient,
     parse_day_first,
 )
-from ..operators import cleaning, metrics, profile, reports, splits, stats
+from ..operators import cleaning, metrics, models, profile, reports, splits, stats
+from ..sources import tables
 from ..operators import features as feat
 from ..operators.models import LinearScorer, fit_impute_scale, score, select_best
 from . import fixtures as fx
+from . import pipeline
 from . import oracle_sql as O
 from .catalog import query, round_doubles
 
@@ -734,3 +736,52 @@ def q_feature_catalog(spark, sf_dir):
     counts = long.groupBy("feature").agg(F.count(F.lit(1)).alias("observations"))
     pos = F.array_position(F.array(*[F.lit(f) for f in FEATURES]), F.col("feature")).cast("int")
     return counts.select(pos.alias("position"), "feature", "observations")
+
+
+# ------------------------------------------------------------------ fitted models (rows-only checks)
+
+
+def _train_valid_test(spark, sf_dir, cfg=NOTEBOOK):
+    g = gold(spark, sf_dir, cfg)
+    return tuple(splits.split_part(g, p, cuts=CUTS) for p in ("train", "valid", "test"))
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, sf_dir):
+    """Scaled L2 logistic regression (C = 1) fitted on train, scored on test (M2, M4, M5, M9)."""
+    train, _, test = _train_valid_test(spark, sf_dir)
+    model = models.fit_candidate(train, models.NOTEBOOK_CANDIDATES[0], FEATURES)
+    return models.predict(model, test).select("ticker", "date", LABEL, "predicted_probability",
+                                              "predicted_class")
+
+
+@query("fit_forest")
+def q_fit_forest(spark, sf_dir):
+    """Random forest (100 trees, depth 8, sqrt features) fitted on train, scored on test (M6, M9)."""
+    train, _, test = _train_valid_test(spark, sf_dir)
+    model = models.fit_candidate(train, models.NOTEBOOK_CANDIDATES[1], FEATURES)
+    return models.predict(model, test).select("ticker", "date", LABEL, "predicted_probability",
+                                              "predicted_class")
+
+
+@query("run_table")
+def q_run_table(spark, sf_dir):
+    """Fit every candidate, evaluate on valid and test, pick the best by validation AUC,
+    and return the long run table with the selection recorded (M7, M8, M13)."""
+    train, valid, test = _train_valid_test(spark, sf_dir)
+    result = pipeline.train_and_select(spark, train, valid, test, models.NOTEBOOK_CANDIDATES,
+                                       FEATURES, tie="first")
+    return result.runs
+
+
+@query("read_write_roundtrip")
+def q_read_write_roundtrip(spark, sf_dir):
+    """Gold written as a table, exported as CSV with header, and read back with an explicit
+    schema; the best model saved and reloaded scores the same (S6-S9, S10, S11)."""
+    g = gold(spark, sf_dir)
+    base = tables.scratch_path(spark, "roundtrip")
+    tables.write_table(g, f"{base}/gold")
+    back = tables.read_table(spark, f"{base}/gold")
+    tables.export_csv(back, f"{base}/gold_csv")
+    again = tables.read_csv(spark, f"{base}/gold_csv", back.schema)
+    return again
