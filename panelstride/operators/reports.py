@@ -52,17 +52,33 @@ def entity_filter(df: DataFrame, entities, entity: str = "ticker") -> DataFrame:
 def normalised_index(df: DataFrame, entities=None, freq: str = "monthly",
                      cols: PanelColumns = COLS) -> DataFrame:
     """Close rebased to 100 at each entity's first plotted row, after resampling (W13),
-    with each entity's first available date from the unfiltered data (A6, J1)."""
-    first_dates = df.groupBy(cols.entity).agg(F.min(cols.time).alias("first_available_date"))
+    with each entity's first available date (A6, J1).
+
+    The universe filter is on the entity, so an entity's first available date in
+    the filtered rows equals the one in the unfiltered data: it is carried
+    through the month-end aggregate (``min`` per month) and finished with the
+    same per-entity window that finds the first close, instead of a second pass
+    over the input and a join.
+    """
     chosen = df if entities is None else entity_filter(df, entities, cols.entity)
-    rows = resample(chosen, freq, cols)
-    w = (Window.partitionBy(cols.entity).orderBy("plot_date")
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumn("normalized_close",
-                           F.col(cols.price) / F.first(cols.price).over(w) * F.lit(100.0))
+    chosen = chosen.where(F.col(cols.time).isNotNull())
+    if freq.lower() == "daily":
+        rows = chosen.withColumn("plot_date", F.col(cols.time)).withColumn("__first", F.col(cols.time))
+    else:
+        stamped = chosen.withColumn("plot_date", F.trunc(cols.time, "MM"))
+        rest = [c for c in chosen.columns if c != cols.time and c != cols.entity]
+        rows = (stamped.groupBy(cols.entity, "plot_date")
+                .agg(F.max(F.struct(cols.time, *rest)).alias("__row"), F.min(cols.time).alias("__first"))
+                .select(cols.entity, "plot_date", "__first",
+                        *[F.col(f"__row.{c}").alias(c) for c in [cols.time, *rest]]))
+    whole = (Window.partitionBy(cols.entity).orderBy("plot_date")
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = rows.withColumns({
+        "normalized_close": F.col(cols.price) / F.first(cols.price).over(whole) * F.lit(100.0),
+        "first_available_date": F.min("__first").over(whole),
+    }).drop("__first")
     return (
-        rows.join(first_dates, cols.entity, "left")
-        .withColumn("plot_date_str", F.date_format("plot_date", "yyyy-MM-dd"))
+        rows.withColumn("plot_date_str", F.date_format("plot_date", "yyyy-MM-dd"))
         .withColumn("first_available_date_str", F.date_format("first_available_date", "yyyy-MM-dd"))
     )
 
@@ -122,3 +138,8 @@ def feature_pairs(df: DataFrame, features: Sequence[str], ids: Sequence[str] = (
 def earliest_latest(latest: DataFrame, cols: PanelColumns = COLS) -> DataFrame:
     """Among latest rows, the entity whose latest date is earliest."""
     return latest.orderBy(F.col(cols.time).asc_nulls_last(), cols.entity).limit(1)
+
+
+def preview(df: DataFrame, n: int = 10, order: Sequence[str] = ("ticker", "date")) -> DataFrame:
+    """First ``n`` rows in a stated order (T1, T5): deterministic, planned as a top-N."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)

@@ -22,7 +22,8 @@ from ..functions.text import (
     parse_day_first,
 )
 from ..operators import cleaning, metrics, models, profile, reports, splits, stats
-from ..sources import tables
+from ..sources import files, tables
+from ..streaming import ingest as streaming
 from ..operators import features as feat
 from ..operators.models import LinearScorer, fit_impute_scale, score, select_best
 from . import fixtures as fx
@@ -714,16 +715,16 @@ select model, round(roc_auc, 6) as validation_roc_auc from ranked order by roc_a
 
 @query("select_best", _select_best_sql())
 def q_select_best(spark, sf_dir):
-    """Candidate with the best validation ROC-AUC; earlier candidate wins ties (M7, M8)."""
+    """Candidate with the best validation ROC-AUC; earlier candidate wins ties (M7, M8).
+
+    All candidates are scored in one pass over the validation rows (one row per
+    (row, candidate) via ``explode``) and their AUCs come from one grouped
+    aggregate."""
     valid = splits.split_part(gold(spark, sf_dir), "valid", cuts=CUTS)
-    parts = []
-    for name, scorer in ALT_SCORERS.items():
-        s = score(valid, scorer, prob="p")
-        parts.append(metrics.roc_auc(s).select(F.lit(name).alias("model"),
-                                               F.col("roc_auc").alias("validation_roc_auc")))
-    table = parts[0]
-    for p in parts[1:]:
-        table = table.unionByName(p)
+    cands = F.array(*[F.struct(F.lit(n).alias("model"), s.probability().alias("p"))
+                      for n, s in ALT_SCORERS.items()])
+    long = valid.select(LABEL, F.explode(cands).alias("c")).select(LABEL, "c.model", "c.p")
+    table = metrics.roc_auc(long, by=["model"]).withColumnRenamed("roc_auc", "validation_roc_auc")
     return round_doubles(select_best(table, list(ALT_SCORERS)))
 
 
@@ -742,7 +743,7 @@ def q_feature_catalog(spark, sf_dir):
 
 
 def _train_valid_test(spark, sf_dir, cfg=NOTEBOOK):
-    g = gold(spark, sf_dir, cfg)
+    g = gold(spark, sf_dir, cfg).persist()  # fitted, then scored: compute the windows once
     return tuple(splits.split_part(g, p, cuts=CUTS) for p in ("train", "valid", "test"))
 
 
@@ -785,3 +786,50 @@ def q_read_write_roundtrip(spark, sf_dir):
     tables.export_csv(back, f"{base}/gold_csv")
     again = tables.read_csv(spark, f"{base}/gold_csv", back.schema)
     return again
+
+
+@query("ingest_files", f"with {BRONZE_T} select tarih, kapanis_tl, source_file, ticker, l_suppkey, l_orderkey, "
+       "l_linenumber from bronze_t")
+def q_ingest_files(spark, sf_dir):
+    """Directory ingest: the bronze rows are written as one CSV folder per source file in
+    two header layouts, then read back grouped by layout and stacked by name, with
+    the entity taken from the file location (S1-S3, S5, S9, U1)."""
+    b = fx.bronze(spark, sf_dir).drop("ticker")
+    root = tables.scratch_path(spark, "ingest")
+    first = b.where(F.col("l_linenumber") <= 3).select("source_file", "tarih", "kapanis_tl", "l_suppkey",
+                                                       "l_orderkey", "l_linenumber")
+    second = b.where(F.col("l_linenumber") > 3).select("source_file", "l_linenumber", "l_orderkey",
+                                                       "l_suppkey", "kapanis_tl", "tarih")
+    for i, part in enumerate((first, second)):
+        (part.repartition("source_file").write.mode("overwrite").option("header", True)
+         .partitionBy("source_file").csv(f"{root}/layout{i}"))
+    got = files.ingest_csv(spark, root, entity_from="directory")
+    return got.select("tarih", "kapanis_tl", "source_file", "ticker",
+                      F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
+                      F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+                      F.col("l_linenumber").cast("int").alias("l_linenumber"))
+
+
+@query("preview_gold", f"with {G} select {_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} "
+       "from gold order by ticker, date limit 10")
+def q_preview_gold(spark, sf_dir):
+    """First rows of gold in (ticker, date) order: a deterministic preview."""
+    return round_doubles(reports.preview(gold(spark, sf_dir), 10))
+
+
+@query("stream_ingest", f"with {BRONZE_T} select tarih, kapanis_tl, source_file, ticker, l_suppkey, l_orderkey, "
+       "l_linenumber from bronze_t")
+def q_stream_ingest(spark, sf_dir):
+    """The same per-source-file CSV folders picked up incrementally by a Structured
+    Streaming file source into an exactly-once Parquet sink (S1, incremental)."""
+    b = fx.bronze(spark, sf_dir).drop("ticker")
+    root = tables.scratch_path(spark, "stream")
+    cols = ["tarih", "kapanis_tl", "l_suppkey", "l_orderkey", "l_linenumber"]
+    (b.select("source_file", *cols).repartition("source_file").write.mode("overwrite")
+     .option("header", True).partitionBy("source_file").csv(f"{root}/landing"))
+    got = streaming.ingest_available(spark, f"{root}/landing", cols, f"{root}/bronze",
+                                     f"{root}/_checkpoint", entity_from="directory")
+    return got.select("tarih", "kapanis_tl", "source_file", "ticker",
+                      F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
+                      F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+                      F.col("l_linenumber").cast("int").alias("l_linenumber"))

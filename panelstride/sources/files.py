@@ -66,9 +66,14 @@ def _split_header(line: str, sep: str) -> list[str]:
 
 
 def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ",",
-               header_rule: str = "generic", base_path: str | None = None) -> DataFrame:
+               header_rule: str = "generic", base_path: str | None = None,
+               entity_from: str = "file") -> DataFrame:
     """Stack every CSV under ``path``; columns by (normalised) header name, text kept
-    as text; ``source_file`` and ``ticker`` from the file name (S1-S3, S5, U1)."""
+    as text; ``source_file`` and ``ticker`` from the file name (S1-S3, S5, U1).
+
+    ``entity_from="directory"`` takes the name from the parent folder instead
+    (``.../key=NAME/part-0.csv`` or ``.../NAME/part-0.csv``), the layout Spark
+    itself writes with ``partitionBy``."""
     files = list_files(spark, path, pattern)
     layouts = (csv_headers(files).groupBy("header").agg(F.collect_list("path").alias("paths"))
                .collect())  # one row per distinct header layout (file listing metadata)
@@ -83,7 +88,11 @@ def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str
         if base_path:
             reader = reader.option("basePath", base_path)
         df = reader.csv(sorted(row["paths"]))
-        frames.append(df.withColumn("source_file", F.col("_metadata.file_name")))
+        if entity_from == "directory":
+            name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]*$", 1)
+        else:
+            name = F.col("_metadata.file_name")
+        frames.append(df.withColumn("source_file", name))
     out = union_all_by_name(frames)
     return out.withColumn("ticker", entity_from_filename(F.col("source_file")))
 
