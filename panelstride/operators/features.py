@@ -17,91 +17,204 @@ from ..config import NOTEBOOK, FeatureConfig, PanelColumns
 from ..functions.numeric import ratio_minus_one, safe_div
 
 
-def entity_window(cols: PanelColumns = PanelColumns()):
-    return Window.partitionBy(cols.entity).orderBy(cols.time)
+Keys = tuple[str, ...] | None
 
 
-def trailing(n: int, cols: PanelColumns = PanelColumns()):
+def entity_window(cols: PanelColumns = PanelColumns(), keys: Keys = None):
+    """Rows of one entity (or of one entity segment, ``keys``) in time order."""
+    return Window.partitionBy(*(keys or (cols.entity,))).orderBy(cols.time)
+
+
+def trailing(n: int, cols: PanelColumns = PanelColumns(), keys: Keys = None):
     """The last ``n`` rows up to and including the current one."""
-    return entity_window(cols).rowsBetween(-(n - 1), 0)
+    return entity_window(cols, keys).rowsBetween(-(n - 1), 0)
 
 
-def forward_fill(c: str, cols: PanelColumns = PanelColumns()) -> Column:
+def forward_fill(c: str, cols: PanelColumns = PanelColumns(), keys: Keys = None) -> Column:
     """Last non-null value so far within the entity."""
-    w = entity_window(cols).rowsBetween(Window.unboundedPreceding, 0)
+    w = entity_window(cols, keys).rowsBetween(Window.unboundedPreceding, 0)
     return F.last(F.col(c), ignorenulls=True).over(w)
 
 
-def pct_change(c: str, k: int, cols: PanelColumns = PanelColumns(), filled: str | None = None) -> Column:
+def pct_change(c: str, k: int, cols: PanelColumns = PanelColumns(), filled: str | None = None,
+               keys: Keys = None) -> Column:
     """``x / x.shift(k) - 1`` per entity; ``filled`` names an already forward-filled column."""
     base = F.col(filled or c)
-    return ratio_minus_one(base, F.lag(base, k).over(entity_window(cols)))
+    return ratio_minus_one(base, F.lag(base, k).over(entity_window(cols, keys)))
 
 
-def rolling_full(agg, c: str, n: int, cols: PanelColumns = PanelColumns()) -> Column:
+def rolling_full(agg, c: str, n: int, cols: PanelColumns = PanelColumns(), keys: Keys = None) -> Column:
     """``agg`` over the trailing ``n`` rows, only where all ``n`` values are non-null."""
-    w = trailing(n, cols)
+    w = trailing(n, cols, keys)
     return F.when(F.count(F.col(c)).over(w) == n, agg(F.col(c)).over(w))
 
 
-def forward_return(c: str, h: int, cols: PanelColumns = PanelColumns()) -> Column:
+def forward_return(c: str, h: int, cols: PanelColumns = PanelColumns(), keys: Keys = None) -> Column:
     """``x.shift(-h) / x - 1`` per entity (no fill)."""
-    return ratio_minus_one(F.lead(F.col(c), h).over(entity_window(cols)), F.col(c))
+    return ratio_minus_one(F.lead(F.col(c), h).over(entity_window(cols, keys)), F.col(c))
 
 
 def _fill_name(c: str) -> str:
     return f"__ffill_{c}"
 
 
-def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK,
+                   segment_rows: int | None = None) -> DataFrame:
     """Add every look-back feature, the forward returns and the label.
 
     Rows are not filtered here; see :func:`build_gold` for the row rules.
     Missing volume or FX input columns give null features.
+
+    ``segment_rows``: entities with more rows than this are cut into time
+    segments that are windowed in parallel (exact; see :func:`_segmented`).
     """
+    if segment_rows:
+        return _segmented(df, cfg, segment_rows)
+    return _features(df, cfg)
+
+
+def _fill_columns(df: DataFrame, cfg: FeatureConfig) -> list[str]:
+    c = cfg.cols
+    if cfg.fill != "ffill":
+        return []
+    return [col for col in (c.price, c.fx, c.benchmark) if col in df.columns]
+
+
+def _features(df: DataFrame, cfg: FeatureConfig, keys: Keys = None,
+              prefilled: dict[str, str] | None = None) -> DataFrame:
     c = cfg.cols
     present = set(df.columns)
-    fill = cfg.fill == "ffill"
 
-    filled = {}
-    stage1 = {}
-    for col in (c.price, c.fx, c.benchmark):
-        if col in present and fill:
-            filled[col] = _fill_name(col)
-            stage1[filled[col]] = forward_fill(col, c)
-    out = df.withColumns(stage1) if stage1 else df
+    if prefilled is None:
+        filled = {col: _fill_name(col) for col in _fill_columns(df, cfg)}
+        out = df.withColumns({f: forward_fill(col, c, keys) for col, f in filled.items()}) if filled else df
+    else:
+        filled, out = dict(prefilled), df
 
     def change(col: str, k: int) -> Column:
         if col not in present:
             return F.lit(None).cast("double")
-        return pct_change(col, k, c, filled.get(col))
+        return pct_change(col, k, c, filled.get(col), keys)
 
     stage2: dict[str, Column] = {}
     for k in cfg.return_periods:
         stage2[cfg.return_name(k)] = change(c.price, k)
     for n in cfg.ma_windows:
-        stage2[cfg.ma_ratio(n)] = safe_div(F.col(c.price), rolling_full(F.avg, c.price, n, c))
+        stage2[cfg.ma_ratio(n)] = safe_div(F.col(c.price), rolling_full(F.avg, c.price, n, c, keys))
     if c.volume in present:
         stage2[cfg.volume_ratio] = safe_div(
-            F.col(c.volume), rolling_full(F.avg, c.volume, cfg.volume_window, c))
+            F.col(c.volume), rolling_full(F.avg, c.volume, cfg.volume_window, c, keys))
     else:
         stage2[cfg.volume_ratio] = F.lit(None).cast("double")
     stage2[cfg.fx_return] = change(c.fx, cfg.market_period)
     stage2[cfg.benchmark_return] = change(c.benchmark, cfg.market_period)
-    stage2[cfg.future_return] = forward_return(c.price, cfg.horizon, c)
-    stage2[cfg.future_benchmark_return] = forward_return(c.benchmark, cfg.horizon, c)
+    stage2[cfg.future_return] = forward_return(c.price, cfg.horizon, c, keys)
+    stage2[cfg.future_benchmark_return] = forward_return(c.benchmark, cfg.horizon, c, keys)
     out = out.withColumns(stage2)
 
     one_day = cfg.return_name(1)
     if one_day not in out.columns:  # volatility is defined on 1-row returns
         out = out.withColumn(one_day, change(c.price, 1))
     out = out.withColumns({
-        cfg.volatility: rolling_full(F.stddev_samp, one_day, cfg.volatility_window, c),
+        cfg.volatility: rolling_full(F.stddev_samp, one_day, cfg.volatility_window, c, keys),
         cfg.label: outperform_label(cfg.future_return, cfg.future_benchmark_return),
     })
     return out.drop(*filled.values())
 
 
+def halo_sizes(cfg: FeatureConfig) -> tuple[int, int]:
+    """Rows of context each feature needs before and after a row."""
+    back = max(max(cfg.return_periods), max(cfg.ma_windows) - 1, cfg.volume_window - 1,
+               cfg.volatility_window, cfg.market_period)
+    return back, cfg.horizon
+
+
+def _time_number(df: DataFrame, t: str) -> Column:
+    kind = df.schema[t].dataType.typeName()
+    if kind == "date":
+        return F.unix_date(F.col(t)).cast("long")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(t).cast("timestamp"))
+    return F.col(t).cast("long")
+
+
+def _segmented(df: DataFrame, cfg: FeatureConfig, segment_rows: int, grid: int = 256) -> DataFrame:
+    """Features for panels where one entity may hold a large share of all rows.
+
+    1. Per-entity row counts (partial aggregate); entities above
+       ``segment_rows`` are *hot*. Their time axis is cut at approximate
+       quantiles into ``ceil(n / segment_rows)`` segments (at most ``grid``).
+    2. Exact global row positions inside a hot entity come from per-segment
+       counts (a table of one row per segment) plus ``row_number`` inside the
+       segment.
+    3. Forward fill is finished per segment and completed with the last
+       non-null value of the earlier segments (same small table).
+    4. Each row is replicated into the neighbouring segments that need it as
+       look-back (``back`` rows) or look-ahead (``horizon`` rows) context;
+       windows then run per (entity, segment) and context rows are dropped.
+
+    Every result equals :func:`build_features` without segments.
+    """
+    c = cfg.cols
+    e, t = c.entity, c.time
+    back, fwd = halo_sizes(cfg)
+    tnum = _time_number(df, t)
+    probs = [i / grid for i in range(1, grid)]
+
+    counts = df.groupBy(e).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > segment_rows)
+    q = (df.join(hot.select(e), e, "left_semi").select(e, tnum.alias("__t"))
+         .groupBy(e).agg(F.percentile_approx("__t", probs, 10 * grid).alias("__q")))
+    nseg = F.least(F.ceil(F.col("__n") / F.lit(segment_rows)), F.lit(grid)).cast("int")
+    cuts = (hot.join(q, e).select(
+        e, F.array_distinct(F.transform(F.sequence(F.lit(1), nseg - 1),
+                                        lambda i: F.element_at("__q", (i * grid / nseg).cast("int"))))
+        .alias("__cuts")))
+
+    rows = (df.join(cuts, e, "left")
+            .withColumn("__seg", F.coalesce(F.size(F.filter("__cuts", lambda x: x <= tnum)), F.lit(0)))
+            .withColumn("__hot", F.col("__cuts").isNotNull()).drop("__cuts"))
+
+    fills = _fill_columns(df, cfg)
+    seg_keys = (e, "__seg")
+    in_seg = Window.partitionBy(*seg_keys).orderBy(t)
+    # per-segment size and last non-null value of each filled column (one row per segment)
+    seg_tab = rows.where("__hot").groupBy(*seg_keys).agg(
+        F.count(F.lit(1)).alias("__size"),
+        *[F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(t))).alias(f"__last_{f}") for f in fills])
+    before = Window.partitionBy(e).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    seg_tab = seg_tab.select(
+        *seg_keys,
+        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"),
+        *[F.last(f"__last_{f}", ignorenulls=True).over(before).alias(f"__carry_{f}") for f in fills],
+        "__size")
+    bounds = seg_tab.groupBy(e).agg(F.collect_list(F.struct(
+        "__seg", "__start", (F.col("__start") + F.col("__size")).alias("__end"))).alias("__segs"))
+
+    filled = {f: _fill_name(f) for f in fills}
+    rows = rows.join(seg_tab.drop("__size"), list(seg_keys), "left").join(bounds, e, "left")
+    rows = rows.withColumns({
+        "__pos": F.col("__start") + F.row_number().over(in_seg) - 1,
+        **{filled[f]: F.coalesce(F.last(F.col(f), ignorenulls=True).over(
+            in_seg.rowsBetween(Window.unboundedPreceding, 0)), F.col(f"__carry_{f}")) for f in fills},
+    }).drop("__start", *[f"__carry_{f}" for f in fills])
+
+    pos = F.col("__pos")
+    later = F.filter("__segs", lambda s: (s["__start"] > pos) & (s["__start"] <= pos + back))
+    earlier = F.filter("__segs", lambda s: (s["__end"] <= pos) & (s["__end"] > pos - fwd))
+    own = rows.withColumn("__ctx", F.lit(False))
+    hot_rows = rows.where("__hot")
+    ctx_back = hot_rows.withColumn("__seg", F.explode(F.transform(later, lambda s: s["__seg"]))) \
+        .withColumn("__ctx", F.lit(True))
+    ctx_ahead = hot_rows.withColumn("__seg", F.explode(F.transform(earlier, lambda s: s["__seg"]))) \
+        .withColumn("__ctx", F.lit(True))
+    ext = own.unionByName(ctx_back).unionByName(ctx_ahead).drop("__segs")
+
+    out = _features(ext, cfg, keys=seg_keys, prefilled=filled).where(~F.col("__ctx"))
+    new = [x for x in out.columns if x not in df.columns and not x.startswith("__")]
+    return out.select(*df.columns, *new)
+
+
 def outperform_label(own: str, benchmark: str) -> Column:
     """1 where the entity's forward return is strictly above the benchmark's, else 0
     (a null on either side compares false)."""
@@ -119,7 +232,8 @@ def gold_columns(df: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> list[str]:
     return cols
 
 
-def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK,
+               segment_rows: int | None = None) -> DataFrame:
     """Silver-shaped panel -> gold table under the configured row rules.
 
     1. drop rows missing any ``cfg.required`` column (before features),
@@ -130,7 +244,7 @@ def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
        produces inf here, so the script chain's inf pass is implied.
     """
     base = panel.na.drop(subset=[r for r in cfg.required if r in panel.columns])
-    feats = build_features(base, cfg)
+    feats = build_features(base, cfg, segment_rows)
     gold = feats.select(*gold_columns(feats, cfg))
     if cfg.gold_rule == "all":
         return gold.na.drop(how="any")

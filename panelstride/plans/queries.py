@@ -101,6 +101,15 @@ def q_gold_features(spark, sf_dir):
     return round_doubles(gold(spark, sf_dir))
 
 
+@query("gold_features_segmented", f"with {G} select "
+       f"{_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} from gold")
+def q_gold_features_segmented(spark, sf_dir):
+    """Gold table with every entity cut into time segments of about 64 rows that are
+    windowed in parallel with look-back/look-ahead context rows: the hot-entity path,
+    forced on, must give the same table (W1-W9 at any entity size)."""
+    return round_doubles(feat.build_gold(fx.panel(spark, sf_dir), NOTEBOOK, segment_rows=64))
+
+
 @query("gold_features_local", f"with {O.gold_ctes(rule='required')} select date, ticker, "
        "target_outperform_20d, round(return_5d, 6) as return_5d, round(price_to_ma50, 6) as price_to_ma50, "
        "round(volatility_20d, 6) as volatility_20d from gold")

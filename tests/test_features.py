@@ -100,3 +100,19 @@ def test_custom_columns_and_horizon(spark):
     out = feat.build_features(df, cfg).orderBy("day").collect()
     assert out[0]["future_return_2d"] == pytest.approx(2.0)
     assert out[1]["price_to_ma2"] == pytest.approx(2 / 1.5)
+
+
+@pytest.mark.parametrize("segment_rows", [7, 40])
+def test_segmented_equals_plain(spark, segment_rows):
+    from panelstride.plans import fixtures as fx
+
+    p = fx.panel(spark, "/root/testdata/sf0.001")
+    # a null close and a null fx value inside the series exercise the cross-segment fill
+    p = p.withColumn("close", F.when(F.dayofmonth("date") == 3, None).otherwise(F.col("close")))
+    plain = feat.build_features(p, NOTEBOOK)
+    seg = feat.build_features(p, NOTEBOOK, segment_rows=segment_rows)
+    assert seg.columns == plain.columns
+    a = plain.exceptAll(seg).count()
+    b = seg.exceptAll(plain).count()
+    assert (a, b) == (0, 0)
+    assert seg.count() == plain.count()
