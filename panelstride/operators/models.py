@@ -197,9 +197,14 @@ def fit_candidate(train: DataFrame, cand: Candidate, features: Sequence[str] = F
     if weight_col:
         clf.setWeightCol(weight_col)
     stages.append(clf)
-    # iterative learners re-read their input: materialise the training set once
+    # iterative learners re-read their input every iteration: materialise the
+    # training set once, in at most one task per core (one wave per iteration)
     data = data.select(*features, label, *([weight_col] if weight_col else []))
-    data = data.withColumn(label, F.col(label).cast("double")).persist()
+    data = data.withColumn(label, F.col(label).cast("double"))
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() > cores:
+        data = data.coalesce(cores)
+    data = data.persist()
     try:
         return Pipeline(stages=stages).fit(data)
     finally:
