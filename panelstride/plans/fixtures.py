@@ -159,3 +159,33 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("part").alias("origin"),
         F.concat(F.col("p_partkey").cast("string"), F.lit(".xlsx")).alias("file_name"))
     return a.unionByName(b)
+
+
+# Raw workbook headers of the panel's columns (fixed fixture values), in the
+# order of ``panel``'s columns.
+RAW_PANEL_HEADERS = {
+    "date": "Tarih",
+    "close": "Kapanış(TL)",
+    "min_price": "Min(TL)",
+    "max_price": "Max(TL)",
+    "avg_price": "AOF(TL)",
+    "volume": "Hacim(TL)",
+    "capital_mn_tl": "Sermaye(mn TL)",
+    "usdtry": "USDTRY",
+    "bist100": "BIST 100",
+    "market_cap_mn_tl": "PiyasaDeğeri(mn TL)",
+    "market_cap_mn_usd": "PiyasaDeğeri(mn USD)",
+    "free_float_market_cap_mn_tl": "HalkaAçık PD(mn TL)",
+    "free_float_market_cap_mn_usd": "HalkaAçık PD(mn USD)",
+}
+
+
+def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as raw workbook text: source header names, day-first dates and
+    decimal-comma numbers, plus the entity and file name columns ingest adds."""
+    p = panel(spark, sf_dir)
+    cols = [F.date_format("date", "dd-MM-yyyy").alias(RAW_PANEL_HEADERS["date"])]
+    for name, header in RAW_PANEL_HEADERS.items():
+        if name != "date":
+            cols.append(F.replace(F.col(name).cast("string"), F.lit("."), F.lit(",")).alias(header))
+    return p.select(*cols, "ticker", F.concat("ticker", F.lit(".xlsx")).alias("source_file"))

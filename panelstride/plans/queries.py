@@ -110,6 +110,17 @@ def q_gold_features_segmented(spark, sf_dir):
     return round_doubles(feat.build_gold(fx.panel(spark, sf_dir), NOTEBOOK, segment_rows=64))
 
 
+@query("bronze_to_gold", f"with {G} select "
+       f"{_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} from gold")
+def q_bronze_to_gold(spark, sf_dir):
+    """The whole chain from raw text: header rule on the column names, rename, strict
+    day-first dates, decimal-comma numbers, dedupe, null rule, features, gold
+    (P1, P3, P4, P7, U2, P9, W1-W14, P11). Equals the gold table built from typed input."""
+    bronze = cleaning.normalise_columns(fx.raw_panel(spark, sf_dir))
+    silver = cleaning.build_silver(bronze)
+    return round_doubles(feat.build_gold(silver, NOTEBOOK))
+
+
 @query("gold_features_local", f"with {O.gold_ctes(rule='required')} select date, ticker, "
        "target_outperform_20d, round(return_5d, 6) as return_5d, round(price_to_ma50, 6) as price_to_ma50, "
        "round(volatility_20d, 6) as volatility_20d from gold")
@@ -842,3 +853,21 @@ def q_stream_ingest(spark, sf_dir):
                       F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
                       F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
                       F.col("l_linenumber").cast("int").alias("l_linenumber"))
+
+
+@query("clean_all_columns", f"with {O.PANEL} select strftime(date, '%d-%m-%Y') as tarih, ticker, "
+       "concat(ticker, '.xlsx') as source_file, round(close, 6) as kapanis_tl, round(min_price, 6) as min_tl, round(max_price, 6) as max_tl, round(avg_price, 6) as aof_tl, round(volume, 6) as hacim_tl, round(capital_mn_tl, 6) as sermaye_mn_tl, round(usdtry, 6) as usdtry, round(bist100, 6) as bist_100, round(market_cap_mn_tl, 6) as piyasadegeri_mn_tl, round(market_cap_mn_usd, 6) as piyasadegeri_mn_usd, round(free_float_market_cap_mn_tl, 6) as halkaacik_pd_mn_tl, round(free_float_market_cap_mn_usd, 6) as halkaacik_pd_mn_usd from panel")
+def q_clean_all_columns(spark, sf_dir):
+    """Lenient number parsing of every column except date, entity and file name, on raw
+    decimal-comma text with normalised headers (P1, P8)."""
+    bronze = cleaning.normalise_columns(fx.raw_panel(spark, sf_dir))
+    return round_doubles(cleaning.clean_numbers(bronze, exclude=("tarih", "ticker", "source_file")))
+
+
+@query("features_missing_inputs", f"with {FEAT} select ticker, date, round(return_20d, 6) as return_20d, "
+       "cast(null as double) as volume_ratio_20d, cast(null as double) as usdtry_return_20d from feat")
+def q_features_missing_inputs(spark, sf_dir):
+    """A panel without volume and FX columns: those features are null, the rest unchanged."""
+    p = fx.panel(spark, sf_dir).drop("volume", "usdtry")
+    out = feat.build_features(p, NOTEBOOK)
+    return round_doubles(out.select("ticker", "date", "return_20d", "volume_ratio_20d", "usdtry_return_20d"))
