@@ -209,5 +209,6 @@ class FeatureConfig:
 
 
 NOTEBOOK = FeatureConfig()
-LOCAL = FeatureConfig(required=("date", "ticker", "close", "bist100"), gold_rule="required")
+LOCAL = FeatureConfig(required=("date", "ticker", "close", "bist100"), gold_rule="required",
+                      extra_cols=("bist100", "return_1d"))
 PRESETS = {"notebook": NOTEBOOK, "local": LOCAL}

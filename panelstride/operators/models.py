@@ -168,8 +168,9 @@ def balanced_weight(train: DataFrame, label: str = LABEL, name: str = "__w") ->
 
 def fit_candidate(train: DataFrame, cand: Candidate, features: Sequence[str] = FEATURE_COLUMNS,
                   label: str = LABEL) -> PipelineModel:
-    """Fit preprocessing + classifier on ``train`` as one ``PipelineModel`` (M5, M6)."""
-    features = list(features)
+    """Fit preprocessing + classifier on ``train`` as one ``PipelineModel`` (M5, M6).
+    Features missing from ``train`` are left out, as the script chain does."""
+    features = [f for f in features if f in train.columns]
     prep = fit_impute_scale(train, features, impute=cand.impute,
                             scale=cand.scale and cand.kind == "logistic")
     data = train
