@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import entity_from_filename
+from ..sources.tables import spread_if_narrow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_if_narrow(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _dec(c) -> F.Column:
