@@ -502,8 +502,9 @@ top as (select ticker from latest order by p desc, ticker limit 20)
 select ticker, date, round(close, 6) as close from gold where ticker in (select ticker from top)""")
 def q_universe_filter(spark, sf_dir):
     """Rows of the 20 entities with the highest latest predicted probability."""
-    top = reports.top_n(latest_predictions_df(spark, sf_dir), "predicted_probability", 20)
-    g = gold(spark, sf_dir)
+    g = gold(spark, sf_dir).persist()  # read by the latest-row ranking and by the filter
+    latest = score(reports.latest_rows(g), FIXED_SCORER)
+    top = reports.top_n(latest, "predicted_probability", 20)
     return round_doubles(reports.entity_filter(g, top.select("ticker")).select("ticker", "date", "close"))
 
 
@@ -574,7 +575,7 @@ def _impute_scale_sql() -> str:
 @query("impute_scale", _impute_scale_sql())
 def q_impute_scale(spark, sf_dir):
     """Median imputation and standard scaling fitted on train, applied to test (M3, M4)."""
-    g = gold(spark, sf_dir)
+    g = gold(spark, sf_dir).persist()  # read by the median, the scaling fit and the test rows
     model = fit_impute_scale(splits.split_part(g, "train", cuts=CUTS), FEATURES, impute=True, scale=True)
     test = splits.split_part(g, "test", cuts=CUTS)
     return round_doubles(model.apply(test).select("ticker", "date", *FEATURES))
