@@ -872,3 +872,17 @@ def q_features_missing_inputs(spark, sf_dir):
     p = fx.panel(spark, sf_dir).drop("volume", "usdtry")
     out = feat.build_features(p, NOTEBOOK)
     return round_doubles(out.select("ticker", "date", "return_20d", "volume_ratio_20d", "usdtry_return_20d"))
+
+
+@query("bronze_to_gold_local", f"with {O.gold_ctes(rule='required')} select date, ticker, "
+       "target_outperform_20d, round(return_5d, 6) as return_5d, round(price_to_ma50, 6) as price_to_ma50, "
+       "round(volatility_20d, 6) as volatility_20d from gold")
+def q_bronze_to_gold_local(spark, sf_dir):
+    """The script chain from raw text: dictionary-first header rule, lenient dates and
+    numbers, no dedupe, benchmark required before features, required-columns gold rule
+    (P2, P5, P8, P10, P12)."""
+    bronze = cleaning.normalise_columns(fx.raw_panel(spark, sf_dir), rule="dictionary")
+    silver = cleaning.build_silver(bronze, lenient_dates=True, deduplicate=False, required=())
+    g = feat.build_gold(silver, C.LOCAL)
+    return round_doubles(g.select("date", "ticker", "target_outperform_20d", "return_5d",
+                                  "price_to_ma50", "volatility_20d"))
