@@ -37,6 +37,8 @@ def clean_numeric(c) -> Column:
 
 
 def half_even(c, digits: int) -> Column:
-    """Banker's rounding as numpy/pandas ``round`` does it: ``rint(x * 10^d) / 10^d``."""
+    """Banker's rounding as numpy/pandas ``round`` does it: ``rint(x * 10^d) / 10^d``
+    (a negative value that rounds to zero keeps its sign, as ``rint`` does)."""
     scale = float(10 ** digits)
-    return F.bround(as_col(c) * F.lit(scale), 0) / F.lit(scale)
+    y = as_col(c) * F.lit(scale)
+    return F.signum(y) * F.bround(F.abs(y), 0) / F.lit(scale)

@@ -55,7 +55,8 @@ class LinearScorer:
         if self.digits is None:
             return p
         scale = float(10 ** self.digits)
-        return F.round(p * F.lit(scale), 0) / F.lit(scale)
+        y = p * F.lit(scale)
+        return F.signum(y) * F.round(F.abs(y), 0) / F.lit(scale)
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         rows = [("(intercept)", float(self.intercept))] + [(n, float(w)) for n, w in self.weights]

@@ -36,9 +36,11 @@ def query(name: str, sql: str | None = None):
 
 
 def round_scaled(c, digits: int):
-    """Half-away-from-zero rounding of ``c * 10^digits`` (the binary value, not its text)."""
+    """Half-away-from-zero rounding of ``c * 10^digits`` (the binary value, not its
+    text), keeping the sign of a value that rounds to zero, as C's ``round`` does."""
     scale = float(10 ** digits)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+    y = c * F.lit(scale)
+    return F.signum(y) * F.round(F.abs(y), 0) / F.lit(scale)
 
 
 def round_doubles(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from ..operators.models import LinearScorer, fit_impute_scale, score, select_bes
 from . import fixtures as fx
 from . import pipeline
 from . import oracle_sql as O
-from .catalog import query, round_doubles
+from .catalog import query, round_doubles, round_scaled
 
 NOTEBOOK = C.NOTEBOOK
 FEATURES = list(C.FEATURE_COLUMNS)
@@ -543,8 +543,7 @@ def q_train_scaling(spark, sf_dir):
     big = F.col("feature").isin(list(BIG))
 
     def rnd(c):
-        return F.when(big, F.round(F.col(c) * 100.0, 0) / 100.0).otherwise(
-            F.round(F.col(c) * 1e6, 0) / 1e6).alias(c)
+        return F.when(big, round_scaled(F.col(c), 2)).otherwise(round_scaled(F.col(c), 6)).alias(c)
 
     return s.select("feature", rnd("mean"), rnd("std"))
 
