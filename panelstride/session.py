@@ -26,11 +26,13 @@ LOCAL_DEFAULTS = {
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
                   driver_memory: str = "16g", app_name: str = "panelstride") -> SparkSession:
     """Session for tests and the bench (``local[cores]``)."""
+    warehouse = tempfile.mkdtemp(prefix="panelstride-wh-", dir=os.environ.get("TMPDIR", "/tmp"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        .config("spark.sql.warehouse.dir", warehouse)
     )
     for key, value in LOCAL_DEFAULTS.items():
         builder = builder.config(key, value)

@@ -156,3 +156,18 @@ def test_csv_ingest_groups_header_layouts(spark, tmp_path):
     assert got == [("AAA", "02-01-2020", "1"), ("BBB", "03-01-2020", "2")]
     with pytest.raises(FileNotFoundError):
         files.ingest_csv(spark, str(tmp_path), pattern="*.nothing")
+
+
+def test_bucketed_silver_feeds_windows_without_exchange(spark):
+    from panelstride import config as C
+    from panelstride.operators import features
+    from panelstride.plans import fixtures as fx
+
+    silver = fx.panel(spark, "/root/testdata/sf0.001")
+    tables.write_table(silver, "silver_bucketed_test", bucket_by="ticker", buckets=4, sort_by=("ticker", "date"))
+    back = tables.read_table(spark, "silver_bucketed_test")
+    feats = features.build_features(back, C.NOTEBOOK)
+    plan = feats._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert feats.count() == silver.count()
+    spark.sql("drop table silver_bucketed_test")
