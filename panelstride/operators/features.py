@@ -2,7 +2,10 @@
 
 All windows share one partitioning (entity) and one order (time) with
 *row* frames, so Catalyst plans a single Exchange + Sort for the whole
-feature set and stacks the Window operators on top of it. After the
+feature set and stacks two Window operators on top of it: the forward fill is
+folded into the look-back frames (``lag(ffill(x), k)`` is the last non-null
+``x`` up to ``k`` rows back), and only the volatility of 1-row returns needs a
+second pass. After the
 (entity, time) dedupe of silver, a window partition holds at most one row per
 calendar day of that entity, so its size is bounded by the calendar, not by
 the data volume.
@@ -85,15 +88,19 @@ def _features(df: DataFrame, cfg: FeatureConfig, keys: Keys = None,
     c = cfg.cols
     present = set(df.columns)
 
-    if prefilled is None:
-        filled = {col: _fill_name(col) for col in _fill_columns(df, cfg)}
-        out = df.withColumns({f: forward_fill(col, c, keys) for col, f in filled.items()}) if filled else df
-    else:
-        filled, out = dict(prefilled), df
+    fill_inline = prefilled is None and cfg.fill == "ffill"
+    filled, out = (dict(prefilled), df) if prefilled is not None else ({}, df)
 
     def change(col: str, k: int) -> Column:
         if col not in present:
             return F.lit(None).cast("double")
+        if fill_inline:
+            # lag(ffill(x), k) == last non-null x up to k rows back: the fill and
+            # every lag evaluate in one Window operator over the same frame order
+            w = entity_window(c, keys)
+            now = F.last(F.col(col), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+            back = F.last(F.col(col), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -k))
+            return ratio_minus_one(now, back)
         return pct_change(col, k, c, filled.get(col), keys)
 
     stage2: dict[str, Column] = {}
