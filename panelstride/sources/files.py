@@ -113,7 +113,9 @@ def _col_index(ref: str) -> int:
 
 
 def _excel_date(serial: float) -> str:
-    return (date(1899, 12, 30) + timedelta(days=int(float(serial)))).isoformat()
+    """A date-formatted cell as day-first text, the form the silver step parses
+    (strict ``dd-MM-yyyy``), so true date cells and date text land alike."""
+    return (date(1899, 12, 30) + timedelta(days=int(float(serial)))).strftime("%d-%m-%Y")
 
 
 def decode_xlsx(data: bytes) -> list[dict[str, str | None]]:

@@ -171,3 +171,23 @@ def test_bucketed_silver_feeds_windows_without_exchange(spark):
     assert "Exchange" not in plan
     assert feats.count() == silver.count()
     spark.sql("drop table silver_bucketed_test")
+
+
+def test_workbook_date_styled_cells():
+    """A cell with a date number format is decoded to day-first date text
+    (serial 43832 = 2020-01-02), which the strict silver parse accepts."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = (f'<worksheet {ns}><sheetData>'
+             '<row r="1"><c r="A1" t="inlineStr"><is><t>Tarih</t></is></c>'
+             '<c r="B1" t="inlineStr"><is><t>Kapanış(TL)</t></is></c></row>'
+             '<row r="2"><c r="A2" s="1"><v>43832</v></c><c r="B2"><v>10.25</v></c></row>'
+             '</sheetData></worksheet>')
+    styles = (f'<styleSheet {ns}><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>'
+              '</styleSheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="S" sheetId="1"/></sheets></workbook>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/styles.xml", styles)
+    rows = files.decode_xlsx(buf.getvalue())
+    assert rows == [{"Tarih": "02-01-2020", "Kapanış(TL)": "10.25"}]
