@@ -61,8 +61,11 @@ def _fill_name(c: str) -> str:
     return f"__ffill_{c}"
 
 
+AUTO_SEGMENT_ROWS = 2_000_000
+
+
 def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK,
-                   segment_rows: int | None = None) -> DataFrame:
+                   segment_rows: int | str | None = None) -> DataFrame:
     """Add every look-back feature, the forward returns and the label.
 
     Rows are not filtered here; see :func:`build_gold` for the row rules.
@@ -70,7 +73,14 @@ def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK,
 
     ``segment_rows``: entities with more rows than this are cut into time
     segments that are windowed in parallel (exact; see :func:`_segmented`).
+    ``"auto"`` counts rows per entity first (one partial aggregate) and takes
+    the segmented path, with ``AUTO_SEGMENT_ROWS``, only if some entity is
+    larger than that.
     """
+    if segment_rows == "auto":
+        sizes = df.groupBy(cfg.cols.entity).agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        segment_rows = AUTO_SEGMENT_ROWS if largest > AUTO_SEGMENT_ROWS else None
     if segment_rows:
         return _segmented(df, cfg, segment_rows)
     return _features(df, cfg)
@@ -240,7 +250,7 @@ def gold_columns(df: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> list[str]:
 
 
 def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK,
-               segment_rows: int | None = None) -> DataFrame:
+               segment_rows: int | str | None = None) -> DataFrame:
     """Silver-shaped panel -> gold table under the configured row rules.
 
     1. drop rows missing any ``cfg.required`` column (before features),

@@ -116,3 +116,15 @@ def test_segmented_equals_plain(spark, segment_rows):
     b = seg.exceptAll(plain).count()
     assert (a, b) == (0, 0)
     assert seg.count() == plain.count()
+
+
+def test_auto_segmenting_switches_on_large_entities(spark, monkeypatch):
+    from panelstride.plans import fixtures as fx
+
+    p = fx.panel(spark, "/root/testdata/sf0.001")
+    plain = feat.build_features(p, NOTEBOOK)
+    monkeypatch.setattr(feat, "AUTO_SEGMENT_ROWS", 25)  # every entity counts as large
+    auto = feat.build_features(p, NOTEBOOK, segment_rows="auto")
+    assert "__seg" not in auto.columns
+    assert "percentile_approx" in auto._jdf.queryExecution().optimizedPlan().toString()  # segmented
+    assert auto.exceptAll(plain).count() == 0 and plain.exceptAll(auto).count() == 0
