@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from panelstride.llm import exact_dedup, simhash_dedup
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from panelstride.llm import (
+    edit_counts,
+    exact_dedup,
+    hmm_scoring,
+    imatch,
+    mixing,
+    packing,
+    quality,
+    ring_sharding,
+    simhash_dedup,
+    substring_dedup,
+)
 from panelstride.llm.catalog import query, table
 
 
@@ -17,6 +31,129 @@ def op1_exact_dedup(spark, sf_dir):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark, sf_dir):
+    return hmm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup", sql=r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, p, sha256(array_to_string(w[p:p + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS p FROM d WHERE len(w) >= 35)),
+rep AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+spans AS (SELECT doc_id, p FROM win JOIN rep USING (h)),
+gone AS (
+  SELECT DISTINCT doc_id, q FROM (SELECT doc_id, unnest(generate_series(p, p + 34)) AS q FROM spans)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS q FROM d WHERE len(w) > 0),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS t
+  FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op4_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), k=35)
+
+
+@query("op5_imatch_fingerprints", sql=r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_distinct(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS t
+  FROM documents),
+lex AS (
+  SELECT t FROM (SELECT unnest(t) AS t FROM d) GROUP BY t
+  HAVING count(*) >= greatest(1.0, 0.005 * (SELECT count(*) FROM d)) AND count(*) <= 0.02 * (SELECT count(*) FROM d)),
+nx AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after,
+         coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id
+  FROM d),
+e AS (
+  SELECT doc_id, next_id, text, left(text, length(text) - CAST(floor(length(text) / 4) AS BIGINT))
+         || left(after, CAST(floor(length(text) / 4) AS BIGINT)) AS edited FROM nx),
+texts AS (
+  SELECT doc_id, 0 AS k, text AS x FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+terms AS (
+  SELECT doc_id, k, unnest(list_distinct(list_filter(string_split_regex(lower(x), '[^\p{L}\p{N}]+'), lambda y: y <> ''))) AS t
+  FROM texts),
+flagged AS (SELECT doc_id, k, t, md5(t) AS h, lex.t IS NOT NULL AS inside FROM terms LEFT JOIN lex USING (t)),
+chosen AS (
+  SELECT doc_id, k, t, h FROM flagged
+  QUALIFY inside OR count(*) FILTER (inside) OVER (PARTITION BY doc_id, k) < 8),
+subset AS (SELECT unnest(generate_series(1, 63)) AS i),
+member AS (
+  SELECT doc_id, k, i, substr(md5(string_agg(t, ' ' ORDER BY t)), 1, 4) AS entry
+  FROM chosen JOIN subset ON CASE WHEN i <= 32 THEN substr(h, CAST(i AS INT), 1) = '0'
+                                  ELSE substr(h, CAST(i - 32 AS INT), 2) = '00' END
+  GROUP BY doc_id, k, i),
+fp AS (
+  SELECT x.doc_id, x.k, list(coalesce(entry, '....') ORDER BY i) AS f
+  FROM (SELECT doc_id, k, i FROM texts CROSS JOIN subset) x LEFT JOIN member USING (doc_id, k, i) GROUP BY x.doc_id, x.k),
+three AS (
+  SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, a.f AS f, b.f AS ef, c.f AS nf
+  FROM e JOIN fp a ON a.doc_id = e.doc_id AND a.k = 0 JOIN fp b ON b.doc_id = e.doc_id AND b.k = 1
+  JOIN fp c ON c.doc_id = e.next_id AND c.k = 0),
+counted AS (
+  SELECT *, len(list_filter(list_zip(f, ef), lambda x: x[1] <> '....' OR x[2] <> '....')) AS ea,
+            len(list_filter(list_zip(f, ef), lambda x: x[1] = x[2] AND x[1] <> '....')) AS eb,
+            len(list_filter(list_zip(f, nf), lambda x: x[1] <> '....' OR x[2] <> '....')) AS na,
+            len(list_filter(list_zip(f, nf), lambda x: x[1] = x[2] AND x[1] <> '....')) AS nb
+  FROM three)
+SELECT doc_id, n_chars, edited_sha256, array_to_string(f, '') AS fingerprint, array_to_string(ef, '') AS edited_fingerprint,
+       CASE WHEN ea = 0 THEN 1.0 ELSE CAST(eb AS DOUBLE) / ea END AS near_edited,
+       CASE WHEN na = 0 THEN 1.0 ELSE CAST(nb AS DOUBLE) / na END AS near_next
+FROM counted
+""")
+def op5_imatch_fingerprints(spark, sf_dir):
+    return imatch.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query("op6_ring_sharding")
+def op6_ring_sharding(spark, sf_dir):
+    found = ring_sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"), "home_shard")
+
+
+@query("op7_edit_token_counts")
+def op7_edit_token_counts(spark, sf_dir):
+    """Three edits for each document, made of its own columns: its source replaces 20
+    characters behind the first third, its length goes to the front, its language to
+    the end."""
+    docs = table(spark, sf_dir, "documents")
+    n = F.char_length(F.coalesce("text", F.lit("")))
+
+    def edit(start, length, replacement):
+        return F.struct(start.cast("long").alias("start"), F.lit(length).cast("long").alias("length"),
+                        F.coalesce(replacement.cast("string"), F.lit("")).alias("replacement"))
+
+    edits = F.array(edit(F.floor(n / 3), 20, F.col("source")),
+                    edit(F.lit(0), 0, F.concat(n.cast("string"), F.lit(" "))),
+                    edit(F.lit((1 << 62)), 0, F.concat(F.lit("\n"), F.col("lang"))))
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    trees = edit_counts.trees(docs, ranks, pattern, keep={"edits": edits})
+    return edit_counts.apply_edits(trees, ranks, pattern).drop("text", "chars", "tokens", "pre_tokens")
+
+
 @query("op8_simhash_dedup")
 def op8_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf_dir):
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+@query("op10_source_mixing")
+def op10_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), max_epochs=1.5, block_tokens=1_000_000)
