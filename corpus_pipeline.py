@@ -1,11 +1,29 @@
-"""A corpus pipeline of the operators in ``panelstride.llm``."""
+"""A corpus pipeline of the operators in ``panelstride.llm``.
+
+``STAGES`` are applied in order to ``documents``; each gets all rows that its
+predecessor kept, written as Parquet and read again. All but the last return the
+columns of ``documents``:
+
+1. documents that the quality classifier rejects go;
+2. of equal texts the one with the largest id stays;
+3. of each group of SimHash near-duplicates the one with the smallest id stays;
+4. sources are mixed: every document stays, those of small sources may come twice,
+   as far as the limit on repetition allows;
+5. the rows are packed into sequences: a row for each piece.
+"""
 
 from __future__ import annotations
 
-from panelstride.llm import exact_dedup, simhash_dedup
+import public_tokenizers
+
+from panelstride.llm import exact_dedup, mixing, packing, quality, simhash_dedup
 from panelstride.llm.common import written
 
 
+def quality_classifier(spark, docs, sf_dir):
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark, docs, sf_dir):
     return exact_dedup.drop_exact_duplicates(docs)
 
@@ -14,15 +32,30 @@ def near(spark, docs, sf_dir):
     return simhash_dedup.drop_near_duplicates(docs, shingle=3, distance=3)
 
 
-STAGES = [("exact dedup", exact), ("SimHash near-dedup", near)]
+def source_mixing(spark, docs, sf_dir):
+    return mixing.mixed_documents(docs, max_epochs=1.5)
+
+
+def best_fit_packing(spark, docs, sf_dir):
+    return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: None of the learned and packed stages can be said in SQL.
+#: SQL can't express the learned, SimHash and packing stages; tests/llm compare the
+#: pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``; each stage's rows are written and read again."""
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
