@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,24 +39,32 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, as it stands there
+    (the same in every session, so that what lies in it can be found again).
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a laptop or test session) is a scratch folder created and registered.
+    Only a one-machine ``local`` session may go without the setting and gets a
+    temporary folder; any other session must name a folder all its machines share.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="panelstride-ckpt-",
-                                      dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    conf = spark.sparkContext.getConf()
+    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    folder = tempfile.mkdtemp(prefix="panelstride-shared-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read back: cuts the
+    lineage, so later steps neither recompute it nor depend on any executor's memory."""
+    path = f"{shared_folder(df.sparkSession)}/panelstride/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

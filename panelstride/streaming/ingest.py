@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import entity_from_filename, header_name, header_name_dictionary
-from ..session import ensure_checkpoint_dir
 
 
 def bronze_stream(spark: SparkSession, landing: str, header: Sequence[str], pattern: str = "*.csv",
@@ -42,11 +41,10 @@ def bronze_stream(spark: SparkSession, landing: str, header: Sequence[str], patt
 
 def start_ingest(stream: DataFrame, target: str, checkpoint: str | None = None,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Append the stream to a Parquet folder; the checkpoint (default: under the
-    cluster's shared ``spark.checkpoint.dir``) records which files landed."""
-    spark = stream.sparkSession
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelstride/stream-{abs(hash(target))}"
+    """Append the stream to a Parquet folder; the checkpoint records which files landed.
+    It lies beside the target unless named, so that a restarted job, in whatever
+    session, finds it."""
+    checkpoint = checkpoint or f"{target.rstrip('/')}.checkpoint"
     w = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
     w = w.outputMode("append")
     if available_now:
