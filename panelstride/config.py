@@ -123,6 +123,11 @@ class PanelColumns:
     benchmark: str = "bist100"
     fx: str = "usdtry"
     volume: str = "volume"
+    #: Order of rows that share entity and time, as far as these columns are present.
+    ties: tuple[str, ...] = ()
+
+    def present_in(self, columns) -> "PanelColumns":
+        return replace(self, ties=tuple(t for t in self.ties if t in columns))
 
 
 @dataclass(frozen=True)
@@ -209,6 +214,8 @@ class FeatureConfig:
 
 
 NOTEBOOK = FeatureConfig()
-LOCAL = FeatureConfig(required=("date", "ticker", "close", "bist100"), gold_rule="required",
+# The script chain does not dedupe: rows of one date are ordered by file and place in it.
+LOCAL = FeatureConfig(cols=PanelColumns(ties=("source_file", "source_block", "source_row", "close", "volume")),
+                      required=("date", "ticker", "close", "bist100"), gold_rule="required",
                       extra_cols=("bist100", "return_1d"))
 PRESETS = {"notebook": NOTEBOOK, "local": LOCAL}

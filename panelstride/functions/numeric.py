@@ -24,16 +24,20 @@ def ratio_minus_one(numerator, denominator) -> Column:
     return safe_div(numerator, denominator) - F.lit(1.0)
 
 
+#: Decimal number text; leaves out what a JVM also reads (``12d``, ``0x1p3``).
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def clean_numeric(c) -> Column:
     """Parse number text written with a decimal comma, blanks or no-break spaces.
 
     ``'1,5'`` and ``' 1.5 '`` give 1.5; text that is still not a number after
-    the comma is read as a point (``'1.234,5'``), ``'nan'``, ``'None'`` and the
-    empty string give null; non-finite results give null.
+    the comma is read as a point (``'1.234,5'``), ``'nan'``, ``'None'``, type suffixes
+    and the empty string give null; non-finite results give null.
     """
     text = as_col(c).cast("string")
     text = F.regexp_replace(F.replace(text, F.lit(","), F.lit(".")), "[ \u00a0]", "")
-    return finite_or_null(text.try_cast("double"))
+    return finite_or_null(F.when(text.rlike(_NUMBER), text.try_cast("double")))
 
 
 def half_even(c, digits: int) -> Column:

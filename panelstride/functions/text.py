@@ -17,81 +17,91 @@ from pyspark.sql import functions as F
 from ..config import HEADER_DICTIONARY, HEADER_FOLD_FROM, HEADER_FOLD_TO
 from ._cols import as_col
 
-# Code-point ranges whose compatibility decomposition is folded by
-# :func:`accent_fold`: Latin-1 supplement, Latin extended A/B, Latin extended
-# additional, letter-like symbols, ligatures and full-width forms.
+# Code-point ranges whose letters are folded to plain ones: Latin-1 supplement, Latin
+# extended A/B, Latin extended additional, letter-like symbols, ligatures and
+# full-width forms.
 _FOLD_RANGES = ((0x00A0, 0x024F), (0x1E00, 0x1EFF), (0x2100, 0x214F),
                 (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
 
+#: White space of any kind, as ``str.strip`` knows it.
+_SPACE = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
+#: What a header keeps: each run is a word, words are joined by one underscore.
+_HEADER_WORD = "[a-z0-9]+"
 
-@functools.lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Derive the accent-fold table from the Unicode database.
 
-    Single-character results go through one ``translate``; the few
-    multi-character ones (ligatures, fractions) through ``replace``.
-    """
-    src, dst, multi = [], [], []
+@functools.lru_cache(maxsize=1)
+def fold_table() -> dict[str, str]:
+    """Character -> its compatibility decomposition without marks, from the Unicode
+    database. Both the Column and the string rules fold with this one table."""
+    table = {}
     for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            folded = "".join(c for c in unicodedata.normalize("NFKD", ch)
-                             if not unicodedata.combining(c))
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            elif folded:
-                multi.append((ch, folded))
-    return "".join(src), "".join(dst), tuple(multi)
+        for ch in map(chr, range(lo, hi + 1)):
+            plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not _is_mark(c))
+            if plain != ch:
+                table[ch] = plain
+    return table
+
+
+def _is_mark(ch: str) -> bool:
+    return unicodedata.category(ch).startswith("M")
+
+
+def fold_text(text: str) -> str:
+    """String form of :func:`accent_fold`."""
+    table = fold_table()
+    return "".join(table.get(ch, ch) for ch in text if not _is_mark(ch))
 
 
 def accent_fold(c) -> Column:
-    """Compatibility-decompose and drop combining marks (NFKD fold) for Latin text."""
-    src, dst, multi = _fold_tables()
-    out = as_col(c)
-    for ch, folded in multi:
-        out = F.replace(out, F.lit(ch), F.lit(folded))
-    return F.translate(out, src, dst)
+    """Latin letters without their accents, whether these are part of a character or
+    stand behind it as marks of their own; ligatures and wide forms become plain."""
+    table = fold_table()
+    single = {k: v for k, v in table.items() if len(v) == 1}
+    out = F.regexp_replace(as_col(c), r"\p{M}+", "")
+    for ch, plain in table.items():
+        if len(plain) != 1:
+            out = F.replace(out, F.lit(ch), F.lit(plain))
+    return F.translate(out, "".join(single), "".join(single.values()))
 
 
-def _snake(c: Column) -> Column:
-    """Runs of anything but ``[a-z0-9]`` become ``_``; leading/trailing ``_`` go."""
-    return F.regexp_replace(F.regexp_replace(c, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+def strip_space(c) -> Column:
+    """White space of any kind removed from both ends."""
+    return F.regexp_replace(as_col(c), f"^{_SPACE}+|{_SPACE}+$", "")
 
 
-def normalise_header(c) -> Column:
-    """Generic header rule: trim, dotless/dotted i -> i, accent fold, lower, snake."""
-    c = F.trim(as_col(c))
-    c = F.translate(c, "ıİ", "ii")
-    return _snake(F.lower(accent_fold(c)))
+def _header_words(c: Column) -> Column:
+    return F.array_join(F.regexp_extract_all(F.lower(c), F.lit(f"({_HEADER_WORD})")), "_")
 
 
-def normalise_header_dictionary(c) -> Column:
-    """Script-chain header rule: exact dictionary first, then pairwise letter fold."""
-    trimmed = F.trim(as_col(c))
-    mapping = F.create_map(*[F.lit(x) for kv in HEADER_DICTIONARY.items() for x in kv])
-    fallback = _snake(F.lower(F.translate(trimmed, HEADER_FOLD_FROM, HEADER_FOLD_TO)))
-    return F.coalesce(F.try_element_at(mapping, trimmed), fallback)
+def _header_words_of(text: str) -> str:
+    return "_".join(re.findall(_HEADER_WORD, text.lower()))
 
 
-# -- driver-side (schema metadata) forms ------------------------------------
+def normalise_header(c) -> Column:
+    """Generic header rule: the words of the accent-folded header in lower case, joined
+    by underscores; a dotless i counts as i."""
+    return _header_words(F.translate(accent_fold(c), "ı", "i"))
+
 
 def header_name(name: str) -> str:
-    """String form of :func:`normalise_header` for column names."""
-    s = str(name).strip().replace("ı", "i").replace("İ", "i")
-    s = "".join(ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch))
-    return re.sub(r"[^a-z0-9]+", "_", s.lower()).strip("_")
+    """String form of :func:`normalise_header`, for column names on the driver."""
+    return _header_words_of(fold_text(str(name)).replace("ı", "i"))
+
+
+def normalise_header_dictionary(c) -> Column:
+    """Script-chain header rule: a known header has its name; the words of any other,
+    after the fixed letter pairs, are joined by underscores."""
+    known = F.create_map(*[F.lit(x) for pair in HEADER_DICTIONARY.items() for x in pair])
+    header = strip_space(c)
+    return F.coalesce(F.try_element_at(known, header),
+                      _header_words(F.translate(header, HEADER_FOLD_FROM, HEADER_FOLD_TO)))
 
 
 def header_name_dictionary(name: str) -> str:
-    """String form of :func:`normalise_header_dictionary` for column names."""
-    s = str(name).strip()
-    if s in HEADER_DICTIONARY:
-        return HEADER_DICTIONARY[s]
-    s = s.translate(str.maketrans(HEADER_FOLD_FROM, HEADER_FOLD_TO))
-    return re.sub(r"[^a-z0-9]+", "_", s.lower()).strip("_")
+    """String form of :func:`normalise_header_dictionary`, for column names."""
+    header = str(name).strip()
+    pairs = str.maketrans(HEADER_FOLD_FROM, HEADER_FOLD_TO)
+    return HEADER_DICTIONARY.get(header) or _header_words_of(header.translate(pairs))
 
 
 # -- file names and dates ---------------------------------------------------
@@ -117,15 +127,15 @@ def parse_day_first(c, pattern: str = "dd-MM-yyyy") -> Column:
     return F.try_to_date(F.trim(as_col(c).cast("string")), pattern)
 
 
-LENIENT_DATE_PATTERNS = ("dd-MM-yyyy", "dd.MM.yyyy", "dd/MM/yyyy", "yyyy-MM-dd",
+LENIENT_DATE_PATTERNS = ("dd-MM-yyyy", "dd.MM.yyyy", "dd/MM/yyyy", "yyyy-MM-dd", "yyyy/MM/dd",
                          "d-M-yyyy", "d.M.yyyy", "d/M/yyyy")
 
 
 def parse_date_lenient(c, patterns: tuple[str, ...] = LENIENT_DATE_PATTERNS) -> Column:
     """Day-first or ISO date text (first pattern that parses wins); failures -> null.
 
-    A DATE or TIMESTAMP input is truncated to its day.
+    A time of day behind white space or a ``T`` is dropped; a DATE or TIMESTAMP input is
+    truncated to its day.
     """
-    text = F.trim(as_col(c).cast("string"))
-    head = F.regexp_extract(text, r"^(\S+)", 1)  # drop a trailing time of day
+    head = F.regexp_extract(strip_space(as_col(c).cast("string")), r"^([^\sT]+)", 1)
     return F.coalesce(*[F.try_to_date(head, p) for p in patterns])
