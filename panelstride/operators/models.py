@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURE_COLUMNS
+from ..session import shared_table
 from .stats import exact_quantiles, mean_std
 
 LABEL = "target_outperform_20d"
@@ -155,16 +156,44 @@ LOCAL_CANDIDATES = (
 )
 
 
-def balanced_weight(train: DataFrame, label: str = LABEL, name: str = "__w") -> tuple[Column, float]:
-    """``n / (k * n_class)`` as a literal ``when`` chain; returns (column, sum of weights)."""
-    counts = {r[label]: r["n"] for r in
-              train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+def training_table(train: DataFrame, features: Sequence[str], label: str = LABEL,
+                   order: Sequence[str] = ("ticker", "date")) -> DataFrame:
+    """The training rows a learner needs, written once: in sorted ranges of entity and
+    date, whose number grows with the rows. Iterations re-read this table, and bagging
+    depends on it rather than on the cluster's cores."""
+    keys = [c for c in order if c in train.columns]
+    rows = train.select(*dict.fromkeys([*keys, *features]), F.col(label).cast("double").alias(label))
+    if keys:
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return shared_table(rows, "train")
+
+
+def fit_statistics(data: DataFrame, features: Sequence[str], label: str, impute: bool,
+                   scale: bool) -> tuple[ImputeScale, dict]:
+    """Imputation and scaling, and the rows of each class, from one aggregate over
+    ``data`` (after the medians, where they are asked for)."""
+    model = ImputeScale(tuple(features))
+    if impute:
+        model.medians = {r["feature"]: r["value"] for r in exact_quantiles(data, features, 0.5).collect()}
+    base = model.apply(data) if impute else data
+    sums = [f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(features)
+            for k, f in (("m", F.avg), ("s", F.stddev_pop))] if scale else []
+    # bounded: a row for each class; means and deviations come with the total row
+    rows = base.rollup(label).agg(F.count(F.lit(1)).alias("n"), F.grouping(label).alias("total"), *sums).collect()
+    if scale:
+        total = next(r for r in rows if r["total"])
+        model.means = {c: total[f"m{i}"] for i, c in enumerate(features)}
+        model.stds = {c: total[f"s{i}"] for i, c in enumerate(features)}
+    return model, {r[label]: r["n"] for r in rows if not r["total"]}
+
+
+def balanced_weight(counts: Mapping, label: str = LABEL, name: str = "__w") -> Column:
+    """``n / (k * n_class)`` as a literal ``when`` chain, from the rows of each class."""
     n, k = sum(counts.values()), len(counts)
-    expr = None
+    expr = F
     for cls, c in counts.items():
-        w = F.lit(n / (k * c))
-        expr = F.when(F.col(label) == cls, w) if expr is None else expr.when(F.col(label) == cls, w)
-    return expr.alias(name), float(n)
+        expr = expr.when(F.col(label) == F.lit(cls), F.lit(n / (k * c)))
+    return expr.alias(name)
 
 
 def fit_candidate(train: DataFrame, cand: Candidate, features: Sequence[str] = FEATURE_COLUMNS,
@@ -172,21 +201,17 @@ def fit_candidate(train: DataFrame, cand: Candidate, features: Sequence[str] = F
     """Fit preprocessing + classifier on ``train`` as one ``PipelineModel`` (M5, M6).
     Features missing from ``train`` are left out, as the script chain does."""
     features = [f for f in features if f in train.columns]
-    prep = fit_impute_scale(train, features, impute=cand.impute,
-                            scale=cand.scale and cand.kind == "logistic")
-    data = train
-    weight_col = None
-    total_weight = None
-    if cand.balanced:
-        wcol, total_weight = balanced_weight(train, label)
-        data = data.withColumn("__w", wcol)
-        weight_col = "__w"
+    return fit_table(training_table(train, features, label), cand, features, label)
+
+
+def fit_table(data: DataFrame, cand: Candidate, features: Sequence[str], label: str) -> PipelineModel:
+    """Fit on the rows of a :func:`training_table`."""
+    prep, counts = fit_statistics(data, features, label, cand.impute, cand.scale and cand.kind == "logistic")
     inputs = [f"{f}__in" for f in features]
     stages = [prep.stage("__in"), VectorAssembler(inputCols=inputs, outputCol="__features",
                                                   handleInvalid="keep" if cand.impute else "error")]
-    if cand.kind == "logistic":
-        n = total_weight if total_weight is not None else float(data.count())
-        clf = LogisticRegression(featuresCol="__features", labelCol=label, regParam=1.0 / n,
+    if cand.kind == "logistic":  # balanced weights sum up to the rows as well
+        clf = LogisticRegression(featuresCol="__features", labelCol=label, regParam=1.0 / sum(counts.values()),
                                  elasticNetParam=0.0, standardization=False, maxIter=cand.max_iter,
                                  tol=1e-6, probabilityCol="__prob", rawPredictionCol="__raw",
                                  predictionCol="__pred")
@@ -196,21 +221,10 @@ def fit_candidate(train: DataFrame, cand: Candidate, features: Sequence[str] = F
                                      minInstancesPerNode=cand.min_leaf, seed=cand.seed,
                                      probabilityCol="__prob", rawPredictionCol="__raw",
                                      predictionCol="__pred")
-    if weight_col:
-        clf.setWeightCol(weight_col)
-    stages.append(clf)
-    # iterative learners re-read their input every iteration: materialise the
-    # training set once, in at most one task per core (one wave per iteration)
-    data = data.select(*features, label, *([weight_col] if weight_col else []))
-    data = data.withColumn(label, F.col(label).cast("double"))
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() > cores:
-        data = data.coalesce(cores)
-    data = data.persist()
-    try:
-        return Pipeline(stages=stages).fit(data)
-    finally:
-        data.unpersist()
+    if cand.balanced:
+        data = data.withColumn("__w", balanced_weight(counts, label))
+        clf.setWeightCol("__w")
+    return Pipeline(stages=[*stages, clf]).fit(data)
 
 
 def predict(model: PipelineModel, df: DataFrame, prob: str = "predicted_probability",
