@@ -13,19 +13,23 @@ the data volume.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NOTEBOOK, FeatureConfig, PanelColumns
 from ..functions.numeric import ratio_minus_one, safe_div
+from ..session import shared_table
 
 
 Keys = tuple[str, ...] | None
 
 
 def entity_window(cols: PanelColumns = PanelColumns(), keys: Keys = None):
-    """Rows of one entity (or of one entity segment, ``keys``) in time order."""
-    return Window.partitionBy(*(keys or (cols.entity,))).orderBy(cols.time)
+    """Rows of one entity (or of one entity segment, ``keys``) in time order, rows of the
+    same time in the order of the columns of ``cols.ties``."""
+    return Window.partitionBy(*(keys or (cols.entity,))).orderBy(cols.time, *cols.ties)
 
 
 def trailing(n: int, cols: PanelColumns = PanelColumns(), keys: Keys = None):
@@ -33,12 +37,6 @@ def trailing(n: int, cols: PanelColumns = PanelColumns(), keys: Keys = None):
     return entity_window(cols, keys).rowsBetween(-(n - 1), 0)
 
 
-def forward_fill(c: str, cols: PanelColumns = PanelColumns(), keys: Keys = None) -> Column:
-    """Last non-null value so far within the entity."""
-    w = entity_window(cols, keys).rowsBetween(Window.unboundedPreceding, 0)
-    return F.last(F.col(c), ignorenulls=True).over(w)
-
-
 def pct_change(c: str, k: int, cols: PanelColumns = PanelColumns(), filled: str | None = None,
                keys: Keys = None) -> Column:
     """``x / x.shift(k) - 1`` per entity; ``filled`` names an already forward-filled column."""
@@ -61,28 +59,22 @@ def _fill_name(c: str) -> str:
     return f"__ffill_{c}"
 
 
-AUTO_SEGMENT_ROWS = 2_000_000
-
-
-def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK,
-                   segment_rows: int | str | None = None) -> DataFrame:
+def build_features(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, segmented: bool = False,
+                   segments: int | None = None) -> DataFrame:
     """Add every look-back feature, the forward returns and the label.
 
     Rows are not filtered here; see :func:`build_gold` for the row rules.
     Missing volume or FX input columns give null features.
 
-    ``segment_rows``: entities with more rows than this are cut into time
-    segments that are windowed in parallel (exact; see :func:`_segmented`).
-    ``"auto"`` counts rows per entity first (one partial aggregate) and takes
-    the segmented path, with ``AUTO_SEGMENT_ROWS``, only if some entity is
-    larger than that.
+    ``segmented``: whether an entity may have more rows than the calendar has days
+    (raw rows without the dedupe, intraday rows). Entities are then windowed in time
+    segments of bounded size (exact; see :func:`_segmented`). It is a property of the
+    input that the caller states, not a matter of its size; ``segments`` sets how many
+    ranges the rows are dealt to (default: the session's shuffle partitions).
     """
-    if segment_rows == "auto":
-        sizes = df.groupBy(cfg.cols.entity).agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-        segment_rows = AUTO_SEGMENT_ROWS if largest > AUTO_SEGMENT_ROWS else None
-    if segment_rows:
-        return _segmented(df, cfg, segment_rows)
+    cfg = cfg.with_(cols=cfg.cols.present_in(df.columns))
+    if segmented:
+        return _segmented(df, cfg, segments)
     return _features(df, cfg)
 
 
@@ -146,88 +138,65 @@ def halo_sizes(cfg: FeatureConfig) -> tuple[int, int]:
     return back, cfg.horizon
 
 
-def _time_number(df: DataFrame, t: str) -> Column:
-    kind = df.schema[t].dataType.typeName()
-    if kind == "date":
-        return F.unix_date(F.col(t)).cast("long")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(t).cast("timestamp"))
-    return F.col(t).cast("long")
-
-
-def _segmented(df: DataFrame, cfg: FeatureConfig, segment_rows: int, grid: int = 256) -> DataFrame:
+def _segmented(df: DataFrame, cfg: FeatureConfig, segments: int | None = None) -> DataFrame:
     """Features for panels where one entity may hold a large share of all rows.
 
-    1. Per-entity row counts (partial aggregate); entities above
-       ``segment_rows`` are *hot*. Their time axis is cut at approximate
-       quantiles into ``ceil(n / segment_rows)`` segments (at most ``grid``).
-    2. Exact global row positions inside a hot entity come from per-segment
-       counts (a table of one row per segment) plus ``row_number`` inside the
-       segment.
-    3. Forward fill is finished per segment and completed with the last
-       non-null value of the earlier segments (same small table).
-    4. Each row is replicated into the neighbouring segments that need it as
-       look-back (``back`` rows) or look-ahead (``horizon`` rows) context;
-       windows then run per (entity, segment) and context rows are dropped.
+    1. Rows are dealt to sorted ranges of (entity, time, ties) and written: Spark's
+       sampled ranges come out even, whatever share an entity or a date has. An entity's
+       rows inside one range are a segment.
+    2. A table of one row per segment gives the rows before it and the last known value
+       of each forward-filled column; with them every row gets its position and its
+       filled values, which are written once.
+    3. A segment's windows need ``back`` rows before it and ``horizon`` rows behind it.
+       Positions say which rows these are; an equi-join on blocks of positions brings
+       them, from however many segments they lie in. Context rows are dropped at the end.
 
     Every result equals :func:`build_features` without segments.
     """
     c = cfg.cols
-    e, t = c.entity, c.time
+    e, order = c.entity, (c.time, *c.ties)
     back, fwd = halo_sizes(cfg)
-    tnum = _time_number(df, t)
-    probs = [i / grid for i in range(1, grid)]
-
-    counts = df.groupBy(e).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > segment_rows)
-    q = (df.join(hot.select(e), e, "left_semi").select(e, tnum.alias("__t"))
-         .groupBy(e).agg(F.percentile_approx("__t", probs, 10 * grid).alias("__q")))
-    nseg = F.least(F.ceil(F.col("__n") / F.lit(segment_rows)), F.lit(grid)).cast("int")
-    cuts = (hot.join(q, e).select(
-        e, F.array_distinct(F.transform(F.sequence(F.lit(1), nseg - 1),
-                                        lambda i: F.element_at("__q", (i * grid / nseg).cast("int"))))
-        .alias("__cuts")))
-
-    rows = (df.join(cuts, e, "left")
-            .withColumn("__seg", F.coalesce(F.size(F.filter("__cuts", lambda x: x <= tnum)), F.lit(0)))
-            .withColumn("__hot", F.col("__cuts").isNotNull()).drop("__cuts"))
-
+    block = max(back, fwd, 1)
     fills = _fill_columns(df, cfg)
-    seg_keys = (e, "__seg")
-    in_seg = Window.partitionBy(*seg_keys).orderBy(t)
-    # per-segment size and last non-null value of each filled column (one row per segment)
-    seg_tab = rows.where("__hot").groupBy(*seg_keys).agg(
-        F.count(F.lit(1)).alias("__size"),
-        *[F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(t))).alias(f"__last_{f}") for f in fills])
-    before = Window.partitionBy(e).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
-    seg_tab = seg_tab.select(
-        *seg_keys,
-        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"),
-        *[F.last(f"__last_{f}", ignorenulls=True).over(before).alias(f"__carry_{f}") for f in fills],
-        "__size")
-    bounds = seg_tab.groupBy(e).agg(F.collect_list(F.struct(
-        "__seg", "__start", (F.col("__start") + F.col("__size")).alias("__end"))).alias("__segs"))
-
     filled = {f: _fill_name(f) for f in fills}
-    rows = rows.join(seg_tab.drop("__size"), list(seg_keys), "left").join(bounds, e, "left")
-    rows = rows.withColumns({
-        "__pos": F.col("__start") + F.row_number().over(in_seg) - 1,
-        **{filled[f]: F.coalesce(F.last(F.col(f), ignorenulls=True).over(
-            in_seg.rowsBetween(Window.unboundedPreceding, 0)), F.col(f"__carry_{f}")) for f in fills},
-    }).drop("__start", *[f"__carry_{f}" for f in fills])
-
-    pos = F.col("__pos")
-    later = F.filter("__segs", lambda s: (s["__start"] > pos) & (s["__start"] <= pos + back))
-    earlier = F.filter("__segs", lambda s: (s["__end"] <= pos) & (s["__end"] > pos - fwd))
-    own = rows.withColumn("__ctx", F.lit(False))
-    hot_rows = rows.where("__hot")
-    ctx_back = hot_rows.withColumn("__seg", F.explode(F.transform(later, lambda s: s["__seg"]))) \
-        .withColumn("__ctx", F.lit(True))
-    ctx_ahead = hot_rows.withColumn("__seg", F.explode(F.transform(earlier, lambda s: s["__seg"]))) \
-        .withColumn("__ctx", F.lit(True))
-    ext = own.unionByName(ctx_back).unionByName(ctx_ahead).drop("__segs")
-
-    out = _features(ext, cfg, keys=seg_keys, prefilled=filled).where(~F.col("__ctx"))
+
+    ranges = [segments] if segments else []
+    dealt = shared_table(df.repartitionByRange(*ranges, e, *order)
+                         .withColumn("__seg", F.spark_partition_id()), "segments")
+    keys = [e, "__seg"]
+    before = Window.partitionBy(e).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (dealt.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__size"),
+        *[F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.struct(*order))).alias(f"__last_{f}") for f in fills])
+        .select(F.col(e).alias("__e"), F.col("__seg").alias("__s"), "__size",
+                F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"),
+                *[F.last(f"__last_{f}", ignorenulls=True).over(before).alias(f"__carry_{f}") for f in fills]))
+    sizes = shared_table(sizes, "segment_sizes")
+    same = F.col(e).eqNullSafe(F.col("__e")) & (F.col("__seg") == F.col("__s"))
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    rows = (dealt.withColumn("__row", F.row_number().over(inside) - 1)
+            .withColumns({f"__here_{f}": F.last(F.col(f), ignorenulls=True).over(so_far) for f in fills})
+            .join(sizes, same)
+            .withColumns({filled[f]: F.coalesce(f"__here_{f}", f"__carry_{f}") for f in fills})
+            .withColumn("__pos", F.col("__start") + F.col("__row"))
+            .select(*df.columns, "__seg", "__pos", *filled.values()))
+    rows = shared_table(rows, "positions")
+
+    # the stretches of positions that each segment needs around it, cut into blocks
+    end = F.col("__start") + F.col("__size")
+    needs = (sizes.withColumn("__span", F.explode(F.array(
+        F.struct((F.col("__start") - back).alias("low"), (F.col("__start") - 1).alias("high")),
+        F.struct(end.alias("low"), (end + fwd - 1).alias("high")))))
+        .select(F.col("__e"), F.col("__s"), F.col("__span.low").alias("__low"), F.col("__span.high").alias("__high"))
+        .withColumn("__block", F.explode(F.sequence(F.floor(F.col("__low") / block), F.floor(F.col("__high") / block)))))
+    context = (rows.drop("__seg").withColumn("__b", F.floor(F.col("__pos") / block))
+               .join(needs, F.col(e).eqNullSafe(F.col("__e")) & (F.col("__b") == F.col("__block"))
+                     & F.col("__pos").between(F.col("__low"), F.col("__high")))
+               .select(*df.columns, F.col("__s").alias("__seg"), "__pos", *filled.values(), F.lit(True).alias("__ctx")))
+    both = rows.withColumn("__ctx", F.lit(False)).unionByName(context)
+    by_position = cfg.with_(cols=replace(c, ties=("__pos",)))
+    out = _features(both, by_position, keys=(e, "__seg"), prefilled=filled).where(~F.col("__ctx"))
     new = [x for x in out.columns if x not in df.columns and not x.startswith("__")]
     return out.select(*df.columns, *new)
 
@@ -249,8 +218,8 @@ def gold_columns(df: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> list[str]:
     return cols
 
 
-def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK,
-               segment_rows: int | str | None = None) -> DataFrame:
+def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK, segmented: bool = False,
+               segments: int | None = None) -> DataFrame:
     """Silver-shaped panel -> gold table under the configured row rules.
 
     1. drop rows missing any ``cfg.required`` column (before features),
@@ -261,7 +230,7 @@ def build_gold(panel: DataFrame, cfg: FeatureConfig = NOTEBOOK,
        produces inf here, so the script chain's inf pass is implied.
     """
     base = panel.na.drop(subset=[r for r in cfg.required if r in panel.columns])
-    feats = build_features(base, cfg, segment_rows)
+    feats = build_features(base, cfg, segmented, segments)
     gold = feats.select(*gold_columns(feats, cfg))
     if cfg.gold_rule == "all":
         return gold.na.drop(how="any")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS, PanelColumns
-from ..functions.numeric import half_even
+from ..functions.numeric import half_even, safe_div
 
 COLS = PanelColumns()
 
@@ -37,8 +37,26 @@ def resample(df: DataFrame, freq: str = "monthly", cols: PanelColumns = COLS,
     ``daily``: every row, ``plot_date`` = date (W12)."""
     if freq.lower() == "daily":
         return df.withColumn(out, F.col(cols.time))
-    stamped = df.withColumn(out, F.trunc(cols.time, "MM"))
-    return last_per_group(stamped, [cols.entity, out], cols.time)
+    return _last_of_month(df, cols, out).select(*df.columns, out)
+
+
+def _last_of_month(df: DataFrame, cols: PanelColumns, out: str, *more: Column) -> DataFrame:
+    """The row with the greatest time of each (entity, month), with further aggregates."""
+    rest = [c for c in df.columns if c not in (cols.entity, cols.time) and not c.startswith("__")]
+    picked = (df.withColumn(out, F.trunc(cols.time, "MM")).groupBy(cols.entity, out)
+              .agg(F.max(F.struct(cols.time, *rest)).alias("__row"), *more))
+    return picked.select(cols.entity, out, *[c for c in picked.columns if c not in (cols.entity, out, "__row")],
+                         *[F.col(f"__row.{c}").alias(c) for c in [cols.time, *rest]])
+
+
+def _rebased_in_window(rows: DataFrame, cols: PanelColumns) -> DataFrame:
+    """At most a row a month for each entity: the window is bounded by the calendar."""
+    whole = (Window.partitionBy(cols.entity).orderBy("plot_date")
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return rows.withColumns({
+        "normalized_close": safe_div(F.col(cols.price), F.first(cols.price).over(whole)) * F.lit(100.0),
+        "first_available_date": F.min("__first").over(whole),
+    }).drop("__first")
 
 
 def entity_filter(df: DataFrame, entities, entity: str = "ticker") -> DataFrame:
@@ -55,32 +73,21 @@ def normalised_index(df: DataFrame, entities=None, freq: str = "monthly",
     with each entity's first available date (A6, J1).
 
     The universe filter is on the entity, so an entity's first available date in
-    the filtered rows equals the one in the unfiltered data: it is carried
-    through the month-end aggregate (``min`` per month) and finished with the
-    same per-entity window that finds the first close, instead of a second pass
-    over the input and a join. The window sees the resampled rows, at most one
-    per month (monthly) or per trading day (daily, after the silver dedupe), so
-    its partitions are bounded by the calendar. (Measured: a per-entity
-    aggregate joined back is 1.6x slower here, as it derives the month-end rows
-    twice.)
+    the filtered rows equals the one in the unfiltered data. Monthly rows (one a month
+    for each entity) are finished by one window per entity, which carries the first
+    date along; daily rows take the first close and date from a grouped aggregate, so
+    that no window holds an entity's whole history.
     """
     chosen = df if entities is None else entity_filter(df, entities, cols.entity)
     chosen = chosen.where(F.col(cols.time).isNotNull())
     if freq.lower() == "daily":
-        rows = chosen.withColumn("plot_date", F.col(cols.time)).withColumn("__first", F.col(cols.time))
+        rows = chosen.withColumn("plot_date", F.col(cols.time))
+        base = rows.groupBy(cols.entity).agg(F.min_by(cols.price, "plot_date").alias("__base"),
+                                             F.min(cols.time).alias("first_available_date"))
+        index = safe_div(F.col(cols.price), F.col("__base")) * F.lit(100.0)
+        rows = rows.join(base, cols.entity).withColumn("normalized_close", index).drop("__base")
     else:
-        stamped = chosen.withColumn("plot_date", F.trunc(cols.time, "MM"))
-        rest = [c for c in chosen.columns if c != cols.time and c != cols.entity]
-        rows = (stamped.groupBy(cols.entity, "plot_date")
-                .agg(F.max(F.struct(cols.time, *rest)).alias("__row"), F.min(cols.time).alias("__first"))
-                .select(cols.entity, "plot_date", "__first",
-                        *[F.col(f"__row.{c}").alias(c) for c in [cols.time, *rest]]))
-    whole = (Window.partitionBy(cols.entity).orderBy("plot_date")
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumns({
-        "normalized_close": F.col(cols.price) / F.first(cols.price).over(whole) * F.lit(100.0),
-        "first_available_date": F.min("__first").over(whole),
-    }).drop("__first")
+        rows = _rebased_in_window(_last_of_month(chosen, cols, "plot_date", F.min(cols.time).alias("__first")), cols)
     return (
         rows.withColumn("plot_date_str", F.date_format("plot_date", "yyyy-MM-dd"))
         .withColumn("first_available_date_str", F.date_format("first_available_date", "yyyy-MM-dd"))
@@ -89,18 +96,29 @@ def normalised_index(df: DataFrame, entities=None, freq: str = "monthly",
 
 def performance_summary(index_df: DataFrame, cols: PanelColumns = COLS) -> DataFrame:
     """First/last per entity by plot date, total return %, half-even rounded, best first."""
+    return rounded_summary(raw_summary(index_df, cols), cols)
+
+
+def raw_summary(index_df: DataFrame, cols: PanelColumns = COLS) -> DataFrame:
+    """The summary before rounding: rank and cut on this."""
     t = "plot_date"
-    s = index_df.groupBy(cols.entity).agg(
+    return index_df.groupBy(cols.entity).agg(
         F.min("first_available_date").alias("first_available_date"),
         F.max(t).alias("latest_date"),
         F.min_by(cols.price, t).alias("start_close"),
         F.max_by(cols.price, t).alias("latest_close"),
         F.max_by("normalized_close", t).alias("latest_normalized_index"),
     ).withColumn("total_return_pct", F.col("latest_normalized_index") - F.lit(100.0))
+
+
+def rounded_summary(summary: DataFrame, cols: PanelColumns = COLS, n: int | None = None) -> DataFrame:
+    """Sorted by the exact index, cut to the first ``n`` where asked, then rounded."""
     rounded = {c: half_even(c, 2) for c in
                ("start_close", "latest_close", "latest_normalized_index", "total_return_pct")}
-    return s.withColumns(rounded).orderBy(F.col("latest_normalized_index").desc_nulls_last(),
-                                          cols.entity)
+    names = summary.columns
+    kept = summary.withColumn("__exact", F.col("latest_normalized_index"))
+    kept = top_n(kept, "__exact", n, cols.entity) if n else kept
+    return kept.withColumns(rounded).orderBy(F.col("__exact").desc_nulls_last(), cols.entity).select(*names)
 
 
 def top_n(df: DataFrame, by: str, n: int, tie: str = "ticker", ascending: bool = False) -> DataFrame:
@@ -117,6 +135,21 @@ def class_label(pred: str = "predicted_class") -> Column:
     return expr
 
 
+def pick_universe(latest_pred: DataFrame, mode: str = "top", n: int = 20, entities: Iterable[str] = (),
+                  default: int = 8, cols: PanelColumns = COLS) -> DataFrame:
+    """The entities to compare (P15): ``top``: the ``n`` with the highest predicted
+    probability; ``selected``: the given ones that exist, or the ``default`` highest
+    where none is given; ``all``: every one."""
+    chosen = list(entities)
+    if mode == "top" or (mode == "selected" and not chosen):
+        first = n if mode == "top" else default
+        return top_n(latest_pred, "predicted_probability", first, cols.entity).select(cols.entity)
+    if mode not in ("selected", "all"):
+        raise ValueError(f"unknown mode {mode!r}")
+    names = latest_pred.select(cols.entity).distinct()
+    return names.where(F.col(cols.entity).isin(chosen)) if mode == "selected" else names
+
+
 def ranking(latest_pred: DataFrame, n: int = 25, cols: PanelColumns = COLS,
             features: Iterable[str] = ("return_20d", "volatility_20d", "volume_ratio_20d")) -> DataFrame:
     """Prediction ranking: probability in %, half-even to 2 places, top ``n``."""
