@@ -1,17 +1,21 @@
 """Directory ingest: one file per entity, entity key in the file name.
 
-* CSV / Parquet: files are grouped by header layout first (reading a directory
-  of CSVs whose column *order* differs would bind by position and silently
-  swap columns); each layout is read by Spark's own reader and the layouts are
-  stacked by name.
+* CSV: lines are read by Spark's text source, from whatever storage it reads, with the
+  file each line lies in; a file's first line is its header. Values find their columns
+  by the (normalised) names of their own file's header, so files of any layouts stack
+  by name, and only the distinct header lines come to the driver.
 * Workbooks (``.xlsx``): ``binaryFile`` + ``mapInPandas``, one decode per file
   inside the tasks. Each sheet row becomes a ``map<header, text>``, so
-  workbooks with different headers stack by name without a schema pass;
-  decode failures become rows of an error table instead of failing the job.
+  workbooks with different headers stack by name without a schema pass.
+* Both return ``(data, errors)``: files that give no rows for a reason become rows of
+  ``errors`` (``source_file``, ``error``) instead of failing the job.
+
+``source_block`` and ``source_row`` keep a row's place in its file.
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -20,81 +24,84 @@ from datetime import date, timedelta
 from xml.etree import ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import entity_from_filename, header_name, header_name_dictionary
-from ..operators.cleaning import union_all_by_name
+from ..session import shared_table
+
+HEADER_RULES = {"generic": header_name, "dictionary": header_name_dictionary}
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
-    """``(path, length, modificationTime)`` of the matching files; no content is read."""
+    """``(path, length, modificationTime, file_path)`` of the matching files (the last as
+    ``_metadata`` has it); no content is read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", str(recursive).lower()).load(path)
-            .select("path", "length", "modificationTime"))
-
-
-def _open(path: str):
-    if path.startswith("file:"):
-        return open(re.sub(r"^file:(//)?", "", path), "rb")
-    from pyarrow import fs  # remote stores (s3, gcs, hdfs) through Arrow's file systems
-
-    filesystem, p = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(p)
-
+            .select("path", "length", "modificationTime", "_metadata.file_path"))
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            with _open(p) as fh:
-                line = fh.readline() if hasattr(fh, "readline") else fh.read(65536).split(b"\n")[0]
-            heads.append(line.decode("utf-8-sig", errors="replace").rstrip("\r\n"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def csv_headers(files: DataFrame) -> DataFrame:
-    """Header line of every CSV file, read in the tasks (only the first line)."""
-    return files.select("path").mapInPandas(_first_lines, "path string, header string")
 
+def _name_from(path: Column, entity_from: str) -> Column:
+    """``file``: the file's name; ``directory``: the folder's (``key=NAME`` or ``NAME``)."""
+    if entity_from == "directory":
+        return F.regexp_extract(path, r"([^/=]+)/[^/]*$", 1)
+    return F.substring_index(path, "/", -1)
 
-def _split_header(line: str, sep: str) -> list[str]:
-    import csv
 
-    return next(csv.reader([line], delimiter=sep))
+def csv_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Every line with its file, the block it lies in and its order there."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path)
+            .select("value", F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_block_start").alias("source_block"),
+                    F.monotonically_increasing_id().alias("source_row")))
 
 
 def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ",",
-               header_rule: str = "generic", base_path: str | None = None,
-               entity_from: str = "file") -> DataFrame:
+               header_rule: str = "generic", entity_from: str = "file") -> tuple[DataFrame, DataFrame]:
     """Stack every CSV under ``path``; columns by (normalised) header name, text kept
-    as text; ``source_file`` and ``ticker`` from the file name (S1-S3, S5, U1).
-
-    ``entity_from="directory"`` takes the name from the parent folder instead
-    (``.../key=NAME/part-0.csv`` or ``.../NAME/part-0.csv``), the layout Spark
-    itself writes with ``partitionBy``."""
-    files = list_files(spark, path, pattern)
-    layouts = (csv_headers(files).groupBy("header").agg(F.collect_list("path").alias("paths"))
-               .collect())  # one row per distinct header layout (file listing metadata)
+    as text; ``source_file`` and ``ticker`` from the file name (S1-S5, U1).
+
+    Headers of one file that normalise alike are one column, the first value that is
+    there. ``entity_from="directory"`` takes the name from the parent folder
+    (``.../key=NAME/part-0.csv`` or ``.../NAME/part-0.csv``). Files without a header
+    line are in the second result (Spark's sources pass over files of no bytes at all)."""
+    lines = shared_table(csv_lines(spark, path, pattern), "csv_lines")
+    first = lines.where((F.col("source_block") == 0) & (F.trim("value") != ""))
+    headers = shared_table(
+        first.groupBy("path").agg(F.min_by("value", "source_row").alias("header"), F.min("source_row").alias("__first"))
+        .withColumn("header", F.regexp_replace("header", "^\ufeff", "")), "csv_headers")
+    listed = list_files(spark, path, pattern).select(F.col("file_path").alias("path"))
+    name = _name_from(F.col("path"), entity_from).alias("source_file")
+    errors = listed.join(headers, "path", "left_anti").select(name, F.lit("EmptyFile: no header line").alias("error"))
+
+    layouts = [r["header"] for r in headers.select("header").distinct().collect()]  # one for each layout
     if not layouts:
-        raise FileNotFoundError(f"no files matching {pattern} under {path}")
-    rename = header_name if header_rule == "generic" else header_name_dictionary
-    frames = []
-    for row in layouts:
-        names = [rename(h) for h in _split_header(row["header"], sep)]
-        schema = StructType([StructField(n, StringType()) for n in names])
-        reader = spark.read.option("header", True).option("sep", sep).schema(schema)
-        if base_path:
-            reader = reader.option("basePath", base_path)
-        df = reader.csv(sorted(row["paths"]))
-        if entity_from == "directory":
-            name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]*$", 1)
-        else:
-            name = F.col("_metadata.file_name")
-        frames.append(df.withColumn("source_file", name))
-    out = union_all_by_name(frames)
-    return out.withColumn("ticker", entity_from_filename(F.col("source_file")))
+        if errors.isEmpty():
+            raise FileNotFoundError(f"no files matching {pattern} under {path}")
+        return spark.createDataFrame([], "source_file string, ticker string"), errors
+    rule = HEADER_RULES[header_rule]
+    names = {h: [rule(c) or f"column_{i}" for i, c in enumerate(next(csv.reader([h], delimiter=sep)))] for h in layouts}
+    width = max(map(len, names.values()))
+    known = spark.createDataFrame(list(names.items()), "header string, names array<string>")  # as many as layouts
+    values = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"sep": sep})
+    rows = (lines.join(headers, "path").join(known, "header")
+            .where((F.col("source_row") != F.col("__first")) & (F.trim("value") != ""))
+            .withColumn("__v", values)
+            .withColumn("__cells", F.arrays_zip(F.col("names").alias("names"), F.slice(F.array(
+                *[F.col(f"__v.c{i}") for i in range(width)]), 1, F.size("names")).alias("cells"))))
+    columns = list(dict.fromkeys(c for h in sorted(names) for c in names[h]))
+
+    def cell(c: str) -> Column:
+        found = F.filter("__cells", lambda x: (x["names"] == c) & x["cells"].isNotNull())
+        return F.get(found, F.lit(0))["cells"].alias(c)
+
+    data = rows.select(*[cell(c) for c in columns if c not in ("source_file", "ticker")], name, "source_block", "source_row")
+    return data.withColumn("ticker", entity_from_filename(F.col("source_file"))), errors
+
+
+def ingest_files(spark: SparkSession, path: str, fmt: str = "xlsx", **options) -> tuple[DataFrame, DataFrame]:
+    """``(data, errors)`` of all files of a format (``csv`` or ``xlsx``) under ``path``."""
+    return {"csv": ingest_csv, "xlsx": ingest_workbooks}[fmt](spark, path, **options)
 
 
 # ------------------------------------------------------------------ workbooks
@@ -166,7 +173,11 @@ def decode_xlsx(data: bytes) -> list[dict[str, str | None]]:
         rows.append([values.get(i) for i in range(width)])
     if not rows:
         return []
-    header = [str(h) if h is not None else f"column_{i}" for i, h in enumerate(rows[0])]
+    header: list[str] = []
+    for i, h in enumerate(rows[0]):
+        name = str(h) if h is not None else f"column_{i}"
+        same = sum(x == name or x.startswith(f"{name}.") and x[len(name) + 1:].isdigit() for x in header)
+        header.append(f"{name}.{same}" if same else name)  # a repeated header stays a column of its own
     return [{h: (r[i] if i < len(r) else None) for i, h in enumerate(header)} for r in rows[1:]]
 
 
@@ -175,38 +186,41 @@ WORKBOOK_ROWS = "source_file string, row_number int, cells map<string,string>, e
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             name = path.rsplit("/", 1)[-1]
             try:
-                for i, cells in enumerate(decode_xlsx(bytes(content))):
-                    out.append((name, i, cells, None))
+                rows = [(name, i, cells, None) for i, cells in enumerate(decode_xlsx(bytes(content)))]
             except Exception as e:  # noqa: BLE001 - a bad file becomes an error row (S4)
-                out.append((name, -1, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["source_file", "row_number", "cells", "error"])
+                rows = [(name, -1, None, f"{type(e).__name__}: {e}")]
+            yield pd.DataFrame(rows, columns=["source_file", "row_number", "cells", "error"])
 
 
-def read_workbooks(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> tuple[DataFrame, DataFrame]:
-    """Decode every workbook in the tasks; returns ``(rows, errors)``."""
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-           .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    decoded = raw.mapInPandas(_decode_batches, WORKBOOK_ROWS)
-    return decoded.where(F.col("error").isNull()), decoded.where(F.col("error").isNotNull())
+def decode_workbooks(raw: DataFrame) -> DataFrame:
+    """``(path, content)`` -> a row for each sheet row, or for each file that fails."""
+    return raw.select("path", "content").mapInPandas(_decode_batches, WORKBOOK_ROWS)
+
+
+def read_workbooks(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true").load(path).select("path", "content"))
 
 
-def ingest_workbooks(spark: SparkSession, path: str, pattern: str = "*.xlsx",
+def ingest_workbooks(spark: SparkSession, path: str | DataFrame, pattern: str = "*.xlsx",
                      header_rule: str = "generic") -> tuple[DataFrame, DataFrame]:
     """Workbooks -> bronze: one column per (normalised) header found, union by name;
-    ``ticker`` and ``source_file`` from the file name. Returns ``(bronze, errors)``."""
-    rows, errors = read_workbooks(spark, path, pattern)
-    rows = rows.persist()
+    ``ticker`` and ``source_file`` from the file name. ``path`` is a folder or a frame
+    of ``(path, content)``. Every workbook is decoded once. Returns ``(bronze, errors)``."""
+    raw = path if isinstance(path, DataFrame) else read_workbooks(spark, path, pattern)
+    decoded = shared_table(decode_workbooks(raw), "workbook_rows")
+    rows, errors = decoded.where("error IS NULL"), decoded.where("error IS NOT NULL").select("source_file", "error")
     keys = [r["k"] for r in rows.select(F.explode(F.map_keys("cells")).alias("k")).distinct().collect()]
-    if not keys and errors.limit(1).count() == 0:
+    if not keys and errors.isEmpty():
         raise FileNotFoundError(f"no workbooks matching {pattern} under {path}")
-    rename = header_name if header_rule == "generic" else header_name_dictionary
     cols = {}
     for k in sorted(keys):
-        cols.setdefault(rename(k), []).append(F.col("cells").getItem(k))
-    bronze = rows.select(*[F.coalesce(*v).alias(n) if len(v) > 1 else v[0].alias(n) for n, v in cols.items()],
-                         "source_file", entity_from_filename(F.col("source_file")).alias("ticker"))
+        cols.setdefault(HEADER_RULES[header_rule](k), []).append(F.col("cells").getItem(k))
+    bronze = rows.select(*[F.coalesce(*v).alias(n) for n, v in cols.items()],
+                         "source_file", F.lit(0).cast("long").alias("source_block"),
+                         F.col("row_number").cast("long").alias("source_row"),
+                         entity_from_filename(F.col("source_file")).alias("ticker"))
     return bronze, errors
