@@ -26,7 +26,7 @@ panel as (select s.date, close, min_price, max_price, avg_price, volume, s_acctb
 """
 
 
-def features_cte(source: str = "panel", fill: bool = True, name: str = "feat") -> str:
+def features_cte(source: str = "panel", fill: bool = True, name: str = "feat", order: str = "date") -> str:
     """CTE list ``{name}_f, {name}_r, {name}`` with every feature, forward return and label."""
     if fill:
         fcols = ("last_value(close ignore nulls) over up as f_close, "
@@ -36,7 +36,7 @@ def features_cte(source: str = "panel", fill: bool = True, name: str = "feat") -
         fcols = "close as f_close, usdtry as f_usdtry, bist100 as f_bist100"
     return f"""
 {name}_f as (select *, {fcols} from {source}
-  window up as (partition by ticker order by date rows between unbounded preceding and current row)),
+  window up as (partition by ticker order by {order} rows between unbounded preceding and current row)),
 {name}_r as (select *,
   f_close / nullif(lag(f_close, 1) over w, 0) - 1 as return_1d,
   f_close / nullif(lag(f_close, 5) over w, 0) - 1 as return_5d,
@@ -49,14 +49,14 @@ def features_cte(source: str = "panel", fill: bool = True, name: str = "feat") -
   close / nullif(case when count(close) over w50 = 50 then avg(close) over w50 end, 0) as price_to_ma50,
   volume / nullif(case when count(volume) over w20 = 20 then avg(volume) over w20 end, 0) as volume_ratio_20d
   from {name}_f
-  window w as (partition by ticker order by date),
-    w20 as (partition by ticker order by date rows between 19 preceding and current row),
-    w50 as (partition by ticker order by date rows between 49 preceding and current row)),
+  window w as (partition by ticker order by {order}),
+    w20 as (partition by ticker order by {order} rows between 19 preceding and current row),
+    w50 as (partition by ticker order by {order} rows between 49 preceding and current row)),
 {name} as (select *,
   case when count(return_1d) over w20 = 20 then stddev_samp(return_1d) over w20 end as volatility_20d,
   case when future_return_20d > future_bist100_return_20d then 1 else 0 end as target_outperform_20d
   from {name}_r
-  window w20 as (partition by ticker order by date rows between 19 preceding and current row))
+  window w20 as (partition by ticker order by {order} rows between 19 preceding and current row))
 """
 
 
@@ -84,12 +84,6 @@ def gold_ctes(fill: bool = True, rule: str = "all") -> str:
 gold as (select {GOLD_COLS} from feat where {where})"""
 
 
-# Fixed-coefficient linear scorer used where a fitted model would make the
-# answer depend on the optimiser: p = sigmoid(4 - 2 ma20 - 2 ma50 + 0.05 vr),
-# rounded to 4 places (creates ties on purpose).
-SCORED = """scored as (select *, round(1 / (1 + exp(-(4 - 2 * price_to_ma20 - 2 * price_to_ma50
-  + 0.05 * volume_ratio_20d))), 4) as p from gold)"""
-
 SPLIT = """case when date < date '{c1}' then 'train' when date < date '{c2}' then 'valid'
   when date >= date '{c2}' then 'test' end"""
 

@@ -9,6 +9,7 @@ column says otherwise.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from ..functions.text import (
     parse_day_first,
 )
 from ..operators import cleaning, metrics, models, profile, reports, splits, stats
+from ..session import shared_table
 from ..sources import files, tables
 from ..streaming import ingest as streaming
 from ..operators import features as feat
@@ -104,10 +106,10 @@ def q_gold_features(spark, sf_dir):
 @query("gold_features_segmented", f"with {G} select "
        f"{_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} from gold")
 def q_gold_features_segmented(spark, sf_dir):
-    """Gold table with every entity cut into time segments of about 64 rows that are
-    windowed in parallel with look-back/look-ahead context rows: the hot-entity path,
-    forced on, must give the same table (W1-W9 at any entity size)."""
-    return round_doubles(feat.build_gold(fx.panel(spark, sf_dir), NOTEBOOK, segment_rows=64))
+    """Gold table with the rows dealt to 64 sorted ranges, so that entities are cut into
+    segments which are windowed in parallel with context rows: the path for entities of
+    any size must give the same table (W1-W9)."""
+    return round_doubles(feat.build_gold(fx.panel(spark, sf_dir), NOTEBOOK, segmented=True, segments=64))
 
 
 @query("bronze_to_gold", f"with {G} select "
@@ -121,14 +123,41 @@ def q_bronze_to_gold(spark, sf_dir):
     return round_doubles(feat.build_gold(silver, NOTEBOOK))
 
 
-@query("gold_features_local", f"with {O.gold_ctes(rule='required')} select date, ticker, "
-       "target_outperform_20d, round(return_5d, 6) as return_5d, round(price_to_ma50, 6) as price_to_ma50, "
-       "round(volatility_20d, 6) as volatility_20d from gold")
+LOCAL_COLS = [*GOLD_COLS, "bist100", "return_1d"]
+LOCAL_KEEP = ("date", "ticker", LABEL)
+
+
+def _local_sql(panel: str = "panel", ctes: str = "", order: str = "date") -> str:
+    return (f"with {O.PANEL}{ctes}, {O.features_cte(panel, order=order)} "
+            f"select {_r6_list(LOCAL_COLS, LOCAL_KEEP)} from feat where {O.REQUIRED_NOT_NULL}")
+
+
+@query("gold_features_local", _local_sql())
 def q_gold_features_local(spark, sf_dir):
-    """Gold rows under the script chain's rules."""
-    g = gold(spark, sf_dir, C.LOCAL)
-    return round_doubles(g.select("date", "ticker", "target_outperform_20d", "return_5d",
-                                  "price_to_ma50", "volatility_20d"))
+    """Gold rows and all columns under the script chain's rules."""
+    return round_doubles(gold(spark, sf_dir, C.LOCAL).select(LOCAL_COLS))
+
+
+@query("gold_local_null_benchmark", _local_sql("kept", """,
+kept as (select * replace (case when day(date) % 11 = 0 then null else bist100 end as bist100) from panel
+  where day(date) % 11 <> 0)"""))
+def q_gold_local_null_benchmark(spark, sf_dir):
+    """Rows without a benchmark go before the features are computed (P10)."""
+    p = fx.panel(spark, sf_dir).withColumn("bist100", F.when(F.dayofmonth("date") % 11 != 0, F.col("bist100")))
+    return round_doubles(feat.build_gold(p, C.LOCAL).select(LOCAL_COLS))
+
+
+@query("gold_local_duplicates", _local_sql("twice", """,
+twice as (select *, 'a' as source_file from panel union all
+  select * replace (close * 1.25 as close, volume + 1 as volume), 'b' from panel where day(date) % 2 = 0)""",
+       "date, source_file"))
+def q_gold_local_duplicates(spark, sf_dir):
+    """Two files with the same dates and no dedupe: rows of one date are in the order of
+    their files, whatever the layout (P12, W1-W9)."""
+    p = fx.panel(spark, sf_dir)
+    more = p.where(F.dayofmonth("date") % 2 == 0).withColumns({"close": F.col("close") * 1.25, "volume": F.col("volume") + 1})
+    both = p.withColumn("source_file", F.lit("a")).unionByName(more.withColumn("source_file", F.lit("b")))
+    return round_doubles(feat.build_gold(both, C.LOCAL, segmented=True).select(LOCAL_COLS))
 
 
 @query("gold_features_nofill", f"with {O.PANEL}, {O.features_cte(fill=False)}, gold as (select * from feat "
@@ -207,10 +236,11 @@ def _header_oracle() -> tuple[str, str]:
             f"{len(fx.RAW_HEADERS)} + 1] else concat([{picks}][p_partkey % {len(fx.RAW_HEADERS)} + 1], ' ', "
             "p_brand) end as raw_header from part)")
     generic = (f"{base} select p_partkey, raw_header, trim(regexp_replace(lower(strip_accents(replace(replace("
-               "trim(raw_header), 'ı', 'i'), 'İ', 'i'))), '[^a-z0-9]+', '_', 'g'), '_') as header from h")
+               "raw_header, 'ı', 'i'), 'İ', 'i'))), '[^a-z0-9]+', '_', 'g'), '_') as header from h")
     cases = " ".join("when '" + k.replace("'", "''") + f"' then '{v}'" for k, v in C.HEADER_DICTIONARY.items())
-    dictionary = (f"{base} select p_partkey, raw_header, coalesce(case trim(raw_header) {cases} end, "
-                  f"trim(regexp_replace(lower(translate(trim(raw_header), '{C.HEADER_FOLD_FROM}', "
+    strip = "regexp_replace(raw_header, '^[\\s\\x{00a0}]+|[\\s\\x{00a0}]+$', '', 'g')"
+    dictionary = (f"{base} select p_partkey, raw_header, coalesce(case {strip} {cases} end, "
+                  f"trim(regexp_replace(lower(translate({strip}, '{C.HEADER_FOLD_FROM}', "
                   f"'{C.HEADER_FOLD_TO}')), '[^a-z0-9]+', '_', 'g'), '_')) as header from h")
     return generic, dictionary
 
@@ -249,9 +279,11 @@ DATE_SQL = r"""with d as (select l_orderkey, l_linenumber, case
   when l_linenumber = 2 then strftime(l_shipdate, '%Y-%m-%d')
   when l_linenumber = 3 then strftime(l_shipdate, '%d.%m.%Y')
   when l_linenumber = 4 then concat_ws('/', day(l_shipdate), month(l_shipdate), year(l_shipdate))
+  when l_linenumber = 5 and l_orderkey % 2 = 0 then strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')
   when l_linenumber = 5 then concat(strftime(l_shipdate, '%d-%m-%Y'), ' 00:00:00')
+  when l_linenumber = 6 and l_orderkey % 2 = 0 then strftime(l_shipdate, '%Y/%m/%d')
   when l_linenumber = 6 then 'n/a' else '31-31-2020' end as raw_date from lineitem),
-t as (select *, regexp_extract(trim(raw_date), '^(\S+)', 1) as h from d)
+t as (select *, regexp_extract(trim(raw_date), '^([^\sT]+)', 1) as h from d)
 select l_orderkey, l_linenumber, raw_date,
   case when regexp_matches(trim(raw_date), '^\d{2}-\d{2}-\d{4}$')
     then cast(try_strptime(trim(raw_date), '%d-%m-%Y') as date) end as date_strict,
@@ -260,6 +292,7 @@ select l_orderkey, l_linenumber, raw_date,
     case when regexp_matches(h, '^\d{2}\.\d{2}\.\d{4}$') then try_strptime(h, '%d.%m.%Y') end,
     case when regexp_matches(h, '^\d{2}/\d{2}/\d{4}$') then try_strptime(h, '%d/%m/%Y') end,
     case when regexp_matches(h, '^\d{4}-\d{2}-\d{2}$') then try_strptime(h, '%Y-%m-%d') end,
+    case when regexp_matches(h, '^\d{4}/\d{2}/\d{2}$') then try_strptime(h, '%Y/%m/%d') end,
     case when regexp_matches(h, '^\d{1,2}-\d{1,2}-\d{4}$') then try_strptime(h, '%d-%m-%Y') end,
     case when regexp_matches(h, '^\d{1,2}\.\d{1,2}\.\d{4}$') then try_strptime(h, '%d.%m.%Y') end,
     case when regexp_matches(h, '^\d{1,2}/\d{1,2}/\d{4}$') then try_strptime(h, '%d/%m/%Y') end
@@ -279,11 +312,13 @@ NUM_SQL = """with t as (select l_orderkey, l_linenumber, case
   when l_linenumber = 1 then replace(cast(cast(l_extendedprice as decimal(18,2)) as varchar), '.', ',')
   when l_linenumber = 2 then concat(chr(160), cast(cast(l_extendedprice as decimal(18,2)) as varchar), ' ')
   when l_linenumber = 3 then concat('1.', replace(cast(cast(l_extendedprice as decimal(18,2)) as varchar), '.', ','))
-  when l_linenumber = 4 then 'nan' when l_linenumber = 5 then ''
+  when l_linenumber = 4 then ['nan', 'None', '12d', '1.5f', '0x1p3', '1e', '--1'][l_orderkey % 7 + 1]
+  when l_linenumber = 5 then ''
   when l_linenumber = 6 then concat(chr(160), ' ', replace(cast(cast(l_extendedprice as decimal(18,2)) as varchar), '.', ','))
   else cast(cast(l_extendedprice as decimal(18,2)) as varchar) end as raw_value from lineitem),
 v as (select *, try_cast(replace(replace(replace(raw_value, ',', '.'), ' ', ''), chr(160), '') as double) as x from t)
-select l_orderkey, l_linenumber, raw_value, round(case when isfinite(x) then x end, 6) as value from v"""
+select l_orderkey, l_linenumber, raw_value, round(case when isfinite(x) and l_linenumber <> 4 then x end, 6) as value
+from v"""
 
 
 @query("clean_numbers", NUM_SQL)
@@ -331,6 +366,22 @@ def q_dedupe_silver(spark, sf_dir):
                                        "l_orderkey", "l_linenumber"))
 
 
+@query("dedupe_null_ties", f"""with {PARSED},
+twice as (select * from parsed union all select * replace (null as close) from parsed where l_orderkey % 2 = 0),
+ranked as (select *, row_number() over (partition by date, ticker order by source_file, close nulls last, l_suppkey,
+  l_orderkey, l_linenumber) as rn from twice)
+select date, round(close, 6) as close, ticker, source_file, l_suppkey, l_orderkey, l_linenumber
+from ranked where rn = 1 and date is not null and ticker is not null and close is not null""")
+def q_dedupe_null_ties(spark, sf_dir):
+    """Rows that tie on the dedupe order, some without a close: the key keeps a row with
+    values (U2, P9)."""
+    b = fx.bronze(spark, sf_dir)
+    empty = b.where(F.col("l_orderkey") % 2 == 0).withColumn("kapanis_tl", F.lit(None).cast("string"))
+    silver = cleaning.build_silver(b.unionByName(empty))
+    return round_doubles(silver.select("date", "close", "ticker", "source_file", "l_suppkey",
+                                       "l_orderkey", "l_linenumber"))
+
+
 @query("required_fields", f"with {PARSED} select date, round(close, 6) as close, ticker, l_orderkey, "
        "l_linenumber from parsed where date is not null and ticker is not null and close is not null")
 def q_required_fields(spark, sf_dir):
@@ -444,27 +495,57 @@ PERF_COLS = ("ticker, first_available_date, latest_date, start_close, latest_clo
 
 
 def summary_df(spark, sf_dir):
-    return reports.performance_summary(reports.normalised_index(gold(spark, sf_dir), freq="monthly"))
+    """The summary before rounding."""
+    return reports.raw_summary(reports.normalised_index(gold(spark, sf_dir), freq="monthly"))
 
 
 @query("performance_summary", f"with {SUMMARY} select {PERF_COLS} from perf")
 def q_performance_summary(spark, sf_dir):
     """First/last close and index per entity, total return %, half-even to 2 places."""
-    return summary_df(spark, sf_dir)
+    return reports.performance_summary(reports.normalised_index(gold(spark, sf_dir), freq="monthly"))
 
 
 @query("top_performers", f"with {SUMMARY} select {PERF_COLS} from perf "
        "order by raw_idx desc nulls last, ticker limit 20")
 def q_top_performers(spark, sf_dir):
     """Top 20 entities by latest normalised index."""
-    return reports.top_n(summary_df(spark, sf_dir), "latest_normalized_index", 20)
+    return reports.rounded_summary(summary_df(spark, sf_dir), n=20)
 
 
 @query("best_performer", f"with {SUMMARY} select {PERF_COLS} from perf "
        "order by raw_idx desc nulls last, ticker limit 1")
 def q_best_performer(spark, sf_dir):
     """Best historical performer (T4)."""
-    return reports.top_n(summary_df(spark, sf_dir), "latest_normalized_index", 1)
+    return reports.rounded_summary(summary_df(spark, sf_dir), n=1)
+
+
+def two_closes(spark, sf_dir, first, last) -> DataFrame:
+    """Two month-ends for each supplier, with the given closes."""
+    s = fx.table(spark, sf_dir, "supplier")
+    days = F.array(F.struct(F.to_date(F.lit("2000-01-31")).alias("date"), first.cast("double").alias("close")),
+                   F.struct(F.to_date(F.lit("2000-02-29")).alias("date"), last.cast("double").alias("close")))
+    return s.select(F.col("s_name").alias("ticker"), F.explode(days).alias("x")).select("ticker", "x.date", "x.close")
+
+
+@query("top_performers_close_race", """with s as (select s_name as ticker, 100 + s_suppkey * 0.00001::double as c from supplier)
+select ticker, date '2000-01-31' as first_available_date, date '2000-02-01' as latest_date, 100.0::double as start_close,
+  round_even(c, 2) as latest_close, round_even(c / 100 * 100, 2) as latest_normalized_index,
+  round_even(c / 100 * 100 - 100, 2) as total_return_pct from s order by c desc limit 5""")
+def q_top_performers_close_race(spark, sf_dir):
+    """Indexes that differ only behind the rounded places: rank first, then round."""
+    index = reports.normalised_index(two_closes(spark, sf_dir, F.lit(100.0), F.col("s_suppkey") * 0.00001 + 100))
+    return reports.rounded_summary(reports.raw_summary(index), n=5)
+
+
+@query("index_zero_base", """with s as (select s_name as ticker, case when s_suppkey % 5 = 0 then 0.0::double else 50.0::double end as a,
+  s_suppkey::double as b from supplier), r as (
+  select ticker, date '2000-01-31' as date, a as close, case when a <> 0 then a / a * 100 end as normalized_close from s
+  union all select ticker, date '2000-02-29', b, case when a <> 0 then b / a * 100 end from s)
+select ticker, date, round(close, 6) as close, round(normalized_close, 6) as normalized_close from r""")
+def q_index_zero_base(spark, sf_dir):
+    """A first close of zero has no index: null, not an error."""
+    closes = two_closes(spark, sf_dir, F.when(F.col("s_suppkey") % 5 == 0, 0.0).otherwise(50.0), F.col("s_suppkey"))
+    return round_doubles(reports.normalised_index(closes).select("ticker", "date", "close", "normalized_close"))
 
 
 @query("latest_rows", f"""with {G}, l as (select *, row_number() over (partition by ticker order by date desc) as rn
@@ -492,9 +573,9 @@ def q_latest_feature_pairs(spark, sf_dir):
        "where ticker = (select min(ticker) from gold)")
 def q_ticker_series(spark, sf_dir):
     """Price history of the default (first sorted) entity: a point filter."""
-    g = gold(spark, sf_dir)
-    first = g.agg(F.min("ticker").alias("ticker"))
-    return round_doubles(g.join(F.broadcast(first), "ticker", "left_semi").select("date", "ticker", "close"))
+    g = shared_table(gold(spark, sf_dir), "gold")
+    first = g.agg(F.min("ticker")).first()[0]  # one value, which is pushed into the scan below
+    return round_doubles(g.where(F.col("ticker") == F.lit(first)).select("date", "ticker", "close"))
 
 
 @query("universe_filter", f"""with {LATEST},
@@ -502,10 +583,24 @@ top as (select ticker from latest order by p desc, ticker limit 20)
 select ticker, date, round(close, 6) as close from gold where ticker in (select ticker from top)""")
 def q_universe_filter(spark, sf_dir):
     """Rows of the 20 entities with the highest latest predicted probability."""
-    g = gold(spark, sf_dir).persist()  # read by the latest-row ranking and by the filter
-    latest = score(reports.latest_rows(g), FIXED_SCORER)
-    top = reports.top_n(latest, "predicted_probability", 20)
-    return round_doubles(reports.entity_filter(g, top.select("ticker")).select("ticker", "date", "close"))
+    g = shared_table(gold(spark, sf_dir), "gold")  # read by the latest-row ranking and by the filter
+    top = reports.pick_universe(score(reports.latest_rows(g), FIXED_SCORER), "top", 20)
+    return round_doubles(reports.entity_filter(g, top).select("ticker", "date", "close"))
+
+
+@query("universe_modes", f"""with {LATEST}, ranked as (select ticker, row_number() over (order by p desc, ticker) as r from latest)
+select 'top' as mode, ticker from ranked where r <= 20 union all select 'selected_default', ticker from ranked where r <= 8
+union all select 'selected', ticker from ranked where ticker in ('Supplier#000000002', 'Supplier#000000005', 'none')
+union all select 'all', ticker from ranked""")
+def q_universe_modes(spark, sf_dir):
+    """The ways to choose the entities to compare (P15): best predicted, the default of a
+    selection, given names, all."""
+    latest = shared_table(score(reports.latest_rows(gold(spark, sf_dir)), FIXED_SCORER), "latest")
+    picks = {"top": ("top", ()), "selected_default": ("selected", ()),
+             "selected": ("selected", ("Supplier#000000002", "Supplier#000000005", "none")), "all": ("all", ())}
+    return cleaning.union_all_by_name([
+        reports.pick_universe(latest, mode, 20, names).select(F.lit(name).alias("mode"), "ticker")
+        for name, (mode, names) in picks.items()])
 
 
 # ------------------------------------------------------------------ train-fitted statistics
@@ -574,7 +669,7 @@ def _impute_scale_sql() -> str:
 @query("impute_scale", _impute_scale_sql())
 def q_impute_scale(spark, sf_dir):
     """Median imputation and standard scaling fitted on train, applied to test (M3, M4)."""
-    g = gold(spark, sf_dir).persist()  # read by the median, the scaling fit and the test rows
+    g = shared_table(gold(spark, sf_dir), "gold")  # read by the median, the scaling fit and the test rows
     model = fit_impute_scale(splits.split_part(g, "train", cuts=CUTS), FEATURES, impute=True, scale=True)
     test = splits.split_part(g, "test", cuts=CUTS)
     return round_doubles(model.apply(test).select("ticker", "date", *FEATURES))
@@ -753,59 +848,174 @@ def q_select_best(spark, sf_dir):
     for i, f in enumerate(FEATURES)) + ") select * from long")
 def q_feature_catalog(spark, sf_dir):
     """Model feature list with positions and non-null counts in gold."""
-    long = stats.to_long(gold(spark, sf_dir), FEATURES)
-    counts = long.groupBy("feature").agg(F.count(F.lit(1)).alias("observations"))
-    pos = F.array_position(F.array(*[F.lit(f) for f in FEATURES]), F.col("feature")).cast("int")
+    counts = stats.per_column(gold(spark, sf_dir), FEATURES, observations=F.count)
+    base = tables.scratch_path(spark, "catalog")
+    tables.write_feature_catalog(spark, FEATURES, base)
+    names = tables.read_feature_catalog(spark, base)
+    pos = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).cast("int")
     return counts.select(pos.alias("position"), "feature", "observations")
 
 
-# ------------------------------------------------------------------ fitted models (rows-only checks)
+# ------------------------------------------------------------------ fitted models
+#
+# A fit's numbers depend on the optimiser, so these queries return properties that any
+# right fit has: the rows it scores, and statements that must be true.
 
 
 def _train_valid_test(spark, sf_dir, cfg=NOTEBOOK):
-    g = gold(spark, sf_dir, cfg).persist()  # fitted, then scored: compute the windows once
+    g = shared_table(gold(spark, sf_dir, cfg), "gold")  # fitted, then scored: compute the windows once
     return tuple(splits.split_part(g, p, cuts=CUTS) for p in ("train", "valid", "test"))
 
 
-@query("fit_logistic")
+def _scored_properties(model, test: DataFrame) -> DataFrame:
+    """Each test row's key with: is the score a probability, does the class follow it."""
+    p = F.col("predicted_probability")
+    return models.predict(model, test).select(
+        "ticker", "date", p.between(0.0, 1.0).alias("is_probability"),
+        (F.col("predicted_class") == (p > 0.5).cast("int")).alias("class_follows"))
+
+
+def _facts(spark, facts: dict[str, bool]) -> DataFrame:
+    return spark.createDataFrame([(k, None, bool(v), bool(v)) for k, v in facts.items()],
+                                 "ticker string, date date, is_probability boolean, class_follows boolean")
+
+
+def _fit_sql(facts) -> str:
+    rows = " union all ".join(f"select '{f}', null, true, true" for f in facts)
+    return (f"with {G} select ticker, date, true as is_probability, true as class_follows from gold "
+            f"where date >= date '{CUTS[1]}' union all {rows}")
+
+
+@query("fit_logistic", _fit_sql([f"gradient {f}" for f in (*FEATURES, "(intercept)")]))
 def q_fit_logistic(spark, sf_dir):
-    """Scaled L2 logistic regression (C = 1) fitted on train, scored on test (M2, M4, M5, M9)."""
+    """Scaled L2 logistic regression (C = 1) fitted on train, scored on test: at the
+    optimum of 1/2 |w|^2 + sum of log-losses the gradient is zero in every feature
+    (M2, M4, M5, M9)."""
     train, _, test = _train_valid_test(spark, sf_dir)
     model = models.fit_candidate(train, models.NOTEBOOK_CANDIDATES[0], FEATURES)
-    return models.predict(model, test).select("ticker", "date", LABEL, "predicted_probability",
-                                              "predicted_class")
-
-
-@query("fit_forest")
+    lr = model.stages[-1]
+    scored = model.transform(train)
+    miss = vector_to_array("__prob")[1] - F.col(LABEL)
+    inputs = [F.col(f"{f}__in") for f in FEATURES] + [F.lit(1.0)]
+    sums = scored.agg(F.count(F.lit(1)).alias("n"), *[F.sum(miss * x).alias(f"g{i}") for i, x in enumerate(inputs)]).first()
+    penalty = [*lr.coefficients.toArray().tolist(), 0.0]
+    facts = {f"gradient {f}": abs(sums[f"g{i}"] + penalty[i]) < 1e-4 * sums["n"]
+             for i, f in enumerate((*FEATURES, "(intercept)"))}
+    return _scored_properties(model, test).unionByName(_facts(spark, facts))
+
+
+@query("fit_forest", _fit_sql(["100 trees", "depth up to 8", "sqrt features", "splits on the features"]))
 def q_fit_forest(spark, sf_dir):
     """Random forest (100 trees, depth 8, sqrt features) fitted on train, scored on test (M6, M9)."""
     train, _, test = _train_valid_test(spark, sf_dir)
     model = models.fit_candidate(train, models.NOTEBOOK_CANDIDATES[1], FEATURES)
-    return models.predict(model, test).select("ticker", "date", LABEL, "predicted_probability",
-                                              "predicted_class")
-
-
-@query("run_table")
+    forest = model.stages[-1]
+    facts = {"100 trees": forest.getNumTrees == 100, "depth up to 8": max(t.depth for t in forest.trees) <= 8,
+             "sqrt features": forest.getFeatureSubsetStrategy() == "sqrt",
+             "splits on the features": forest.numFeatures == len(FEATURES) and forest.featureImportances.numNonzeros() > 0}
+    return _scored_properties(model, test).unionByName(_facts(spark, facts))
+
+
+def _run_sql(runs, gold_rule: str) -> str:
+    """Keys of the run table; values where they are counts of the input."""
+    sizes = ", ".join(f"(select count(*) from {src} where {SPLIT_SQL} = '{p}') as {p}"
+                      for src in ("gold",) for p in ("train", "valid", "test"))
+    params = [("model_name", "'{run}'"), ("target", f"'{LABEL}'"), ("train_rows", "train"), ("validation_rows", "valid"),
+              ("test_rows", "test"), ("num_features", f"{len(FEATURES)}"), ("features", "'" + ",".join(FEATURES) + "'")]
+    names = [f"{part}_{m}" for part in ("validation", "test") for m in ("accuracy", "precision", "recall", "f1", "roc_auc")]
+    rows = []
+    for run in runs:
+        rows += [f"select '{run}' as run, 'param' as kind, '{k}' as key, cast({v.format(run=run)} as varchar) as value from n"
+                 for k, v in params]
+        rows += [f"select '{run}', 'metric', '{m}', 'a share' from n" for m in names]
+    rows.append("select 'selection', 'param', 'best_model', 'best by validation' from n")
+    return f"with {O.gold_ctes(rule=gold_rule)}, n as (select {sizes}) " + " union all ".join(rows)
+
+
+def _checked_runs(result, order, tie) -> DataFrame:
+    """The run table with each metric's value replaced by what it must be, and the
+    selection compared with the table of metrics."""
+    best = select_best(result.metrics, order, tie).first()["model"]
+    share = F.col("value").try_cast("double").between(0.0, 1.0)
+    told = (F.when((F.col("kind") == "metric") & share, "a share")
+            .when((F.col("key") == "best_model") & (F.col("value") == best), "best by validation")
+            .otherwise(F.col("value")))
+    return result.runs.select("run", "kind", "key", told.alias("value"))
+
+
+@query("run_table", _run_sql([c.name for c in models.NOTEBOOK_CANDIDATES], "all"))
 def q_run_table(spark, sf_dir):
-    """Fit every candidate, evaluate on valid and test, pick the best by validation AUC,
-    and return the long run table with the selection recorded (M7, M8, M13)."""
+    """Fit every candidate, evaluate on valid and test, pick the best by validation AUC:
+    the long run table with the selection recorded (M7, M8, M13)."""
     train, valid, test = _train_valid_test(spark, sf_dir)
     result = pipeline.train_and_select(spark, train, valid, test, models.NOTEBOOK_CANDIDATES,
                                        FEATURES, tie="first")
-    return result.runs
-
-
-@query("read_write_roundtrip")
+    return _checked_runs(result, [c.name for c in models.NOTEBOOK_CANDIDATES], "first")
+
+
+@query("run_table_local", _run_sql([c.name for c in models.LOCAL_CANDIDATES], "required") + f"""
+union all select 'confusion matrix', 'rows', 'test', cast(test as varchar) from n
+union all select 'report', 'rows', 'test', cast(test as varchar) from n
+union all select 'predictions', 'rows', 'test', cast(test as varchar) from n
+union all select 'feature list', 'rows', 'names', '{",".join(FEATURES)}' from n""")
+def q_run_table_local(spark, sf_dir):
+    """The script chain from raw text with its own candidates (imputed, balanced, the
+    later of equals): run table, and the sizes of its test tables and exports
+    (M3, M5-M8, M12, M13, A11, A12, S9, S10)."""
+    base = tables.scratch_path(spark, "script")
+    bronze = cleaning.normalise_columns(fx.raw_panel(spark, sf_dir), rule="dictionary")
+    out = pipeline.script_chain(spark, bronze, base, cuts=CUTS)
+    runs = _checked_runs(out.result, [c.name for c in models.LOCAL_CANDIDATES], "last")
+    names = ",".join(tables.read_feature_catalog(spark, f"{base}/feature_columns"))
+    total = out.report.where("row = 'accuracy'").select("support")
+    sizes = [("confusion matrix", out.confusion.agg(F.sum("n").alias("n"))), ("report", total),
+             ("predictions", out.predictions.agg(F.count(F.lit(1)).alias("n")))]
+    extra = [df.select(F.lit(k).alias("run"), F.lit("rows").alias("kind"), F.lit("test").alias("key"),
+                       F.col(df.columns[0]).cast("string").alias("value")) for k, df in sizes]
+    extra.append(spark.createDataFrame([("feature list", "rows", "names", names)], runs.schema))
+    return cleaning.union_all_by_name([runs, *extra])
+
+
+@query("read_write_roundtrip", f"with {G} select "
+       f"{_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} from gold")
 def q_read_write_roundtrip(spark, sf_dir):
-    """Gold written as a table, exported as CSV with header, and read back with an explicit
-    schema; the best model saved and reloaded scores the same (S6-S9, S10, S11)."""
-    g = gold(spark, sf_dir)
+    """Gold through a managed table (``saveAsTable``, ``spark.table``) and a CSV export
+    read back with an explicit schema; a fitted model and the feature list, saved and
+    reloaded, must score every row as before, else rows are missing here (S6-S11)."""
     base = tables.scratch_path(spark, "roundtrip")
-    tables.write_table(g, f"{base}/gold")
-    back = tables.read_table(spark, f"{base}/gold")
-    tables.export_csv(back, f"{base}/gold_csv")
-    again = tables.read_csv(spark, f"{base}/gold_csv", back.schema)
-    return again
+    name = f"panelstride_gold_{base.rsplit('-', 1)[-1]}"
+    tables.write_table(gold(spark, sf_dir), name)
+    try:
+        back = tables.read_table(spark, name)
+        tables.export_csv(back, f"{base}/gold_csv")
+        schema = back.schema
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    again = tables.read_csv(spark, f"{base}/gold_csv", schema)
+    tables.write_feature_catalog(spark, FEATURES, f"{base}/features")
+    features = tables.read_feature_catalog(spark, f"{base}/features")
+    train = splits.split_part(again, "train", cuts=CUTS)
+    quick = models.Candidate("quick", "logistic", max_iter=5)
+    model = models.fit_candidate(train, quick, features)
+    models.save_model(model, f"{base}/model")
+    loaded = models.load_model(f"{base}/model")
+    both = models.predict(loaded, models.predict(model, again, "p_before", "c_before"))
+    same = both.where((F.col("p_before") == F.col("predicted_probability")) & (F.col("c_before") == F.col("predicted_class")))
+    return round_doubles(same.select(GOLD_COLS))
+
+
+@query("load_gold", f"with {G} select date, ticker, round(close, 6) as close, round(return_20d, 6) as return_20d, "
+       "cast(target_outperform_20d as double) as target_outperform_20d from gold where day(date) % 7 <> 0 and day(date) % 5 <> 0")
+def q_load_gold(spark, sf_dir):
+    """The exported gold CSV as the serving side loads it: unreadable dates and missing
+    closes are dropped (S6, P5, P9)."""
+    base = tables.scratch_path(spark, "serving")
+    day = F.dayofmonth("date")
+    broken = gold(spark, sf_dir).withColumn("close", F.when(day % 5 != 0, F.col("close"))).withColumn(
+        "date", F.when(day % 7 != 0, F.date_format("date", "yyyy-MM-dd")).otherwise("not a date"))
+    tables.export_csv(broken, f"{base}/gold_csv")
+    loaded = pipeline.load_gold(spark, f"{base}/gold_csv")
+    return round_doubles(loaded.select("date", "ticker", "close", "return_20d", LABEL))
 
 
 @query("ingest_files", f"with {BRONZE_T} select tarih, kapanis_tl, source_file, ticker, l_suppkey, l_orderkey, "
@@ -821,15 +1031,40 @@ def q_ingest_files(spark, sf_dir):
     second = b.where(F.col("l_linenumber") > 3).select("source_file", "l_linenumber", "l_orderkey",
                                                        "l_suppkey", "kapanis_tl", "tarih")
     for i, part in enumerate((first, second)):
-        (part.repartition("source_file").write.mode("overwrite").option("header", True)
+        (part.write.mode("overwrite").option("header", True)
          .partitionBy("source_file").csv(f"{root}/layout{i}"))
-    got = files.ingest_csv(spark, root, entity_from="directory")
+    got, _ = files.ingest_files(spark, root, "csv", entity_from="directory")
     return got.select("tarih", "kapanis_tl", "source_file", "ticker",
                       F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
                       F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
                       F.col("l_linenumber").cast("int").alias("l_linenumber"))
 
 
+# Files of the workbook queries: a source file's rows in workbooks of 500 orders; every
+# ninth workbook is cut off and can't be read.
+WORKBOOKS = """books as (select *, l_orderkey // 500 as part,
+  replace(source_file, '.xlsx', concat('_', cast(l_orderkey // 500 as varchar), '.xlsx')) as book,
+  (l_orderkey // 500 + l_suppkey % 26) % 9 = 0 as broken from bronze_t)"""
+
+
+@query("ingest_workbooks", f"with {BRONZE_T}, {WORKBOOKS} select tarih, kapanis_tl, book as source_file, ticker, "
+       "cast(l_suppkey as varchar) as l_suppkey, cast(l_orderkey as varchar) as l_orderkey, "
+       "cast(l_linenumber as varchar) as l_linenumber from books where not broken")
+def q_ingest_workbooks(spark, sf_dir):
+    """Workbooks written in tasks from the bronze rows, decoded in tasks and stacked by
+    name; files that can't be read give no rows (S1-S4, U1)."""
+    bronze, _ = files.ingest_files(spark, fx.workbooks(spark, sf_dir), "xlsx")
+    return bronze.select("tarih", "kapanis_tl", "source_file", "ticker", "l_suppkey", "l_orderkey", "l_linenumber")
+
+
+@query("ingest_errors", f"with {BRONZE_T}, {WORKBOOKS} select distinct book as source_file, 'BadZipFile' as kind "
+       "from books where broken")
+def q_ingest_errors(spark, sf_dir):
+    """The files that could not be read, with the kind of error."""
+    _, errors = files.ingest_files(spark, fx.workbooks(spark, sf_dir), "xlsx")
+    return errors.select("source_file", F.substring_index("error", ":", 1).alias("kind"))
+
+
 @query("preview_gold", f"with {G} select {_r6_list(GOLD_COLS, ('date', 'ticker', 'target_outperform_20d'))} "
        "from gold order by ticker, date limit 10")
 def q_preview_gold(spark, sf_dir):
@@ -845,7 +1080,7 @@ def q_stream_ingest(spark, sf_dir):
     b = fx.bronze(spark, sf_dir).drop("ticker")
     root = tables.scratch_path(spark, "stream")
     cols = ["tarih", "kapanis_tl", "l_suppkey", "l_orderkey", "l_linenumber"]
-    (b.select("source_file", *cols).repartition("source_file").write.mode("overwrite")
+    (b.select("source_file", *cols).write.mode("overwrite")
      .option("header", True).partitionBy("source_file").csv(f"{root}/landing"))
     got = streaming.ingest_available(spark, f"{root}/landing", cols, f"{root}/bronze",
                                      f"{root}/_checkpoint", entity_from="directory")
@@ -873,15 +1108,11 @@ def q_features_missing_inputs(spark, sf_dir):
     return round_doubles(out.select("ticker", "date", "return_20d", "volume_ratio_20d", "usdtry_return_20d"))
 
 
-@query("bronze_to_gold_local", f"with {O.gold_ctes(rule='required')} select date, ticker, "
-       "target_outperform_20d, round(return_5d, 6) as return_5d, round(price_to_ma50, 6) as price_to_ma50, "
-       "round(volatility_20d, 6) as volatility_20d from gold")
+@query("bronze_to_gold_local", _local_sql())
 def q_bronze_to_gold_local(spark, sf_dir):
     """The script chain from raw text: dictionary-first header rule, lenient dates and
     numbers, no dedupe, benchmark required before features, required-columns gold rule
     (P2, P5, P8, P10, P12)."""
     bronze = cleaning.normalise_columns(fx.raw_panel(spark, sf_dir), rule="dictionary")
     silver = cleaning.build_silver(bronze, lenient_dates=True, deduplicate=False, required=())
-    g = feat.build_gold(silver, C.LOCAL)
-    return round_doubles(g.select("date", "ticker", "target_outperform_20d", "return_5d",
-                                  "price_to_ma50", "volatility_20d"))
+    return round_doubles(feat.build_gold(silver, C.LOCAL, segmented=True).select(LOCAL_COLS))

@@ -102,15 +102,15 @@ def test_custom_columns_and_horizon(spark):
     assert out[1]["price_to_ma2"] == pytest.approx(2 / 1.5)
 
 
-@pytest.mark.parametrize("segment_rows", [7, 40])
-def test_segmented_equals_plain(spark, segment_rows):
+@pytest.mark.parametrize("segments", [3, 64, 700])
+def test_segmented_equals_plain(spark, segments):
     from panelstride.plans import fixtures as fx
 
     p = fx.panel(spark, "/root/testdata/sf0.001")
     # a null close and a null fx value inside the series exercise the cross-segment fill
     p = p.withColumn("close", F.when(F.dayofmonth("date") == 3, None).otherwise(F.col("close")))
     plain = feat.build_features(p, NOTEBOOK)
-    seg = feat.build_features(p, NOTEBOOK, segment_rows=segment_rows)
+    seg = feat.build_features(p, NOTEBOOK, segmented=True, segments=segments)
     assert seg.columns == plain.columns
     a = plain.exceptAll(seg).count()
     b = seg.exceptAll(plain).count()
@@ -118,13 +118,13 @@ def test_segmented_equals_plain(spark, segment_rows):
     assert seg.count() == plain.count()
 
 
-def test_auto_segmenting_switches_on_large_entities(spark, monkeypatch):
-    from panelstride.plans import fixtures as fx
+def test_rows_of_one_date_do_not_depend_on_the_layout(spark):
+    from panelstride.config import LOCAL
 
-    p = fx.panel(spark, "/root/testdata/sf0.001")
-    plain = feat.build_features(p, NOTEBOOK)
-    monkeypatch.setattr(feat, "AUTO_SEGMENT_ROWS", 25)  # every entity counts as large
-    auto = feat.build_features(p, NOTEBOOK, segment_rows="auto")
-    assert "__seg" not in auto.columns
-    assert "percentile_approx" in auto._jdf.queryExecution().optimizedPlan().toString()  # segmented
-    assert auto.exceptAll(plain).count() == 0 and plain.exceptAll(auto).count() == 0
+    rows = [(D0 + dt.timedelta(days=i // 3), "A", 10.0 + i * i % 7, 100.0 + i, 1.0, 5.0, f"f{i % 3}", i) for i in range(240)]
+    df = spark.createDataFrame(rows, "date date, ticker string, close double, bist100 double, usdtry double, "
+                                     "volume double, source_file string, source_row int")
+    a = feat.build_features(df.repartition(1), LOCAL)
+    b = feat.build_features(df.repartition(7, "source_row"), LOCAL)
+    c = feat.build_features(df.repartition(5), LOCAL, segmented=True, segments=9)
+    assert a.exceptAll(b).count() == 0 and a.exceptAll(c).count() == 0 and c.count() == 240

@@ -46,3 +46,6 @@ def test_files_to_gold_and_model(spark, tmp_path):
     views = pipeline.serving_tables(out.gold, reloaded, top=5)
     assert views["ranking"].count() == min(25, expected.select("ticker").distinct().count())
     assert views["performance_summary"].count() == 5
+
+    table = pipeline.test_prediction_table(reloaded, out.gold, "lr", CUTS)
+    assert "bist100" not in table.columns and table.count() > 0

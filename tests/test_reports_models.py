@@ -152,8 +152,14 @@ def test_workbook_ingest(spark, tmp_path):
 def test_csv_ingest_groups_header_layouts(spark, tmp_path):
     (tmp_path / "AAA1.csv").write_text("Tarih,Kapanış(TL)\n02-01-2020,1\n")
     (tmp_path / "BBB1.csv").write_text("Kapanış(TL),Tarih\n2,03-01-2020\n")
-    got = sorted((r.ticker, r.tarih, r.kapanis_tl) for r in files.ingest_csv(spark, str(tmp_path)).collect())
+    got = sorted((r.ticker, r.tarih, r.kapanis_tl) for r in files.ingest_csv(spark, str(tmp_path))[0].collect())
     assert got == [("AAA", "02-01-2020", "1"), ("BBB", "03-01-2020", "2")]
+    (tmp_path / "CCC1.csv").write_text("\n \n")
+    # headers that normalise alike, a quoted separator, a BOM, blank lines
+    (tmp_path / "DDD+x 1.csv").write_text("\ufeffTarih,Kapanış(TL),Kapanış TL\r\n\r\n04-01-2020,,\"3,5\"\r\n05-01-2020,6,7\r\n")
+    data, errors = files.ingest_csv(spark, str(tmp_path))
+    assert sorted((r.ticker, r.tarih, r.kapanis_tl) for r in data.collect()) == [*got, ("DDD", "04-01-2020", "3,5"), ("DDD", "05-01-2020", "6")]
+    assert [r.source_file for r in errors.collect()] == ["CCC1.csv"]
     with pytest.raises(FileNotFoundError):
         files.ingest_csv(spark, str(tmp_path), pattern="*.nothing")
 
@@ -191,3 +197,35 @@ def test_workbook_date_styled_cells():
         z.writestr("xl/styles.xml", styles)
     rows = files.decode_xlsx(buf.getvalue())
     assert rows == [{"Tarih": "02-01-2020", "Kapanış(TL)": "10.25"}]
+
+
+def test_repeated_workbook_headers_stay_apart():
+    rows = files.decode_xlsx(_xlsx(["A", "A", "B"], [["1", "2", "3"]]))
+    assert rows == [{"A": "1", "A.1": "2", "B": "3"}]
+
+
+def test_csv_ingest_reads_what_only_spark_reads(spark, tmp_path):
+    """A path with a scheme that no plain file API knows."""
+    (tmp_path / "AAA1.csv").write_text("Tarih,Kapanış(TL)\n02-01-2020,1\n")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.panels.link./in", f"file://{tmp_path}")
+    data, errors = files.ingest_csv(spark, "viewfs://panels/in")
+    assert [(r.ticker, r.kapanis_tl) for r in data.collect()] == [("AAA", "1")] and errors.isEmpty()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from panelstride import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_folder(Session())

@@ -16,3 +16,13 @@ def test_available_now_is_incremental(spark, tmp_path):
     second = ingest.ingest_available(spark, str(landing), header, target, ckpt)
     assert second.count() == 3
     assert second.where("ticker = 'BBB'").count() == 1
+
+
+def test_a_restart_with_the_default_checkpoint_repeats_nothing(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "AAA2011.csv").write_text("Tarih,Kapanış(TL)\n02-01-2020,1\n")
+    target = str(tmp_path / "bronze")
+    for _ in range(2):
+        again = ingest.ingest_available(spark.newSession(), str(landing), ["Tarih", "Kapanış(TL)"], target)
+    assert again.count() == 1
