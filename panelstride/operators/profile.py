@@ -7,16 +7,29 @@ groups), never over the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_table
+
 
 def value_shares(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
-    """Count and relative frequency of each value of ``col`` (within ``by`` groups)."""
+    """Count and relative frequency of each value of ``col`` (within ``by`` groups).
+
+    The counts are written once; totals are a second aggregate over them, so a column
+    of very many values meets in no single task."""
     by = by or []
-    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*by)) if by else F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("n").cast("double") / total)
+    counts = shared_table(df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    if by:
+        keys = [F.col(k).alias(f"__{k}") for k in by]
+        totals = counts.groupBy(*keys).agg(F.sum("n").alias("__total"))
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by])
+        out = counts.join(totals, same)
+    else:
+        out = counts.withColumn("__total", F.lit(counts.agg(F.sum("n")).first()[0]))
+    return out.select(*by, col, "n", (F.col("n").cast("double") / F.col("__total")).alias("share"))
 
 
 def panel_profile(df: DataFrame, entity: str = "ticker", time: str = "date") -> DataFrame:
