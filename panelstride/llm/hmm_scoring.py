@@ -116,16 +116,13 @@ _codes: dict[str, dict[bytes, int]] = {}
 
 def vocabulary(counts: DataFrame, known_words: int, own_words: int, endings: int) -> Vocabulary:
     """From the table of counts: common words to the driver, sums of the ending classes."""
-    # floor(log2) buckets may straddle a count: compare in the same terms
-    least = common_from(counts, known_words)
-    common = counts.where((F.col("c") >= least) & (F.length("word") <= 64)).orderBy(F.desc("c"), "word")
-    found = common.toPandas() if least < 1 << 62 else None
-    words = [bytes(w) for w in found["word"]] if found is not None else []
-    c = found["c"].to_numpy(np.int64) if found is not None else np.zeros(0, np.int64)
-    order = sorted(range(len(words)), key=lambda k: words[k] != END)  # the end token first, then by count
-    words, c = [words[k] for k in order], c[order]
-    if END not in words[:1]:
-        words, c = [END, *words], np.concatenate(([0], c))
+    common = (F.col("c") >= common_from(counts, known_words)) & (F.length("word") <= 64)
+    found = counts.where(common | (F.length("word") == 0)).toPandas()  # the end token is always known
+    found = found.assign(word=found["word"].map(bytes)).sort_values(["c", "word"], ascending=[False, True])
+    found = found.iloc[np.argsort(found["word"] != END, kind="stable")]  # the end token first, then by count
+    words, c = found["word"].tolist(), found["c"].to_numpy(np.int64)
+    if not words:  # no training tokens
+        words, c = [END], np.zeros(1, np.int64)
     own = min(own_words, len(words))
 
     def sums(batches):
