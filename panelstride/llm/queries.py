@@ -154,6 +154,32 @@ def op9_best_fit_packing(spark, sf_dir):
                                     public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
-@query("op10_source_mixing")
+@query("op10_source_mixing", sql=r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n_tokens
+  FROM documents),
+src AS (SELECT source, CAST(sum(n_tokens) AS DOUBLE) AS t FROM d GROUP BY source),
+p AS (SELECT source, t, t / (SELECT sum(t) FROM src) AS p FROM src WHERE t > 0),
+-- the most repeated source is the smallest, drawn (largest / smallest) ^ (1 - x) times as often as the largest
+x AS (SELECT CASE WHEN max(p) / min(p) <= 1.5 THEN 0.0 ELSE 1 - ln(1.5) / ln(max(p) / min(p)) END AS x FROM p),
+w AS (SELECT source, t, pow(p, x) / sum(pow(p, x)) OVER () AS weight FROM p, x),
+b AS (SELECT *, weight * max(t / weight) OVER () AS budget FROM w),
+s AS (
+  SELECT source, t, weight, budget, greatest(1.0, ceil(sum(budget) OVER () / 1000000.0)) AS blocks,
+         CAST(ceil(budget / t - 1e-9) AS BIGINT) AS rounds FROM b
+  UNION ALL SELECT source, 0.0, 0.0, 0.0, 1.0, 1 FROM src WHERE t = 0),
+e AS (
+  SELECT doc_id, source, n_tokens, t, weight, budget, blocks, CAST(unnest(generate_series(0, rounds - 1)) AS INT) AS epoch
+  FROM d JOIN s USING (source)),
+placed AS (SELECT *, md5('0:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM e),
+run AS (
+  SELECT *, epoch * t + sum(n_tokens) OVER (
+    PARTITION BY source, epoch ORDER BY place, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS done FROM placed)
+SELECT doc_id, source, n_tokens, epoch, place, round(weight, 9) AS weight,
+       CASE WHEN budget > 0 THEN CAST(least(floor((done - n_tokens) / (budget / blocks)), blocks - 1) AS BIGINT) ELSE 0 END AS block
+FROM run WHERE done <= budget * (1 + 1e-9)
+""")
 def op10_source_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"), max_epochs=1.5, block_tokens=1_000_000)
+    drawn = mixing.mix(table(spark, sf_dir, "documents"), max_epochs=1.5, block_tokens=1_000_000)
+    return drawn.withColumn("weight", F.round("weight", 9))
