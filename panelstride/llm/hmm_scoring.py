@@ -26,6 +26,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -158,7 +159,8 @@ SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, n_common l
 
 def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
     """Each document as classes, with what its common words add to both scores and a
-    list of its rare words. ``shared`` broadcasts the vocabulary."""
+    list of its rare words. ``shared`` broadcasts the vocabulary; ``key`` names it in a
+    worker's memory."""
     def each(batches):
         v: Vocabulary = shared.value
         if key not in _codes:
@@ -360,8 +362,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     words = vocabulary(counts, known_words, own_words, endings)
     shared = spark.sparkContext.broadcast(words)  # bounded: known_words words of 64 bytes at most
     rows = src.withColumn("row", F.monotonically_increasing_id())
-    table = written(sequences(rows, shared, f"{spark.sparkContext.applicationId}/{shared._jbroadcast.id()}"
-                              if shared._jbroadcast is not None else str(id(shared)), endings), "sequences")
+    table = written(sequences(rows, shared, uuid.uuid4().hex, endings), "sequences")
 
     classes = words.own + endings
     share = np.zeros(classes)
