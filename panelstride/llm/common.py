@@ -1,43 +1,12 @@
-"""Helpers that several corpus operators share: tables on shared storage, ranks
-inside large classes, connected components."""
+"""Helpers that several corpus operators share: tables on shared storage (``written``),
+ranks inside large classes, connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only a one-machine ``local`` session may go without it and gets a temporary
-    folder; any other session must name a folder that all its machines share.
-    """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = conf.get("spark.master", "")
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    folder = tempfile.mkdtemp(prefix="panelstride-shared-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet under the shared folder and read back.
-
-    Cuts the lineage: what follows survives lost executors without redoing what
-    came before, and several readers don't recompute it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from panelstride.session import shared_table as written
 
 
 def text_of(column: str = "text") -> Column:
