@@ -32,28 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelstride.llm.common import text_of, written
 
-MASK = (1 << 64) - 1
 #: Odd factors of the two polynomial hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-#: Words that one worker process remembers the hash of.
-REMEMBERED_WORDS = 400_000
 
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, 7)
-        if len(self) < REMEMBERED_WORDS:
-            self[word] = h
-        return h
-
-
-_hashes = _Hashes()
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -76,15 +64,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of several texts one after the other, with hashes of any stretch."""
+    """The words of several texts (split as bytes: at ASCII white space only) one after
+    the other, with hashes of any stretch."""
 
-    def __init__(self, texts: list[bytes]):
-        split = [t.split() for t in texts]  # of bytes: ASCII white space only
+    def __init__(self, split: list[list[bytes]]):
         self.words = [w for ws in split for w in ws]
-        self.ends = np.cumsum([len(ws) for ws in split], dtype=np.int64)
-        self.begins = np.concatenate(([0], self.ends[:-1])).astype(np.int64) if texts else np.zeros(0, np.int64)
+        n = np.array([len(ws) for ws in split], np.int64)
+        self.ends = np.cumsum(n)
+        self.begins = self.ends - n
         n = len(self.words)
-        h = np.array([_hashes[w] for w in self.words], np.uint64)
+        digest = xxhash.xxh64_digest
+        h = np.frombuffer(b"".join([digest(w, 7) for w in self.words]), np.uint64)
         self.sums = []
         for f in FACTORS:
             power, _ = _powers_to(f, n + 1)
@@ -129,7 +119,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256):
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 64):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -139,7 +129,7 @@ def run_table(src: DataFrame, k: int, group: int) -> DataFrame:
     """All runs of the corpus: ``doc``, ``th``, ``start``, ``n``, ``m``, ``h``."""
     def each(batches):
         for part in _parts(batches):
-            words = Words(part.column(2).cast(pa.binary()).to_pylist())
+            words = Words([t.split() for t in part.column(2).cast(pa.binary()).to_pylist()])
             text, start, n, low, h = words.runs(k, group)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
@@ -209,36 +199,53 @@ MARK = "struct<kind:int,start:int,n:int,a:bigint,b:bigint,d1:bigint,d2:bigint>"
 PATH, WINDOW, KNOWN = 0, 1, 2
 
 
+def _marks(split: list[list[bytes]], todo: pa.ListArray, k: int) -> tuple[pa.StructArray, np.ndarray]:
+    """The marks of some documents one after the other, and how many each has."""
+    doc = np.repeat(np.arange(len(split)), [0 if x is None else x for x in pc.list_value_length(todo).to_pylist()])
+    kind, start, n, a, b = (c.to_numpy(zero_copy_only=False) for c in todo.flatten().flatten())
+    whole = np.flatnonzero(kind == PATH)
+    digests = [hashlib.blake2b(b" ".join(split[doc[i]][start[i]:start[i] + n[i] + k - 1]), digest_size=16).digest()
+               for i in whole.tolist()]
+    d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+    # windows: only the documents that have any are hashed, all of their windows at once
+    runs = np.flatnonzero(kind != PATH)
+    some, at = np.unique(doc[runs], return_inverse=True)
+    words = Words([split[i] for i in some.tolist()])
+    run = np.repeat(np.arange(len(runs)), n[runs])
+    within = np.arange(len(run)) - np.repeat(np.cumsum(n[runs]) - n[runs], n[runs])
+    begin = words.begins[at[run]] + start[runs[run]] + within
+    hashes = [words.hashes(w, begin, begin + k).view(np.int64) for w in (0, 1)]
+
+    of = runs[run]
+    columns = {
+        "kind": np.concatenate((kind[whole], kind[of])), "start": np.concatenate((start[whole], start[of] + within)),
+        "n": np.concatenate((n[whole], np.ones(len(of), n.dtype))), "a": np.concatenate((a[whole], a[of])),
+        "b": np.concatenate((b[whole], b[of])), "d1": np.concatenate((d[:, 0], hashes[0])),
+        "d2": np.concatenate((d[:, 1], hashes[1]))}
+    owner = np.concatenate((doc[whole], doc[of]))
+    order = np.argsort(owner, kind="stable")
+    kinds = {c: pa.int32() if c in ("kind", "start", "n") else pa.int64() for c in columns}
+    return (pa.StructArray.from_arrays([pa.array(v[order], kinds[c]) for c, v in columns.items()], names=list(columns)),
+            np.bincount(owner, minlength=len(split)))
+
+
 def _marked(joined: DataFrame, k: int) -> DataFrame:
     """Documents without candidates are done; the others keep their text and get a
     mark for each path occurrence and each window to compare."""
     def each(batches):
         for part in _parts(batches):
             texts = part.column(3).cast(pa.binary()).to_pylist()
-            words = Words(texts)
-            marks = []
-            for i, todo in enumerate(part.column(4).to_pylist()):
-                begin, out = int(words.begins[i]), []
-                for t in todo or []:
-                    s = begin + t["start"]
-                    if t["kind"] == PATH:
-                        d = hashlib.blake2b(b" ".join(words.words[s:s + t["n"] + k - 1]), digest_size=16).digest()
-                        out.append((PATH, t["start"], t["n"], t["a"], t["b"],
-                                    *(int.from_bytes(x, "little", signed=True) for x in (d[:8], d[8:]))))
-                    else:
-                        at = np.arange(s, s + t["n"])
-                        for j, (x, y) in enumerate(zip(*(words.hashes(w, at, at + k).view(np.int64).tolist() for w in (0, 1)), strict=True)):
-                            out.append((t["kind"], t["start"] + j, 1, t["a"], 0, x, y))
-                marks.append([dict(zip(("kind", "start", "n", "a", "b", "d1", "d2"), m, strict=True)) for m in out])
-            n = words.ends - words.begins
-            done = [not m for m in marks]
-            sha = [hashlib.sha256(b" ".join(words.words[a:b])).hexdigest() if d else None
-                   for a, b, d in zip(words.begins, words.ends, done, strict=True)]
-            kinds = pa.list_(pa.struct([(c, pa.int32()) for c in ("kind", "start", "n")]
-                                       + [(c, pa.int64()) for c in ("a", "b", "d1", "d2")]))
+            split = [t.split() for t in texts]
+            marks, count = _marks(split, part.column(4), k)
+            done = (count == 0).tolist()
+            sha = [hashlib.sha256(b" ".join(ws)).hexdigest() if d else None for ws, d in zip(split, done, strict=True)]
+            ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
-                 pa.array([None if d else t for t, d in zip(texts, done, strict=True)], pa.binary()), pa.array(marks, kinds)],
+                [part.column(0), part.column(1), part.column(2), pa.array([len(ws) for ws in split], pa.int64()),
+                 pa.array(sha, pa.string()),
+                 pa.array([None if d else t for t, d in zip(texts, done, strict=True)], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(ends), marks)],
                 names=["doc", "th", "doc_id", "n_words", "kept_sha256", "text", "marks"])
 
     return joined.select("doc", "th", "doc_id", "text", "todo").mapInArrow(
