@@ -24,8 +24,12 @@ an empty table gives no rows; further columns of the input are ignored.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -35,53 +39,98 @@ from pyspark.sql import functions as F
 
 from panelstride.llm.common import rank_in_class, text_of, written
 
-#: Words that one worker process remembers; later ones are encoded each time.
-REMEMBERED_WORDS = 400_000
+#: Words, and parts of words, that one worker process remembers (under 200 bytes each);
+#: others are encoded each time.
+REMEMBERED_WORDS, REMEMBERED_PARTS = 1_000_000, 500_000
+
+#: A word of letters (or what is not ASCII), then ASCII punctuation without apostrophe.
+_PARTS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
 _memory: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer and this process's memory of encoded words."""
+    """The tokenizer, its merges, and this process's memory of encoded words and parts."""
     if path not in _memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _memory[path] = (Tokenizer.from_file(path), {})
+        tokenizer = Tokenizer.from_file(path)
+        _memory[path] = (tokenizer, _Merges(tokenizer), {}, {})
     return _memory[path]
 
 
+def _remember(memory: dict, fresh: dict, most: int) -> None:
+    memory.update(islice(fresh.items(), max(0, most - len(memory))))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Merges(dict):
+    """Encodes a word of letters alone: there only the tokenizer's lower case, its byte
+    alphabet (asked from it for each new character) and its merges matter."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.alphabet, self.merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+
+    def __missing__(self, char: str) -> str:
+        self[char] = "".join(piece for piece, _ in self.alphabet(char))
+        return self[char]
+
+    def encode(self, letters: str) -> bytes:
+        return _packed([t.id for t in self.merge("".join([self[c] for c in letters]))])
+
+
+def _encode_words(words: set[bytes], tokenizer, merges: _Merges, known: dict[str, bytes]) -> dict[bytes, bytes]:
+    """The ids of distinct words.
+
+    The tokenizer cuts a word where letters end and punctuation begins, so a word is
+    encoded as these two parts, of which there are fewer.
+    """
+    cut, plain, rest = {}, set(), set()
+    for w in words:
+        m = _PARTS.fullmatch(w)
+        head, tail = (m[1].decode(), m[2].decode()) if m else (w.decode(), "")
+        simple = head.isascii()
+        low = head.lower() if simple else "".join([c.lower() for c in head])
+        if low.isalpha() and (simple or is_normalized("NFC", head)):
+            head = low
+            plain.add(low)
+        else:  # anything else is encoded as it stands
+            head, tail = w.decode(), ""
+            rest.add(head)
+        if tail:
+            rest.add(tail)
+        cut[w] = head, tail
+    fresh = {p: merges.encode(p) for p in plain if p not in known} | {"": b""}
+    rest = [p for p in rest if p not in known and p not in fresh]
+    for p, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        fresh[p] = _packed(e.ids)
+    out = {w: (known.get(a) or fresh[a]) + (known.get(b) or fresh[b]) for w, (a, b) in cut.items()}
+    _remember(known, fresh, REMEMBERED_PARTS)
+    return out
+
+
 def encode(texts: list[bytes], path: str) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and no token crosses it, so words between ASCII
     white space are encoded by themselves, each distinct one once.
     """
-    tokenizer, known = _tokenizer(path)
-    words = [t.split() for t in texts]
-    new = list({w for ws in words for w in ws if w not in known})
-    fresh: dict[bytes, bytes] = {}
-    for at in range(0, len(new), 4096):
-        part = new[at:at + 4096]
-        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part],
-                                                          add_special_tokens=False), strict=True):
-            fresh[w] = np.array(e.ids, "<u4").tobytes()
-    if len(known) + len(fresh) <= REMEMBERED_WORDS:
-        known.update(fresh)
-        return [b"".join([known[w] for w in ws]) for ws in words]
-    look = _Both(known, fresh)
-    return [b"".join([look[w] for w in ws]) for ws in words]
-
-
-class _Both(dict):
-    """Looks in the words of this batch, then in the remembered ones."""
-
-    def __init__(self, known: dict, fresh: dict):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, word):
-        return self.known[word]
+    tokenizer, merges, known, parts = _tokenizer(path)
+    split = [t.split() for t in texts]
+    found = [list(map(known.get, ws)) for ws in split]
+    gaps = [(ids, ws, [k for k, x in enumerate(ids) if x is None])
+            for ids, ws in zip(found, split, strict=True) if None in ids]
+    fresh = _encode_words({ws[k] for _, ws, at in gaps for k in at}, tokenizer, merges, parts)
+    for ids, ws, at in gaps:
+        for k in at:
+            ids[k] = fresh[ws[k]]
+    _remember(known, fresh, REMEMBERED_WORDS)
+    return [b"".join(ids) for ids in found]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
