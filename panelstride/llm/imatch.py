@@ -43,31 +43,42 @@ def lexicon(docs: DataFrame, low: float, high: float) -> list[str]:
     return sorted(r.t for r in found.select("t").collect())
 
 
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def entries(text: Column, words: list[str], least_terms: int) -> Column:
     """The fingerprint as an array: an entry for each subset."""
     def hashed(inside: Column) -> Column:
-        told = F.transform(F.array_sort(inside), lambda t: F.struct(t.alias("t"), F.md5(t.cast("binary")).alias("h")))
+        # the zeros of a term's MD5 as bits, the first digit the lowest
+        def zero_bits(t: Column) -> Column:
+            digits = F.translate(F.md5(t.cast("binary")), "123456789abcdef0", "0000000000000001")
+            return F.conv(F.reverse(digits), 2, 10).cast("long")
+
+        told = F.transform(F.array_sort(inside), lambda t: F.struct(t.alias("t"), zero_bits(t).alias("m")))
 
         def entry(kept: Column) -> Column:
             return F.when(F.size(kept) == 0, F.lit("....")).otherwise(
                 F.substring(F.md5(F.concat_ws(" ", F.transform(kept, lambda x: x.t)).cast("binary")), 1, 4))
 
+        def with_bit(terms_: Column, i: Column) -> Column:
+            return F.filter(terms_, lambda x: F.getbit(x.m, i) == 1)
+
         def subset(terms_: Column, i: Column) -> Column:
-            some = F.filter(terms_, lambda x: x.h.substr(i, F.lit(1)) == "0")
-            return F.struct(entry(some).alias("one"),
-                            entry(F.filter(some, lambda x: x.h.substr(i + 1, F.lit(1)) == "0")).alias("two"))
+            one = _named(with_bit(terms_, i), lambda some: F.struct(some.alias("some"), entry(some).alias("one")))
+            return _named(one, lambda o: F.struct(o.one.alias("one"), F.when(F.size(o.some) == 0, F.lit("....")).otherwise(
+                _named(with_bit(o.some, i + 1), entry)).alias("two")))
 
-        both = F.transform(F.array(told), lambda ts: F.transform(
-            F.sequence(F.lit(1), F.lit(32)), lambda i: subset(ts, i)))[0]
-        return F.concat(F.transform(both, lambda b: b.one), F.slice(F.transform(both, lambda b: b.two), 1, 31))
+        both = _named(told, lambda ts: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: subset(ts, i)))
+        return _named(both, lambda x: F.concat(F.transform(x, lambda b: b.one),
+                                               F.slice(F.transform(x, lambda b: b.two), 1, SUBSETS - 32)))
 
     def chosen(all_terms: Column) -> Column:
         band = F.filter(all_terms, lambda t: t.isin(words)) if words else F.array().cast("array<string>")
-        return F.transform(F.array(band), lambda b: F.when(F.size(b) >= least_terms, b).otherwise(all_terms))[0]
+        return _named(band, lambda b: F.when(F.size(b) >= least_terms, b).otherwise(all_terms))
 
-    # arrays of one element name a value that is used more than once
-    picked = F.transform(F.array(terms(text)), chosen)
-    return F.transform(picked, hashed)[0]
+    return _named(_named(terms(text), chosen), hashed)
 
 
 def likeness(a: Column, b: Column) -> Column:
