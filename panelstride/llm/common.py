@@ -14,7 +14,7 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def rank_in_class(df: DataFrame, cls: str, order: list[str], block_rows: int = 2000) -> DataFrame:
+def rank_in_class(df: DataFrame, cls: str, order: list[str], block_rows: int = 256) -> DataFrame:
     """Add ``rank``, 0-based and gapless inside each value of ``cls``.
 
     A class may hold any share of the rows: it is cut by hash into blocks of about

@@ -115,7 +115,7 @@ def weights(tokens: DataFrame, max_epochs: float | None = None, entropy: float |
 
 
 def draw(tokens: DataFrame, weighted: DataFrame, block_tokens: int = 1_000_000, seed: int = 0,
-         range_rows: int = 2000) -> DataFrame:
+         range_rows: int = 256) -> DataFrame:
     """One row for every time a document is drawn: ``doc_id``, ``source``,
     ``n_tokens``, ``epoch``, ``place`` (order inside the epoch), ``block``.
 
