@@ -1,6 +1,5 @@
 """Sharding, token counts, packing and mixing against brute force."""
 
-import base64
 import math
 import random
 import zlib
