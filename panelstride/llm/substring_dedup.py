@@ -215,14 +215,15 @@ def _marks(split: list[list[bytes]], todo: pa.ListArray, k: int) -> tuple[pa.Str
     run = np.repeat(np.arange(len(runs)), n[runs])
     within = np.arange(len(run)) - np.repeat(np.cumsum(n[runs]) - n[runs], n[runs])
     begin = words.begins[at[run]] + start[runs[run]] + within
-    hashes = [words.hashes(w, begin, begin + k).view(np.int64) for w in (0, 1)]
+    # with the minimizer, from the other polynomial, 128 bits say which window it is
+    hashes = words.hashes(1, begin, begin + k).view(np.int64)
 
     of = runs[run]
     columns = {
         "kind": np.concatenate((kind[whole], kind[of])), "start": np.concatenate((start[whole], start[of] + within)),
         "n": np.concatenate((n[whole], np.ones(len(of), n.dtype))), "a": np.concatenate((a[whole], a[of])),
-        "b": np.concatenate((b[whole], b[of])), "d1": np.concatenate((d[:, 0], hashes[0])),
-        "d2": np.concatenate((d[:, 1], hashes[1]))}
+        "b": np.concatenate((b[whole], b[of])), "d1": np.concatenate((d[:, 0], hashes)),
+        "d2": np.concatenate((d[:, 1], np.zeros(len(of), np.int64)))}
     owner = np.concatenate((doc[whole], doc[of]))
     order = np.argsort(owner, kind="stable")
     kinds = {c: pa.int32() if c in ("kind", "start", "n") else pa.int64() for c in columns}
@@ -290,7 +291,7 @@ def remove_repeats(docs: DataFrame, k: int = 35, group: int = 8, id_col: str = "
             .groupBy("doc", "th").agg(F.collect_set("t").alias("todo")))  # of one document: bounded by its length
     table = written(_marked(src.join(written(todo, "todo"), ["doc", "th"], "left"), k), "marked")
 
-    marks = written(table.select("doc", "th", F.explode("marks").alias("x")).select("doc", "th", "x.*"), "marks")
+    marks = table.select("doc", "th", F.explode("marks").alias("x")).select("doc", "th", "x.*")
     same = ["kind", "a", "b", "d1", "d2"]
     # a window of a run known to be repeated counts for two
     keyed = marks.withColumn("weight", F.when(F.col("kind") == KNOWN, 2).otherwise(1)).withColumn(
