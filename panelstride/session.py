@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, wherever they run: it goes to the
+    executors as a zip, once for each application (as ``--py-files`` would do)."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="panelstride-code-")) / "panelstride_code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``, as it stands there
     (the same in every session, so that what lies in it can be found again).
