@@ -14,28 +14,46 @@ columns of ``documents``:
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 
 from panelstride.llm import exact_dedup, mixing, packing, quality, simhash_dedup
 from panelstride.llm.common import written
+from panelstride.session import ship_package
+
+
+def _stage(function):
+    """The stage, once the executors' Python can import the package."""
+    @wraps(function)
+    def apply(spark, docs, sf_dir):
+        ship_package(spark)
+        return function(spark, docs, sf_dir)
+
+    return apply
 
 
+@_stage
 def quality_classifier(spark, docs, sf_dir):
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_stage
 def exact(spark, docs, sf_dir):
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+@_stage
 def near(spark, docs, sf_dir):
     return simhash_dedup.drop_near_duplicates(docs, shingle=3, distance=3)
 
 
+@_stage
 def source_mixing(spark, docs, sf_dir):
     return mixing.mixed_documents(docs, max_epochs=1.5)
 
 
+@_stage
 def best_fit_packing(spark, docs, sf_dir):
     return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 

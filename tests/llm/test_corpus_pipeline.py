@@ -22,7 +22,7 @@ def test_every_operator_is_registered():
     names = entry.queries()
     for n in range(1, 11):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
-    assert names["pipeline"] is corpus_pipeline.run
+    assert names["pipeline"].__wrapped__ is corpus_pipeline.run
     assert set(QUERIES) <= set(names) and set(ORACLES) <= set(entry.oracle_sql())
     assert [k for k, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "SimHash near-dedup", "mixing sources to target weights", "best-fit packing"]
