@@ -74,12 +74,10 @@ _codes: dict[int, _Codes] = {}
 def words(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all words of the texts, where each text ends, and letters of each text."""
     known = _codes.setdefault(buckets, _Codes(buckets))
-    codes, ends, at = [], [], 0
+    codes, ends = [], []
     for t in texts:
-        found = _WORD.findall(t)
-        codes += [known[w] for w in found]
-        at += len(found)
-        ends.append(at)
+        codes += map(known.__getitem__, _WORD.findall(t))
+        ends.append(len(codes))
     return (np.array(codes, np.int64), np.array(ends, np.int64),
             np.array([len(t) for t in texts], np.int64))
 
@@ -226,7 +224,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     width = 2 * dims + SHAPES + 4
 
     def pooled(batches):
-        for part, texts in _batches(batches, 1):
+        for part, texts in _batches(batches, 1, rows=32):  # few, so that their vectors stay in the cache
             rows = pool(texts, vectors)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(rows.ravel()))
             yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["doc_id", "features"])
