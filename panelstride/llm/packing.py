@@ -205,9 +205,13 @@ def configurations(sizes: list[int], demand: list[int], capacity: int,
 
 class Plan:
     """Places for each length's ranks: rows of (length, first rank, pieces in a
-    sequence, first sequence, ids already in it)."""
+    sequence, first sequence, ids already in it).
 
-    def __init__(self, counts: dict[int, int], capacity: int, groups: int = 64, large: float = 1 / 16):
+    Rounding up wastes up to a group's width for each large piece, so groups are many
+    and only lengths over ``large`` of the capacity count as large: the others fill what
+    is left to the last id."""
+
+    def __init__(self, counts: dict[int, int], capacity: int, groups: int = 256, large: float = 1 / 3):
         self.capacity, self.rows, self.bins = capacity, [], 0
         self.gaps: dict[int, list[list[int]]] = {}  # room left -> runs of [first sequence, sequences]
         self.rank = dict.fromkeys(counts, 0)
@@ -290,7 +294,7 @@ class Plan:
                 self.gaps.setdefault(gap, []).append([first + whole, bins - whole])
 
 
-def pack(found: DataFrame, capacity: int = 4096, groups: int = 64, large: float = 1 / 16) -> DataFrame:
+def pack(found: DataFrame, capacity: int = 4096, groups: int = 256, large: float = 1 / 3) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a written table of pieces."""
     # bounded: a row for each length up to the capacity
     counts = {r[0]: r[1] for r in found.groupBy("length").count().collect()}
@@ -314,7 +318,7 @@ def pack(found: DataFrame, capacity: int = 4096, groups: int = 64, large: float
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
-                     groups: int = 64, large: float = 1 / 16,
+                     groups: int = 256, large: float = 1 / 3,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id``, ``offset``."""

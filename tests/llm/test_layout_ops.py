@@ -183,9 +183,9 @@ def test_words_are_encoded_as_in_the_text(some):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.dictionaries(st.integers(1, 60), st.integers(1, 50), max_size=25), st.integers(1, 6))
-def test_plan_places_every_piece(counts, groups):
-    plan = packing.Plan(counts, 60, groups)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 50), max_size=25), st.integers(1, 6), st.sampled_from([1 / 16, 1 / 4, 1 / 3, 1.0]))
+def test_plan_places_every_piece(counts, groups, large):
+    plan = packing.Plan(counts, 60, groups, large)
     places = defaultdict(list)
     rows = sorted(plan.rows)
     for length, n in counts.items():
@@ -222,7 +222,7 @@ def test_plan_is_near_the_best(seed):
     lengths = np.clip(rng.lognormal(6.3, 1.1, 4000).astype(int), 1, 4096).tolist()
     plan = packing.Plan(dict(Counter(lengths)), 4096)
     bound = -(-sum(lengths) // 4096)
-    assert plan.bins <= 1.01 * bound + 2
+    assert plan.bins <= 1.002 * bound + 2
     assert plan.bins <= brute_best_fit(lengths, 4096) + 2
 
 
