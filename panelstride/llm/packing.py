@@ -41,7 +41,7 @@ from panelstride.llm.common import rank_in_class, text_of, written
 
 #: Words, and parts of words, that one worker process remembers (under 200 bytes each);
 #: others are encoded each time.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 1_000_000, 500_000
+REMEMBERED_WORDS, REMEMBERED_PARTS = 250_000, 250_000
 
 #: A word of letters (or what is not ASCII), then ASCII punctuation without apostrophe.
 _PARTS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
@@ -84,7 +84,8 @@ class _Merges(dict):
         return _packed([t.id for t in self.merge("".join([self[c] for c in letters]))])
 
 
-def _encode_words(words: set[bytes], tokenizer, merges: _Merges, known: dict[str, bytes]) -> dict[bytes, bytes]:
+def _encode_words(words: set[bytes], tokenizer, merges: _Merges, words_known: dict[bytes, bytes],
+                  known: dict[str, bytes]) -> dict[bytes, bytes]:
     """The ids of distinct words.
 
     The tokenizer cuts a word where letters end and punctuation begins, so a word is
@@ -109,7 +110,9 @@ def _encode_words(words: set[bytes], tokenizer, merges: _Merges, known: dict[str
     rest = [p for p in rest if p not in known and p not in fresh]
     for p, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
         fresh[p] = _packed(e.ids)
-    out = {w: (known.get(a) or fresh[a]) + (known.get(b) or fresh[b]) for w, (a, b) in cut.items()}
+    out = {w: (known[a] if a in known else fresh[a]) + (known[b] if b in known else fresh[b]) for w, (a, b) in cut.items()}
+    # most words never come again: those whose letters have been met before are worth their place
+    _remember(words_known, {w: out[w] for w, (a, _) in cut.items() if a in known}, REMEMBERED_WORDS)
     _remember(known, fresh, REMEMBERED_PARTS)
     return out
 
@@ -125,11 +128,10 @@ def encode(texts: list[bytes], path: str) -> list[bytes]:
     found = [list(map(known.get, ws)) for ws in split]
     gaps = [(ids, ws, [k for k, x in enumerate(ids) if x is None])
             for ids, ws in zip(found, split, strict=True) if None in ids]
-    fresh = _encode_words({ws[k] for _, ws, at in gaps for k in at}, tokenizer, merges, parts)
+    fresh = _encode_words({ws[k] for _, ws, at in gaps for k in at}, tokenizer, merges, known, parts)
     for ids, ws, at in gaps:
         for k in at:
             ids[k] = fresh[ws[k]]
-    _remember(known, fresh, REMEMBERED_WORDS)
     return [b"".join(ids) for ids in found]
 
 
