@@ -58,7 +58,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512):
             yield part, part.column(column).cast(pa.binary()).to_pylist()
 
 
-def word_counts(train: DataFrame, flush: int = 200_000) -> DataFrame:
+def word_counts(train: DataFrame, flush: int = 100_000) -> DataFrame:
     """``word``, ``c`` over all rows of ``train`` (column ``text``)."""
     def each(batches):
         def out():
@@ -312,7 +312,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int, most: int):
 
 def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
                sample_docs: int = 1500, sample_iterations: int = 12, stretch: int = 512,
-               batch_tokens: int = 300_000, seed: int = 0) -> Model:
+               batch_tokens: int = 200_000, seed: int = 0) -> Model:
     """Fit on all rows of ``train`` (columns ``row``, ``groups``)."""
     model = first_model(states, shares, seed)
     n = train.count()
@@ -350,8 +350,8 @@ def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int =
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8,
-          iterations: int = 2, known_words: int = 200_000, own_words: int = 8192, endings: int = 512,
-          batch_tokens: int = 300_000, seed: int = 0) -> DataFrame:
+          iterations: int = 2, known_words: int = 100_000, own_words: int = 8192, endings: int = 512,
+          batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` (smoothed unigrams), ``score`` (the model)."""
     spark = docs.sparkSession
