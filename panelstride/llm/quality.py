@@ -36,7 +36,7 @@ from panelstride.llm.common import text_of, written
 SHAPES = 12
 _WORD = re.compile(r"\w+|[^\w\s]+")
 #: Words that one worker process remembers the bucket of.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 
 
 def _shape(word: str) -> int:
