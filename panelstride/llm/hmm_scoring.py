@@ -6,10 +6,13 @@ class words have their smoothed corpus frequencies, so the model covers an open
 vocabulary with a table of bounded size: ``states * (own_words + ending_classes)``.
 
 * Word counts of all training documents are summed per task, then over the corpus.
-* Baum-Welch: a bounded sample of documents gives the start values; then every
-  iteration goes over all training documents, each task sums its expected transition,
-  emission and start counts, and these sums are added up. A training sequence is a
-  stretch of at most ``stretch`` tokens; a later stretch of a document starts from the
+* Baum-Welch, incremental: training documents are dealt to ``parts`` by a hash of their
+  text; every iteration goes over all of them, part after part, and the model is
+  maximised after each part. Tasks sum their expected transition, emission and start
+  counts, and these sums are added up. In the last iteration a part's counts replace its
+  earlier ones, so the model is that of one set of counts over all rows; before, counts
+  of earlier parts fade, as they are from a model still far off. A training sequence is
+  a stretch of at most ``stretch`` tokens; a later stretch of a document starts from the
   states' overall shares.
 * A document's score is the exact log-likelihood of its whole token sequence by the
   scaled forward recursion, batched over documents.
@@ -154,7 +157,7 @@ def vocabulary(counts: DataFrame, known_words: int, own_words: int, endings: int
 
 
 SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, n_common long, "
-             "count_log double, inside_log double, groups array<short>, rare array<binary>")
+             "count_log double, inside_log double, groups array<short>, rare array<binary>, part int")
 
 
 def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
@@ -190,10 +193,10 @@ def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(common, pa.int64()),
                  pa.array(count), pa.array(inside), pa.ListArray.from_arrays(pa.array(ends_at), pa.array(flat)),
-                 pa.array(rare, pa.list_(pa.binary()))],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_common", "count_log", "inside_log", "groups", "rare"])
+                 pa.array(rare, pa.list_(pa.binary())), part.column(4)],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_common", "count_log", "inside_log", "groups", "rare", "part"])
 
-    return rows.select("row", "doc_id", "held_out", "text").mapInArrow(each, SEQUENCES)
+    return rows.select("row", "doc_id", "held_out", "text", "part").mapInArrow(each, SEQUENCES)
 
 
 # --- the hidden Markov model -------------------------------------------------------
@@ -311,24 +314,15 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int, most: int):
 
 
 def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
-               sample_docs: int = 1500, sample_iterations: int = 12, stretch: int = 512,
-               batch_tokens: int = 200_000, seed: int = 0) -> Model:
-    """Fit on all rows of ``train`` (columns ``row``, ``groups``)."""
-    model = first_model(states, shares, seed)
-    n = train.count()
-    if not n:
-        return model
-    # bounded in expectation: start values only, the iterations below go over everything
-    some = train.where(F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n)) < sample_docs).orderBy("row")
-    cut, first = stretches([np.array(r.groups, np.int64) for r in some.select("groups").collect()], stretch)
-    for _ in range(sample_iterations if cut else 0):
-        model = maximised(*Packed(cut).expected(model, first, classes), shares)
-
+               parts: int = 8, fade: float = 0.5, stretch: int = 512, batch_tokens: int = 200_000,
+               seed: int = 0) -> Model:
+    """Fit on all rows of ``train`` (columns ``part`` from 0 to ``parts - 1``, ``groups``)."""
     names = [f"s{k}" for k in range(states)]
-    for _ in range(iterations):
+
+    def expected(rows: DataFrame, model: Model) -> np.ndarray:
         now = train.sparkSession.sparkContext.broadcast(model)  # bounded: states * classes numbers
 
-        def counts(batches, now=now):
+        def counts(batches):
             m = now.value
             begin, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
             for _, groups in _grouped(batches, 0, batch_tokens):
@@ -341,17 +335,29 @@ def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int =
                 names=["part", *names])
 
         sums = np.zeros((classes + states + 1, states))
-        for r in (train.select("groups").mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
+        for r in (rows.select("groups").mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
                   .groupBy("part").agg(*[F.sum(n) for n in names]).collect()):  # bounded as the model
             sums[r[0]] = r[1:]
         now.unpersist()
-        model = maximised(sums[-1], sums[classes:-1], sums[:classes], shares)
+        return sums
+
+    model = first_model(states, shares, seed)
+    found = np.zeros((parts, classes + states + 1, states))  # of each part, from its latest visit
+    recent = np.zeros(found.shape[1:])
+    for turn in range(iterations):
+        for p in range(parts):
+            found[p] = expected(train.where(F.col("part") == p), model)
+            if not found[p, -1].any():  # no rows
+                continue
+            recent = fade * recent + found[p]
+            sums = found.sum(0) if turn == iterations - 1 else recent
+            model = maximised(sums[-1], sums[classes:-1], sums[:classes], shares)
     return model
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8,
           iterations: int = 2, known_words: int = 100_000, own_words: int = 8192, endings: int = 512,
-          batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
+          parts: int = 8, batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` (smoothed unigrams), ``score`` (the model)."""
     spark = docs.sparkSession
@@ -361,15 +367,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = vocabulary(counts, known_words, own_words, endings)
     shared = spark.sparkContext.broadcast(words)  # bounded: known_words words of 64 bytes at most
-    rows = src.withColumn("row", F.monotonically_increasing_id())
+    rows = (src.withColumn("row", F.monotonically_increasing_id())
+            .withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
     table = written(sequences(rows, shared, uuid.uuid4().hex, endings), "sequences")
 
     classes = words.own + endings
     share = np.zeros(classes)
     share[:words.own] = 10 ** words.count_log[:words.own]
     share[words.own:] = 10 ** words.ending_log
-    model = baum_welch(table.where(~F.col("held_out")).select("row", "groups"), classes, share / share.sum(),
-                       states, iterations, batch_tokens=batch_tokens, seed=seed)
+    model = baum_welch(table.where(~F.col("held_out")).select("part", "groups"), classes, share / share.sum(),
+                       states, iterations, parts, batch_tokens=batch_tokens, seed=seed)
     fitted = spark.sparkContext.broadcast(model)
 
     def likelihoods(batches):
@@ -386,7 +393,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
                                                  names=[*part.schema.names[:7], "log"])
                 at = until
 
-    scored = table.drop("rare").mapInArrow(
+    scored = table.drop("rare", "part").mapInArrow(
         likelihoods, SEQUENCES.split(", groups")[0] + ", log double")
     rare = (table.select("row", F.explode("rare").alias("word")).join(counts, "word")
             .groupBy("row").agg(F.sum(F.log10(F.col("c") + 0.5)).alias("rare_log"), F.count(F.lit(1)).alias("n_rare")))

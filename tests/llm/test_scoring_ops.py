@@ -191,6 +191,29 @@ def test_model_beats_unigrams_on_held_out(spark):
     assert sum(r.score for r in got) / tokens > sum(r.base_score for r in got) / tokens + 0.1
 
 
+def test_every_iteration_goes_over_all_rows(spark, monkeypatch):
+    """Over 1,500 training rows: the counts of all parts, and no E-step on the driver."""
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 10, rng.integers(2, 12)) + 10 * (k % 3) for k in range(2000)]
+    shares = np.full(30, 1 / 30)
+    model, recent, found = hmm_scoring.first_model(4, shares, 0), None, [None] * 8
+    for turn in range(2):
+        for p in range(8):
+            mine = docs[p::8]
+            found[p] = hmm_scoring.Packed(mine).expected(model, np.ones(len(mine), bool), 30)
+            recent = found[p] if recent is None else [0.5 * x + y for x, y in zip(recent, found[p], strict=True)]
+            model = hmm_scoring.maximised(*(map(sum, zip(*found, strict=True)) if turn else recent), shares)
+
+    def on_driver(*_):
+        raise AssertionError("training on the driver")
+
+    monkeypatch.setattr(hmm_scoring.Packed, "expected", on_driver)
+    train = spark.createDataFrame([(k, k % 8, d.tolist()) for k, d in enumerate(docs)], "row long, part int, groups array<short>")
+    got = hmm_scoring.baum_welch(train, 30, shares, states=4)
+    for x, y in ((got.start, model.start), (got.move, model.move), (got.emit, model.emit)):
+        assert np.allclose(x, y, atol=1e-3)
+
+
 # --- I-Match ------------------------------------------------------------------------
 
 
