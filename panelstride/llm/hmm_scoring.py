@@ -1,9 +1,12 @@
-"""Language-model scores from a hidden Markov model with word-class emissions.
+"""Language-model scores from a hidden Markov model with an emission for every word.
 
-A state emits a word class and the class emits the word. The commonest words are a
-class each; every other word belongs to the class of its last letters, and inside a
-class words have their smoothed corpus frequencies, so the model covers an open
-vocabulary with a table of bounded size: ``states * (own_words + ending_classes)``.
+States and transitions are learned over word classes: the commonest words are a class
+each, every other word belongs to the class of its last letters. Then the states'
+expected counts of every word of the training rows are a table by word, as long as the
+vocabulary. A word's mass is its count + 0.5, shared out to the states by these counts
+plus ``lean`` counts dealt as its class's, so words met seldom lean on their class; an
+unseen word has the mass 0.5 and its class's shares. A state's emissions are its masses
+over their sum.
 
 * Word counts of all training documents are summed per task, then over the corpus.
 * Baum-Welch, incremental: training documents are dealt to ``parts`` by a hash of their
@@ -16,8 +19,8 @@ vocabulary with a table of bounded size: ``states * (own_words + ending_classes)
   states' overall shares.
 * A document's score is the exact log-likelihood of its whole token sequence by the
   scaled forward recursion, batched over documents.
-* The counts of rare words come by a join; the commonest (``known_words``, at most 64
-  bytes each) are broadcast. The rest of the vocabulary may be of any size.
+* The counts and emissions of rare words come by a join; the commonest (``known_words``,
+  at most 64 bytes each) are broadcast. The rest of the vocabulary may be of any size.
 
 Tokens are lower-cased (A-Z) words between ASCII white space, then one end token.
 
@@ -156,45 +159,43 @@ def vocabulary(counts: DataFrame, known_words: int, own_words: int, endings: int
     return Vocabulary(words, group.astype(np.int16), count_log, inside, ending_log, own)
 
 
-SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, n_common long, "
-             "count_log double, inside_log double, groups array<short>, rare array<binary>, part int")
+SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, codes array<int>, groups array<short>, "
+             "rare array<binary>, part int")
 
 
 def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
-    """Each document as classes, with what its common words add to both scores and a
-    list of its rare words. ``shared`` broadcasts the vocabulary; ``key`` names it in a
-    worker's memory."""
+    """Each document as codes and as classes. A code is a common word's, or -1 - its
+    place in the list of the document's distinct rare words. ``shared`` broadcasts the
+    vocabulary; ``key`` names it in a worker's memory."""
     def each(batches):
         v: Vocabulary = shared.value
         if key not in _codes:
             _codes.clear()  # of an earlier corpus
             _codes[key] = v.codes()
         code = _codes[key].get
-        no_end = v.count_log[0] < 0  # count zero: the end token was not seen in training
         for part, texts in _texts(batches, 3):
-            n, common, count, inside, groups, rare = [], [], [], [], [], []
+            n, codes, groups, rare = [], [], [], []
             for t in texts:
                 ws = tokens(t)
                 at = np.array([code(w, -1) for w in ws], np.int64)
                 miss = np.flatnonzero(at < 0)
                 g = v.group[at].astype(np.int64)
-                some = [ws[k] for k in miss]
+                some: dict[bytes, int] = {}
+                places = np.array([some.setdefault(ws[k], len(some)) for k in miss], np.int64)
                 ends = np.array([ending_class(w, endings) for w in some], np.int64)
-                g[miss] = v.own + ends
-                hit = at[at >= 0]
+                g[miss] = v.own + ends[places]
+                at[miss] = -1 - places
                 n.append(len(ws))
-                common.append(len(hit) - int(no_end))
-                count.append(float(v.count_log[hit].sum()))
-                inside.append(float(v.inside_log[hit].sum() - v.ending_log[ends].sum()))
+                codes.append(at.astype(np.int32))
                 groups.append(g.astype(np.int16))
-                rare.append(some)
-            ends_at = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            flat = np.concatenate(groups) if groups else np.zeros(0, np.int16)
+                rare.append(list(some))
+            ends_at = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(common, pa.int64()),
-                 pa.array(count), pa.array(inside), pa.ListArray.from_arrays(pa.array(ends_at), pa.array(flat)),
+                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()),
+                 pa.ListArray.from_arrays(ends_at, pa.array(np.concatenate(codes))),
+                 pa.ListArray.from_arrays(ends_at, pa.array(np.concatenate(groups))),
                  pa.array(rare, pa.list_(pa.binary())), part.column(4)],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_common", "count_log", "inside_log", "groups", "rare", "part"])
+                names=["row", "doc_id", "held_out", "n_tokens", "codes", "groups", "rare", "part"])
 
     return rows.select("row", "doc_id", "held_out", "text", "part").mapInArrow(each, SEQUENCES)
 
@@ -251,9 +252,9 @@ class Packed:
         out[self.order] = np.bincount(self.rank, np.log(scale.astype(np.float64)), len(self.order))
         return out
 
-    def expected(self, model: Model, first: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected start, transition and emission counts. ``first``: the sequences
-        that begin a document."""
+    def posteriors(self, model: Model, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """State posteriors of all tokens, and what transition counts are made of.
+        ``first``: the sequences that begin a document."""
         starts = np.where(first[:, None], model.start, model.share)
         state, scale, seen = self.forward(model, starts)
         later = np.ones_like(state)
@@ -262,7 +263,11 @@ class Packed:
             a, b, n = self.at[t], self.at[t + 1], self.width[t + 1]
             weighed[b:b + n] *= later[b:b + n]
             later[a:a + n] = weighed[b:b + n] @ model.move.T
-        gamma = state * later
+        return state * later, state, weighed
+
+    def expected(self, model: Model, first: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected start, transition and emission counts."""
+        gamma, state, weighed = self.posteriors(model, first)
         behind = np.arange(self.at[1] if len(self.width) else 0, len(state))
         before = behind - np.repeat(self.width[:-1], self.width[1:])
         move = model.move * (state[before].T.astype(np.float64) @ weighed[behind]) if len(behind) else 0 * model.move
@@ -355,9 +360,62 @@ def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int =
     return model
 
 
+def _token_ids(codes: np.ndarray, rare_ids: np.ndarray) -> np.ndarray:
+    """Ids of a document's tokens: codes, and for rare words ``rare_ids``."""
+    ids = codes.astype(np.int64)
+    miss = np.flatnonzero(ids < 0)
+    ids[miss] = rare_ids[-1 - ids[miss]]
+    return ids
+
+
+def word_state_counts(train: DataFrame, shared, model: Model, stretch: int = 512,
+                      batch_tokens: int = 200_000) -> DataFrame:
+    """``word`` (null for common words), ``code`` (null for others), ``n`` and the
+    expected counts ``s0``, ... of the states, over all rows of ``train`` (columns
+    ``codes``, ``groups``, ``rare``). Counts of rare words are sums of multiples of 1/1024."""
+    states = len(model.start)
+    names = [f"s{k}" for k in range(states)]
+    fitted = train.sparkSession.sparkContext.broadcast(model)  # bounded: states * classes numbers
+
+    def each(batches):
+        m, known = fitted.value, len(shared.value.words)
+
+        def out(words, codes, n, sums):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(codes, pa.int32()), pa.array(n, pa.int64()),
+                 *[pa.array(sums[:, k]) for k in range(states)]], names=["word", "code", "n", *names])
+
+        total, met = np.zeros((known, states)), np.zeros(known, np.int64)
+        for rows, codes in _grouped(batches, 0, batch_tokens):
+            index: dict[bytes, int] = {}
+            ids = [_token_ids(c, np.array([index.setdefault(w, known + len(index)) for w in b.column(2)[k].as_py()], np.int64))
+                   for (b, k), c in zip(rows, codes, strict=True)]
+            cut, first = stretches([b.column(1)[k].values.to_numpy(zero_copy_only=False) for b, k in rows], stretch)
+            gamma = Packed(cut).posteriors(m, first)[0]
+            at = Packed(stretches(ids, stretch)[0]).tokens  # of the same lengths, so in the same order
+            size = known + len(index)
+            sums = np.stack([np.bincount(at, gamma[:, k], size) for k in range(states)], 1)
+            n = np.bincount(at, minlength=size)
+            total += sums[:known]
+            met += n[:known]
+            if index:
+                yield out(list(index), [None] * len(index), n[known:], np.round(sums[known:] * 1024) / 1024)
+        some = np.flatnonzero(met)
+        yield out([None] * len(some), some, met[some], total[some])
+
+    return (train.select("codes", "groups", "rare")
+            .mapInArrow(each, ", ".join(["word binary, code int, n long", *[f"{n} double" for n in names]]))
+            .groupBy("word", "code").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names]))
+
+
+def masses(n: np.ndarray, sums: np.ndarray, shares: np.ndarray, lean: float) -> np.ndarray:
+    """Words' masses in each state, from their counts and their classes' shares of states."""
+    return (n + 0.5)[:, None] * (sums + lean * shares) / (sums.sum(1, keepdims=True) + lean)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8,
           iterations: int = 2, known_words: int = 100_000, own_words: int = 8192, endings: int = 512,
-          parts: int = 8, batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
+          parts: int = 8, lean: float = 2.0, batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` (smoothed unigrams), ``score`` (the model)."""
     spark = docs.sparkSession
@@ -371,38 +429,81 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
             .withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
     table = written(sequences(rows, shared, uuid.uuid4().hex, endings), "sequences")
 
-    classes = words.own + endings
-    share = np.zeros(classes)
-    share[:words.own] = 10 ** words.count_log[:words.own]
-    share[words.own:] = 10 ** words.ending_log
-    model = baum_welch(table.where(~F.col("held_out")).select("part", "groups"), classes, share / share.sum(),
+    own = words.own
+    share = np.zeros(own + endings)
+    share[:own] = 10 ** words.count_log[:own]
+    share[own:] = 10 ** words.ending_log
+    train = table.where(~F.col("held_out"))
+    model = baum_welch(train.select("part", "groups"), own + endings, share / share.sum(),
                        states, iterations, parts, batch_tokens=batch_tokens, seed=seed)
-    fitted = spark.sparkContext.broadcast(model)
+
+    names = [f"s{k}" for k in range(states)]
+    by_word = written(word_state_counts(train, shared, model, batch_tokens=batch_tokens), "word_states")
+    of_class = model.emit.astype(np.float64) * model.share
+    of_class /= of_class.sum(1, keepdims=True)
+    found = by_word.where("code IS NOT NULL").drop("word").toPandas()  # bounded: the known words
+    met, sums = np.zeros(len(words.words)), np.zeros((len(words.words), states))
+    met[found["code"]], sums[found["code"]] = found["n"], found[names]
+    common = masses(met, sums, of_class[words.group], lean)
+
+    def of_rare(batches):
+        for b in batches:
+            if b.num_rows:
+                ends = np.array([ending_class(w, endings) for w in b.column(0).to_pylist()], np.int64)
+                mass = masses(b.column(1).to_numpy(), np.stack([b.column(2 + k).to_numpy() for k in range(states)], 1),
+                              of_class[own + ends], lean)
+                at = np.arange(0, mass.size + 1, states, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(
+                    pa.array(at), pa.array(mass.astype(np.float32).ravel()))], names=["word", "n", "mass"])
+
+    rare = written(by_word.where("code IS NULL").select("word", "n", *names)
+                   .mapInArrow(of_rare, "word binary, n long, mass array<float>"), "masses")
+    # every word of the training rows and, for each ending class, a word not seen
+    whole = np.array(rare.agg(*[F.coalesce(F.sum(F.col("mass")[k]), F.lit(0.0)) for k in range(states)]).first())
+    whole += common.sum(0) + 0.5 * of_class[own:].sum(0)
+    common_emit = (common / whole).astype(np.float32)
+    fitted = spark.sparkContext.broadcast((model, common_emit, 0.5 * of_class[own:], met, whole))  # bounded: known_words
 
     def likelihoods(batches):
-        for rows, groups in _grouped(batches, 7, batch_tokens):
-            logs = Packed(groups).log_likelihoods(fitted.value) * LOG10
-            done, at = 0, 0
-            while at < len(rows):  # rows of one batch at a time
-                batch, k = rows[at]
-                until = at
+        m, emit, unseen, common_n, total = fitted.value
+        for rows, codes in _grouped(batches, 3, batch_tokens):
+            ids, more, more_n, size = [], [], [], len(emit)
+            for (b, k), c in zip(rows, codes, strict=True):
+                some = b.column(4)[k].as_py()
+                mass = unseen[np.array([ending_class(w, endings) for w in some], np.int64)]
+                seen = np.zeros(len(some))
+                hits = b.column(5)[k].values
+                if hits is not None and len(hits):
+                    at, hit_n, hit_mass = hits.flatten()
+                    mass[at.to_numpy()] = hit_mass.flatten().to_numpy().reshape(-1, states)
+                    seen[at.to_numpy()] = hit_n.to_numpy()
+                ids.append(_token_ids(c, size + np.arange(len(some))))
+                more.append(mass)
+                more_n.append(seen)
+                size += len(some)
+            every = np.concatenate((emit, (np.concatenate(more) / total).astype(np.float32)))
+            every_n = np.concatenate((common_n, *more_n))
+            logs = Packed(ids).log_likelihoods(Model(m.start, m.move, every, m.share)) * LOG10
+            count_log, known = np.log10(every_n + 0.5), every_n > 0
+            base, n_known = np.array([count_log[i].sum() for i in ids]), np.array([known[i].sum() for i in ids])
+            done = 0
+            while done < len(rows):  # rows of one batch at a time
+                batch, k = rows[done]
+                until = done
                 while until < len(rows) and rows[until][0] is batch:
                     until += 1
-                part = batch.slice(k, until - at)
-                yield pa.RecordBatch.from_arrays([*part.columns[:7], pa.array(logs[at:until])],
-                                                 names=[*part.schema.names[:7], "log"])
-                at = until
-
-    scored = table.drop("rare", "part").mapInArrow(
-        likelihoods, SEQUENCES.split(", groups")[0] + ", log double")
-    rare = (table.select("row", F.explode("rare").alias("word")).join(counts, "word")
-            .groupBy("row").agg(F.sum(F.log10(F.col("c") + 0.5)).alias("rare_log"), F.count(F.lit(1)).alias("n_rare")))
-    none = F.col("n_tokens") - F.col("n_common") - F.coalesce("n_rare", F.lit(0))
-    # an end token that training has not seen is coded, so its log is already in count_log
-    unseen = none - F.lit(0 if words.count_log[0] >= 0 else 1)
-    rest = F.coalesce("rare_log", F.lit(0.0)) + unseen * F.lit(float(np.log10(0.5)))
-    return scored.join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(int(n)).cast("long").alias("train_tokens"),
-        (F.col("count_log") + rest - F.col("n_tokens") * F.lit(float(np.log10(n + 0.5 * (v + 1))))).alias("base_score"),
-        (F.col("log") + F.col("inside_log") + rest).alias("score"))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(k, until - done).columns[:3], pa.array(n_known[done:until], pa.int64()),
+                     pa.array(base[done:until]), pa.array(logs[done:until])],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "count_log", "log"])
+                done = until
+
+    hits = (table.select("row", F.posexplode("rare").alias("at", "word")).join(rare, "word")
+            .groupBy("row").agg(F.collect_list(F.struct("at", "n", "mass")).alias("hits")))  # a document's words
+    scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare", "hits")
+              .mapInArrow(likelihoods, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                                       "count_log double, log double"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"),
+        (F.col("count_log") - F.col("n_tokens") * F.lit(float(np.log10(n + 0.5 * (v + 1))))).alias("base_score"),
+        F.col("log").alias("score"))

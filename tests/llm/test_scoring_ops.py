@@ -214,6 +214,23 @@ def test_every_iteration_goes_over_all_rows(spark, monkeypatch):
         assert np.allclose(x, y, atol=1e-3)
 
 
+def test_rare_words_have_their_own_emissions(spark):
+    """Words of one ending class and one count, met in one kind of document each."""
+    rnd = random.Random(6)
+    kinds = [[f"{c}{i}" for i in range(12)] for c in "ab"]
+    rare = [[f"{c}{i}rare" for i in range(60)] for c in "xy"]
+    rows = [(5 * i, " ".join(rnd.sample(rnd.choices(kinds[i % 2], k=30) + rnd.choices(rare[i % 2], k=6), 36)))
+            for i in range(1200)]
+    kept = {w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.split()}
+    assert kept >= {*rare[0], *rare[1]}
+    tail = [i for i in range(10_000, 10_400) if zlib.crc32(str(i).encode()) % 5 == 1][:40]
+    asked = [(i, " ".join([*kinds[k % 2][:10], *rare[(k % 2) ^ (k % 4 > 1)][:10]])) for k, i in enumerate(tail)]
+    got = {r.doc_id: r.score - r.base_score for r in hmm_scoring.score(
+        frame(spark, rows + asked), known_words=30, own_words=25, endings=4, states=2).collect()}
+    match, other = ([got[i] for k, i in enumerate(tail) if (k % 4 > 1) == x] for x in (False, True))
+    assert min(match) > max(other) + 3
+
+
 # --- I-Match ------------------------------------------------------------------------
 
 
