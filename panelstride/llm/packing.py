@@ -170,9 +170,9 @@ def configurations(sizes: list[int], demand: list[int], capacity: int,
     few sequences as a fractional solution needs: revised simplex whose columns are
     found by a knapsack over the capacity."""
     m = len(sizes)
-    basis = np.diag([float(capacity // s) for s in sizes])
-    columns = [tuple(int(x) for x in basis[:, j]) for j in range(m)]
-    inverse, need = np.linalg.inv(basis), np.array(demand, float)
+    most = [capacity // s for s in sizes]
+    columns = [tuple(most[j] if i == j else 0 for i in range(m)) for j in range(m)]
+    inverse, need = np.diag([1.0 / n for n in most]), np.array(demand, float)  # of a diagonal basis
     for _ in range(max_columns):
         price = inverse.sum(0)  # each sequence costs one
         worth, taken = np.zeros(capacity + 1), []
