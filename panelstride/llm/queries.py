@@ -10,6 +10,7 @@ from panelstride.llm import (
     exact_dedup,
     hmm_scoring,
     imatch,
+    merkle,
     mixing,
     packing,
     quality,
@@ -183,3 +184,65 @@ FROM run WHERE done <= budget * (1 + 1e-9)
 def op10_source_mixing(spark, sf_dir):
     drawn = mixing.mix(table(spark, sf_dir, "documents"), max_epochs=1.5, block_tokens=1_000_000)
     return drawn.withColumn("weight", F.round("weight", 9))
+
+
+@query("op13_merkle_manifest", sql=r"""
+WITH RECURSIVE
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source,
+         concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+         text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                 lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 5 = 0 AS hit
+  FROM documents),
+leaves AS (
+  SELECT rid, doc_id, source, hit, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS other FROM d),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+lv AS (
+  SELECT source, 0 AS lvl, pos, n, leaf AS h FROM ranked
+  UNION ALL
+  SELECT source, lvl + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM lv WHERE n > 1 GROUP BY source, lvl, pos // 16),
+src AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM lv WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos, n, subroot AS h FROM src
+  UNION ALL
+  SELECT lvl + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM top WHERE n > 1 GROUP BY lvl, pos // 16),
+root AS (SELECT h AS root FROM top WHERE n = 1),
+sib AS (
+  SELECT a.source, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM lv a JOIN lv b ON a.source IS NOT DISTINCT FROM b.source AND a.lvl = b.lvl AND a.pos // 16 = b.pos // 16
+  WHERE a.n > 1 GROUP BY a.source, a.lvl, a.pos),
+topsib AS (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM top a JOIN top b ON a.lvl = b.lvl AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.lvl, a.pos),
+steps AS (
+  SELECT rid, s.lvl AS step, l, r FROM ranked
+  JOIN sib s ON s.source IS NOT DISTINCT FROM ranked.source AND s.pos = ranked.pos // CAST(pow(16, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT rid, 1000 + t.lvl, l, r FROM ranked JOIN src ON src.source IS NOT DISTINCT FROM ranked.source
+  JOIN topsib t ON t.pos = src.pos // CAST(pow(16, t.lvl) AS BIGINT)),
+way AS (SELECT rid, l, r, row_number() OVER (PARTITION BY rid ORDER BY step) AS k FROM steps),
+proof AS (SELECT rid, sha256(string_agg(l || r, '' ORDER BY k)) AS proof_sha256, count(*) AS k FROM way GROUP BY rid),
+fold AS (
+  SELECT rid, 0 AS k, CASE WHEN hit THEN other ELSE leaf END AS h FROM leaves
+  UNION ALL
+  SELECT fold.rid, fold.k + 1, sha256(way.l || fold.h || way.r) FROM fold JOIN way ON way.rid = fold.rid AND way.k = fold.k + 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, fold.h AS folded_root,
+       fold.h = root AS verified, leaves.source
+FROM leaves JOIN src ON src.source IS NOT DISTINCT FROM leaves.source CROSS JOIN root
+LEFT JOIN proof USING (rid) JOIN fold ON fold.rid = leaves.rid AND fold.k = coalesce(proof.k, 0)
+""")
+def op13_merkle_manifest(spark, sf_dir):
+    """Every row's leaf, proof and folded root; rows whose id's CRC-32 5 divides are
+    tampered with."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
