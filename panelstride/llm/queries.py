@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from panelstride.llm import (
+    decontamination,
     edit_counts,
     exact_dedup,
     hmm_scoring,
@@ -17,6 +18,7 @@ from panelstride.llm import (
     ring_sharding,
     simhash_dedup,
     substring_dedup,
+    token_alignment,
 )
 from panelstride.llm.catalog import query, table
 
@@ -186,6 +188,45 @@ def op10_source_mixing(spark, sf_dir):
     return drawn.withColumn("weight", F.round("weight", 9))
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_benchmark_decontamination", sql=r"""
+WITH item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+asked AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS win
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS p FROM item WHERE len(w) > 0)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+sizes AS (SELECT DISTINCT n FROM asked),
+here AS (
+  SELECT rid, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT rid, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d JOIN sizes ON len(w) >= n)),
+found AS (SELECT rid, p, n, item_id FROM here JOIN asked USING (n, win)),
+hit AS (
+  SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT rid, unnest(generate_series(p, p + n - 1)) AS q FROM found) GROUP BY rid),
+named AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+""")
+def op12_benchmark_decontamination(spark, sf_dir):
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.drop("items")
+
+
 @query("op13_merkle_manifest", sql=r"""
 WITH RECURSIVE
 d AS (
