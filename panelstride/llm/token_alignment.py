@@ -32,10 +32,12 @@ of the input are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import struct
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 from operator import itemgetter
 
 import numpy as np
@@ -52,8 +54,11 @@ SPILL_LINKS = 2_000_000
 DOC_BITS = 23
 RADIX = 8
 FAN_IN = 16
-#: Words that one worker process remembers, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 40
+#: Words that one worker process remembers of late, twice, and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 120_000, 40
+
+# Fixed value: how byte-level BPE cuts a text before it merges.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
@@ -96,7 +101,16 @@ class Aligner:
         self.by_words = (first.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in first
                          and self.a.normalizer is None
                          and not any("▁" in p.lstrip("▁") for p in pieces))
-        self.known: dict[str, tuple | None] = {}
+        self.a_text, self.b_text = ([str(i) for i in range(n)] for n in (max(self.a_bytes, default=-1) + 1, len(pieces)))
+        self.a_length = np.zeros(len(self.a_text), np.int64)
+        self.a_length[list(self.a_bytes)] = list(map(len, self.a_bytes.values()))
+        self.b_length = np.array(list(map(len, self.b_bytes)), np.int64)
+        # a token's text with what may stand behind it in the list of groups
+        self.texts = np.array([t + end for texts, ends in ((self.a_text, ",|"), (self.b_text, ",;\n")) for end in ends for t in texts],
+                              object)
+        self.fast = self._ranked(a_path) if self.by_words else None
+        self.known: dict[str, tuple] = {}
+        self.earlier: dict[str, tuple] = {}
 
     def segments(self, text: str) -> list[str]:
         """The text cut before spaces that follow anything but white space; each segment
@@ -120,55 +134,113 @@ class Aligner:
             out.append(" ".join(glued))
         return out
 
-    def align(self, segment: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
+    def _ranked(self, a_path: str):
+        """A as ranks, which encodes long texts faster; if its ids follow its merges."""
+        with open(a_path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"]["".join(p)] for p in pairs]
+        if ids != list(range(256, 256 + len(ids))) or not all(len(self.a_bytes[i]) == 1 for i in range(256)):
+            return None
+        import tiktoken
+
+        ranks = {self.a_bytes[i]: i for i in range(256 + len(ids))}
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(ids) else None
+
+    def align_many(self, segments: list[str]) -> list[tuple | None]:
+        """:meth:`align` of distinct segments: those that end in no white space as one text
+        of A, each by itself for B, and all groups found at once."""
+        plain = [s for s in segments if s and not s[-1].isspace()] if self.fast else []
+        found = dict(zip(plain, self._align_joined(plain) or [], strict=False)) if plain else {}
+        rest = [s for s in segments if s not in found]
+        if rest:
+            a = self.a.encode_batch_fast([" " + s for s in rest], add_special_tokens=False)
+            found.update(zip(rest, map(self.align, rest, [x.ids for x in a], self.b.encode(rest, num_threads=1)), strict=True))
+        return [found[s] for s in segments]
+
+    def _align_joined(self, words: list[str]) -> list[tuple] | None:
+        """None if the tokens don't spell the words."""
+        text = " " + " ".join(words)
+        a = self.fast.encode_ordinary(text)
+        b = list(chain.from_iterable(self.b.encode(words, num_threads=1)))
+        want = text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        end_a, end_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        words_end = np.cumsum([1 + len(w.encode()) for w in words])
+        last = np.searchsorted(cuts, words_end)  # each word's last group
+        if last[-1] >= len(cuts) or (cuts[last] != words_end).any():
+            return None
+        at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
+        links = (b[at_b] << self.shift | a[at_a]).tobytes()
+
+        size_a, size_b = len(self.a_text), len(self.b_text)
+        text_a, text_b = a.copy(), b + 2 * size_a
+        text_a[at_a] += size_a  # behind a group's last token of A
+        text_b[at_b] += size_b
+        text_b[at_b[last]] += size_b
+        order = np.argsort(np.concatenate((np.searchsorted(cuts, end_a) * 2, np.searchsorted(cuts, end_b) * 2 + 1)), kind="stable")
+        groups = "".join(self.texts[np.concatenate((text_a, text_b))[order]].tolist()).split("\n")
+        n_a, n_b, n = (np.diff(x[last] + 1, prepend=0).tolist() for x in (at_a, at_b, np.arange(len(cuts))))
+        ends = (8 * (last + 1)).tolist()
+        return [(x, y, t, k, links[e - 8 * k:e]) for x, y, t, k, e in zip(n_a, n_b, groups, n, ends, strict=False)]
+
+    def align(self, segment: str, a: list[int], b: list[int]) -> tuple | None:
         """Tokens of A and of B, groups as text, number of groups, links; None if the
         tokens don't spell the segment."""
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        want = b" " + segment.encode()
-        if b"".join(a_parts) != want or b"".join(b_parts) != want:
+        a_bytes, b_bytes, want = self.a_bytes, self.b_bytes, b" " + segment.encode()
+        if b"".join([a_bytes[i] for i in a]) != want or b"".join([b_bytes[i] for i in b]) != want:
             return None
-        groups, links, done_b, at_b = [], [], 0, 0
-        first_a = at_a = 0
-        for k, part in enumerate(a_parts):
-            at_a += len(part)
-            first_b = done_b
-            while done_b < len(b_ids) and at_b + len(b_parts[done_b]) <= at_a:
-                at_b += len(b_parts[done_b])
-                done_b += 1
-            if at_b == at_a and done_b > first_b:
-                groups.append((first_a, k + 1, done_b))
-                first_a = k + 1
-                links.append(b_ids[done_b - 1] << self.shift | a_ids[k])
-        texts, last_b = [], 0
-        for x, y, z in groups:
-            texts.append(",".join(map(str, a_ids[x:y])) + "|" + ",".join(map(str, b_ids[last_b:z])))
-            last_b = z
-        return len(a_ids), len(b_ids), ";".join(texts), len(texts), np.array(links, np.int64).tobytes()
+        a_text, b_text, n, m = self.a_text, self.b_text, len(a), len(b)
+        if n == 1 or m == 1:
+            text = ",".join([a_text[i] for i in a]) + "|" + ",".join([b_text[i] for i in b])
+            return n, m, text, 1, struct.pack("<q", b[-1] << self.shift | a[-1])
+        a_length, b_length = self.a_length, self.b_length
+        groups, links, i, j, first_a, first_b = [], [], 0, 0, 0, 0
+        end_a, end_b = a_length[a[0]], b_length[b[0]]
+        while True:
+            if end_a < end_b:
+                i += 1
+                end_a += a_length[a[i]]
+            elif end_b < end_a:
+                j += 1
+                end_b += b_length[b[j]]
+            else:
+                i, j = i + 1, j + 1
+                groups.append(",".join([a_text[x] for x in a[first_a:i]]) + "|" + ",".join([b_text[x] for x in b[first_b:j]]))
+                links.append(b[j - 1] << self.shift | a[i - 1])
+                if i == n:
+                    break
+                first_a, first_b = i, j
+                end_a += a_length[a[i]]
+                end_b += b_length[b[j]]
+        return n, m, ";".join(groups), len(groups), struct.pack(f"<{len(links)}q", *links)
 
     def look_up(self, texts: list[list[str]]) -> list[list[tuple | None]]:
-        """Each text's segments, aligned."""
-        known = self.known
+        """Each text's segments, aligned. Words met of late are remembered: when the memory
+        is full it becomes the earlier one, from which what is met again returns."""
+        known, earlier = self.known, self.earlier
         found = [list(map(known.get, segments)) for segments in texts]
-        fresh = sorted({s for segments, f in zip(texts, found, strict=True) if None in f
-                        for s, x in zip(segments, f, strict=True) if x is None})
-        made = dict(self.known_none(fresh))
-        for segments, f in zip(texts, found, strict=True):
-            if None in f:
-                for k, x in enumerate(f):
-                    if x is None:
-                        f[k] = made[segments[k]]
-        short = ((s, x) for s, x in made.items() if x is not None and len(s) <= REMEMBERED_CHARS)
-        known.update(islice(short, max(0, REMEMBERED - len(known))))
+        gaps = [(f, segments, [k for k, x in enumerate(f) if x is None])
+                for f, segments in zip(found, texts, strict=True) if None in f]
+        missing = {segments[k] for _, segments, at in gaps for k in at}
+        made = {s: earlier[s] for s in missing if s in earlier}
+        fresh = sorted(missing - made.keys())
+        for at in range(0, len(fresh), 4096):
+            part = fresh[at:at + 4096]
+            made.update(zip(part, self.align_many(part), strict=True))
+        for f, segments, at in gaps:
+            for k in at:
+                f[k] = made[segments[k]]
+        if len(known) + len(made) > REMEMBERED:
+            self.earlier, self.known = known, {}
+            known = self.known
+        room = max(0, REMEMBERED - len(known))
+        known.update(islice(((s, x) for s, x in made.items() if x is not None and len(s) <= REMEMBERED_CHARS), room))
         return found
 
-    def known_none(self, segments: list[str]) -> Iterator[tuple[str, tuple | None]]:
-        for at in range(0, len(segments), 1024):
-            part = segments[at:at + 1024]
-            a = self.a.encode_batch([" " + s for s in part], add_special_tokens=False)
-            b = self.b.encode(part, num_threads=1)
-            for s, x, y in zip(part, a, b, strict=True):
-                yield s, self.align(s, x.ids, y)
-
 
 def aligner(a_path: str, b_path: str) -> Aligner:
     if (a_path, b_path) not in _aligners:
