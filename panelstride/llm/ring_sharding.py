@@ -3,14 +3,16 @@
 Every shard stands at many points of a ring. A row's key hashes to a point and the
 row belongs to the next shard point clockwise; where that shard is full the row goes
 on to the next one that is not. A shard takes rows of its own arcs before those that
-overflow from others, and an arc's rows in the order of a hash, so where a row ends
-depends on counts alone: how many rows each arc has. These counts (one for each ring
-point, whatever the input) go to the driver, which lets the overflow run round the
+overflow from others, and an arc's rows in the order of their keys' hashes, so where a
+row ends depends on counts alone: how many rows each arc has. These counts (one for each
+ring point, whatever the input) go to the driver, which lets the overflow run round the
 ring and returns, for each arc, which ranks go to which shard and slot. Spark ranks
 the rows inside their arc and looks the ranks up.
 
-The key is the text: copies land on one point and stay together until their shard is
-full. With ``slack = 0`` capacities sum up to the rows exactly, so every shard is
+The key is the text: copies land on one point, have consecutive ranks, and stay together
+but where a shard is full. A row's rank is its key's offset in the arc, from running
+counts over distinct keys in a fixed number of ranges of the hash, plus its rank among
+its copies, so other rows never change the order of an arc, however many there are. With ``slack = 0`` capacities sum up to the rows exactly, so every shard is
 filled and counts differ by one at most (law ``rows``); with more slack fewer rows
 overflow and fewer move when a shard is added.
 
@@ -27,10 +29,10 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelstride.llm.common import rank_in_class, text_of, written
+from panelstride.llm.common import text_of, written
 
 
 def ring(shards: int, points: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +77,46 @@ def flows(counts: list[int], owner: list[int], room: list[int]) -> list[tuple[in
     return out
 
 
+def key_ranks(rows: DataFrame, starts: np.ndarray, ranges: int = 256, copies: int = 256) -> DataFrame:
+    """Add ``rank``, 0-based and gapless inside each ``arc``: by key (``_key``, a signed
+    hash), copies by ``doc_id``'s hash. ``rows`` is a written table.
+
+    Keys are counted, and running counts over distinct keys are taken in ``ranges`` equal
+    parts of each arc and over the parts' totals. A key with many rows is cut by the hash
+    of the id into blocks of about ``copies`` rows, so no task ranks all of them.
+    """
+    ends = starts.astype(np.uint64)  # numbers on the ring, modulo 2 ** 64
+    begins = np.roll(ends, 1) + np.uint64(1)  # an arc begins behind the point before it
+    span = (ends - begins) // np.uint64(ranges) + np.uint64(1)
+
+    @F.pandas_udf("int")
+    def range_of(arc: pd.Series, key: pd.Series) -> pd.Series:
+        a = arc.to_numpy(np.int64)
+        return pd.Series(((key.to_numpy(np.int64).astype(np.uint64) - begins[a]) // span[a]).astype(np.int32))
+
+    keys = written(rows.groupBy("arc", "_key").agg(F.count(F.lit(1)).alias("_n")), "keys")
+    keys = written(keys.withColumn("_range", range_of("arc", "_key")), "key_ranges")
+    inside = Window.partitionBy("arc", "_range").orderBy("_key")
+    before = Window.partitionBy("arc").orderBy("_range")
+    parts = keys.groupBy("arc", "_range").agg(F.sum("_n").alias("_m")).withColumn(
+        "_past", F.sum("_m").over(before) - F.col("_m")).drop("_m")
+    first = (keys.withColumn("_at", F.sum("_n").over(inside) - F.col("_n")).join(parts, ["arc", "_range"])
+             .select("arc", "_key", "_n", (F.col("_past") + F.col("_at")).alias("_first")))
+    first = written(first, "key_offsets")
+
+    order = Window.partitionBy("_key", "_block").orderBy(F.xxhash64("doc_id"), "doc_id")
+    cut = rows.join(first, ["arc", "_key"]).withColumn(
+        "_block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("_n") / copies)))
+    several = cut.where("_n > 1")
+    blocks = (several.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_m"))
+              .withColumn("_past", F.sum("_m").over(Window.partitionBy("_key").orderBy("_block")) - F.col("_m")).drop("_m"))
+    placed = (several.withColumn("_row", F.row_number().over(order) - 1).join(blocks, ["_key", "_block"])
+              .withColumn("rank", F.col("_first") + F.col("_past") + F.col("_row")))
+    alone = cut.where("_n = 1").withColumn("rank", F.col("_first"))
+    names = [*rows.columns, "rank"]
+    return alone.select(names).unionByName(placed.select(names))
+
+
 def shard(docs: DataFrame, shards: int = 24, points: int = 64, slack: float = 0.0, seed: int = 0,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``size`` (bytes of the text plus 8),
@@ -112,7 +154,7 @@ def shard(docs: DataFrame, shards: int = 24, points: int = 64, slack: float = 0.
     def home(arc: pd.Series) -> pd.Series:
         return pd.Series(owner[arc.to_numpy(np.int64)])
 
-    ranked = rank_in_class(rows, "arc", ["_key", "doc_id", "text_crc32"])
+    ranked = key_ranks(rows, places)
     return (ranked.withColumn("_at", place("arc", "rank")).withColumn("home_shard", home("arc"))
             .select("doc_id", "size", "text_crc32", "arc", "home_shard",
                     F.col("_at.shard").alias("shard"), F.col("_at.slot").alias("slot")))

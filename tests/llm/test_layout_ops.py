@@ -2,12 +2,14 @@
 
 import math
 import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -96,6 +98,61 @@ def test_slack_limits_movement(spark):
     assert ring_sharding.shard(docs.where("false")).count() == 0
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def brute_shards(rows, shards, points, ranges=256, copies=256):
+    """Every row's place, row by row: (id, text) -> multiset of (shard, slot)."""
+    places, owner = ring_sharding.ring(shards, points)
+    ends = [int(p) % (1 << 64) for p in places]
+    keyed = []
+    for i, t in rows:
+        key = signed(xxhash.xxh64_intdigest((t or "").encode(), 42))
+        arc = sum(int(p) < key for p in places) % len(places)
+        keyed.append((arc, key, i, t or ""))
+    n = Counter(k for _, k, _, _ in keyed)
+
+    def order(row):
+        arc, key, i, _ = row
+        begin = (ends[arc - 1] + 1) % (1 << 64)
+        span = (ends[arc] - begin) % (1 << 64) // ranges + 1
+        h = signed(xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+        return (key - begin) % (1 << 64) // span, key, h % math.ceil(n[key] / copies), h, i
+
+    arcs = defaultdict(list)
+    for r in keyed:
+        arcs[r[0]].append(r)
+    counts = [len(arcs[a]) for a in range(len(places))]
+    where = brute_ring(counts, owner.tolist(), ring_sharding.capacities(len(rows), shards))
+    return {a: [(r[2], r[3], where[a, k]) for k, r in enumerate(sorted(arcs[a], key=order))] for a in arcs if arcs[a]}
+
+
+@pytest.mark.parametrize(("shards", "points"), [(7, 16), (3, 1)])
+def test_every_row_is_where_the_ring_says(spark, shards, points):
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i // 5}" if i % 2 else f"text {i}") for i in range(6000)]
+    got = ring_sharding.shard(frame(spark, rows), shards=shards, points=points).collect()
+    want = brute_shards(rows, shards, points)
+    assert max(map(len, want.values())) >= 2000
+    assert Counter((r.doc_id, r.shard) for r in got) == Counter((i, s) for found in want.values() for i, _, s in found)
+    # copies have consecutive ranks, so all of a text but what overflows is in one shard
+    for found in want.values():
+        texts = [t for _, t, _ in found]
+        assert sum(a != b for a, b in zip(texts, texts[1:], strict=False)) + 1 == len(set(texts))
+    shards_of = defaultdict(set)
+    for r in got:
+        shards_of[r.text_crc32].add(r.shard)
+    assert sum(len(s) > 1 for s in shards_of.values()) <= 2 * shards
+
+
+def test_movement_without_slack(spark):
+    docs = frame(spark, [(i, f"text number {i}") for i in range(20_000)])
+    a, b = ({r.doc_id: r.shard for r in ring_sharding.shard(docs, n).collect()} for n in (24, 25))
+    moved = sum(a[i] != b[i] for i in a) / len(a)
+    print(f"moved without slack, 24 to 25 shards: {moved:.3f}")
+    assert moved < 0.5
+
+
 # --- edit-aware counts --------------------------------------------------------------
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
