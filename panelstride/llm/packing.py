@@ -193,7 +193,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int,
             if better[room]:
                 column[j] += 1
                 room -= sizes[j]
-        used, step = inverse @ need, inverse @ column
+        used, step = (inverse * need).sum(1), (inverse * column).sum(1)  # BLAS threads don't go with a JVM
         ratio = np.where(step > 1e-9, np.maximum(used, 0) / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
@@ -202,7 +202,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int,
         pivot = inverse[out] / step[out]
         inverse = inverse - np.outer(step, pivot)
         inverse[out] = pivot
-    return list(zip(columns, (inverse @ need).tolist(), strict=True))
+    return list(zip(columns, (inverse * need).sum(1).tolist(), strict=True))
 
 
 class Plan:
