@@ -159,14 +159,37 @@ def vocabulary(counts: DataFrame, known_words: int, own_words: int, endings: int
     return Vocabulary(words, group.astype(np.int16), count_log, inside, ending_log, own)
 
 
-SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, codes array<int>, groups array<short>, "
-             "rare array<binary>, part int")
+SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, codes binary, rare binary, "
+             "rare_groups binary, part int")
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Four-byte numbers with their byte planes apart, so that the column packs well."""
+    return np.ascontiguousarray(codes, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def rare_words(rare: bytes) -> list[bytes]:
+    """A document's distinct rare words: no word holds a space."""
+    return rare.split(b" ") if rare else []
+
+
+def classes_of(codes: np.ndarray, rare_groups: bytes, group: np.ndarray) -> np.ndarray:
+    """Each token's class: a common word's own, a rare word's by its place in the list."""
+    out = group[codes]
+    miss = np.flatnonzero(codes < 0)
+    if len(miss):
+        out[miss] = np.frombuffer(rare_groups, "<i2")[-1 - codes[miss]]
+    return out
 
 
 def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
-    """Each document as codes and as classes. A code is a common word's, or -1 - its
-    place in the list of the document's distinct rare words. ``shared`` broadcasts the
-    vocabulary; ``key`` names it in a worker's memory."""
+    """Each document as codes. A code is a common word's, or -1 - its place in the list of
+    the document's distinct rare words, whose classes are listed beside them. ``shared``
+    broadcasts the vocabulary; ``key`` names it in a worker's memory."""
     def each(batches):
         v: Vocabulary = shared.value
         if key not in _codes:
@@ -174,28 +197,21 @@ def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
             _codes[key] = v.codes()
         code = _codes[key].get
         for part, texts in _texts(batches, 3):
-            n, codes, groups, rare = [], [], [], []
+            n, codes, rare, groups = [], [], [], []
             for t in texts:
                 ws = tokens(t)
-                at = np.array([code(w, -1) for w in ws], np.int64)
-                miss = np.flatnonzero(at < 0)
-                g = v.group[at].astype(np.int64)
+                at = np.array([code(w, -1) for w in ws], np.int32)
                 some: dict[bytes, int] = {}
-                places = np.array([some.setdefault(ws[k], len(some)) for k in miss], np.int64)
-                ends = np.array([ending_class(w, endings) for w in some], np.int64)
-                g[miss] = v.own + ends[places]
-                at[miss] = -1 - places
+                miss = np.flatnonzero(at < 0)
+                at[miss] = [-1 - some.setdefault(ws[k], len(some)) for k in miss.tolist()]
                 n.append(len(ws))
-                codes.append(at.astype(np.int32))
-                groups.append(g.astype(np.int16))
-                rare.append(list(some))
-            ends_at = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
+                codes.append(packed(at))
+                rare.append(b" ".join(some))
+                groups.append(np.array([v.own + ending_class(w, endings) for w in some], "<i2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()),
-                 pa.ListArray.from_arrays(ends_at, pa.array(np.concatenate(codes))),
-                 pa.ListArray.from_arrays(ends_at, pa.array(np.concatenate(groups))),
-                 pa.array(rare, pa.list_(pa.binary())), part.column(4)],
-                names=["row", "doc_id", "held_out", "n_tokens", "codes", "groups", "rare", "part"])
+                [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
+                 pa.array(rare, pa.binary()), pa.array(groups, pa.binary()), part.column(4)],
+                names=["row", "doc_id", "held_out", "n_tokens", "codes", "rare", "rare_groups", "part"])
 
     return rows.select("row", "doc_id", "held_out", "text", "part").mapInArrow(each, SEQUENCES)
 
@@ -304,33 +320,35 @@ def stretches(groups: list[np.ndarray], stretch: int) -> tuple[list[np.ndarray],
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], column: int, most: int):
-    """Rows and their classes, about ``most`` tokens at a time."""
-    rows, groups, size = [], [], 0
+    """Rows and their codes, about ``most`` tokens at a time."""
+    rows, codes, size = [], [], 0
     for batch in batches:
-        for k, g in enumerate(batch.column(column)):
-            groups.append(g.values.to_numpy(zero_copy_only=False))
+        for k, planes in enumerate(batch.column(column).to_pylist()):
+            codes.append(unpacked(planes))
             rows.append((batch, k))
-            size += len(groups[-1])
+            size += len(codes[-1])
             if size >= most:
-                yield rows, groups
-                rows, groups, size = [], [], 0
+                yield rows, codes
+                rows, codes, size = [], [], 0
     if rows:
-        yield rows, groups
+        yield rows, codes
 
 
-def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
+def baum_welch(train: DataFrame, shared, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
                parts: int = 8, fade: float = 0.5, stretch: int = 512, batch_tokens: int = 200_000,
                seed: int = 0) -> Model:
-    """Fit on all rows of ``train`` (columns ``part`` from 0 to ``parts - 1``, ``groups``)."""
+    """Fit on all rows of ``train`` (columns ``part`` from 0 to ``parts - 1``, ``codes``,
+    ``rare_groups``); ``shared`` broadcasts the vocabulary."""
     names = [f"s{k}" for k in range(states)]
 
     def expected(rows: DataFrame, model: Model) -> np.ndarray:
         now = train.sparkSession.sparkContext.broadcast(model)  # bounded: states * classes numbers
 
         def counts(batches):
-            m = now.value
+            m, group = now.value, shared.value.group
             begin, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
-            for _, groups in _grouped(batches, 0, batch_tokens):
+            for rows, codes in _grouped(batches, 0, batch_tokens):
+                groups = [classes_of(c, b.column(1)[k].as_py(), group) for (b, k), c in zip(rows, codes, strict=True)]
                 cut, first = stretches(groups, stretch)
                 for total, more in zip((begin, move, emit), Packed(cut).expected(m, first, classes), strict=True):
                     total += more
@@ -340,7 +358,7 @@ def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int =
                 names=["part", *names])
 
         sums = np.zeros((classes + states + 1, states))
-        for r in (rows.select("groups").mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
+        for r in (rows.select("codes", "rare_groups").mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
                   .groupBy("part").agg(*[F.sum(n) for n in names]).collect()):  # bounded as the model
             sums[r[0]] = r[1:]
         now.unpersist()
@@ -368,29 +386,40 @@ def _token_ids(codes: np.ndarray, rare_ids: np.ndarray) -> np.ndarray:
     return ids
 
 
+#: Expected counts of rare words are kept as whole numbers of so many parts.
+PARTS = 1024
+
+
 def word_state_counts(train: DataFrame, shared, model: Model, stretch: int = 512,
-                      batch_tokens: int = 200_000) -> DataFrame:
+                      batch_tokens: int = 200_000, flush: int = 200_000) -> DataFrame:
     """``word`` (null for common words), ``code`` (null for others), ``n`` and the
-    expected counts ``s0``, ... of the states, over all rows of ``train`` (columns
-    ``codes``, ``groups``, ``rare``). Counts of rare words are sums of multiples of 1/1024."""
+    expected counts ``s0``, ... of the states in 1/1024, over all rows of ``train``
+    (columns ``codes``, ``rare``, ``rare_groups``). A task sums up to ``flush`` rare words
+    before it sends them."""
     states = len(model.start)
     names = [f"s{k}" for k in range(states)]
     fitted = train.sparkSession.sparkContext.broadcast(model)  # bounded: states * classes numbers
 
     def each(batches):
-        m, known = fitted.value, len(shared.value.words)
+        m, v = fitted.value, shared.value
+        known = len(v.words)
 
         def out(words, codes, n, sums):
+            whole = np.round(sums * PARTS).astype(np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.binary()), pa.array(codes, pa.int32()), pa.array(n, pa.int64()),
-                 *[pa.array(sums[:, k]) for k in range(states)]], names=["word", "code", "n", *names])
+                 *[pa.array(whole[:, k]) for k in range(states)]], names=["word", "code", "n", *names])
 
         total, met = np.zeros((known, states)), np.zeros(known, np.int64)
+        index: dict[bytes, int] = {}  # rare words since the last sending
+        held, held_n = np.zeros((0, states)), np.zeros(0, np.int64)
         for rows, codes in _grouped(batches, 0, batch_tokens):
-            index: dict[bytes, int] = {}
-            ids = [_token_ids(c, np.array([index.setdefault(w, known + len(index)) for w in b.column(2)[k].as_py()], np.int64))
-                   for (b, k), c in zip(rows, codes, strict=True)]
-            cut, first = stretches([b.column(1)[k].values.to_numpy(zero_copy_only=False) for b, k in rows], stretch)
+            ids, groups = [], []
+            for (b, k), c in zip(rows, codes, strict=True):
+                at = [known + index.setdefault(w, len(index)) for w in rare_words(b.column(1)[k].as_py())]
+                ids.append(_token_ids(c, np.array(at, np.int64)))
+                groups.append(classes_of(c, b.column(2)[k].as_py(), v.group))
+            cut, first = stretches(groups, stretch)
             gamma = Packed(cut).posteriors(m, first)[0]
             at = Packed(stretches(ids, stretch)[0]).tokens  # of the same lengths, so in the same order
             size = known + len(index)
@@ -398,13 +427,19 @@ def word_state_counts(train: DataFrame, shared, model: Model, stretch: int = 512
             n = np.bincount(at, minlength=size)
             total += sums[:known]
             met += n[:known]
-            if index:
-                yield out(list(index), [None] * len(index), n[known:], np.round(sums[known:] * 1024) / 1024)
+            more = len(index) - len(held)
+            held = np.concatenate((held, np.zeros((more, states)))) + sums[known:]
+            held_n = np.concatenate((held_n, np.zeros(more, np.int64))) + n[known:]
+            if len(index) >= flush:
+                yield out(list(index), [None] * len(index), held_n, held)
+                index, held, held_n = {}, held[:0], held_n[:0]
+        if index:
+            yield out(list(index), [None] * len(index), held_n, held)
         some = np.flatnonzero(met)
         yield out([None] * len(some), some, met[some], total[some])
 
-    return (train.select("codes", "groups", "rare")
-            .mapInArrow(each, ", ".join(["word binary, code int, n long", *[f"{n} double" for n in names]]))
+    return (train.select("codes", "rare", "rare_groups")
+            .mapInArrow(each, ", ".join(["word binary, code int, n long", *[f"{n} long" for n in names]]))
             .groupBy("word", "code").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names]))
 
 
@@ -434,7 +469,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     share[:own] = 10 ** words.count_log[:own]
     share[own:] = 10 ** words.ending_log
     train = table.where(~F.col("held_out"))
-    model = baum_welch(train.select("part", "groups"), own + endings, share / share.sum(),
+    model = baum_welch(train.select("part", "codes", "rare_groups"), shared, own + endings, share / share.sum(),
                        states, iterations, parts, batch_tokens=batch_tokens, seed=seed)
 
     names = [f"s{k}" for k in range(states)]
@@ -443,24 +478,35 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     of_class /= of_class.sum(1, keepdims=True)
     found = by_word.where("code IS NOT NULL").drop("word").toPandas()  # bounded: the known words
     met, sums = np.zeros(len(words.words)), np.zeros((len(words.words), states))
-    met[found["code"]], sums[found["code"]] = found["n"], found[names]
+    met[found["code"]], sums[found["code"]] = found["n"], found[names] / PARTS
     common = masses(met, sums, of_class[words.group], lean)
+    numbers_of = np.dtype([("n", "<i8"), ("mass", "<f4", (states,))])  # what a rare word's row holds
 
     def of_rare(batches):
         for b in batches:
             if b.num_rows:
                 ends = np.array([ending_class(w, endings) for w in b.column(0).to_pylist()], np.int64)
-                mass = masses(b.column(1).to_numpy(), np.stack([b.column(2 + k).to_numpy() for k in range(states)], 1),
+                n = b.column(1).to_numpy()
+                mass = masses(n, np.stack([b.column(2 + k).to_numpy() / PARTS for k in range(states)], 1),
                               of_class[own + ends], lean)
-                at = np.arange(0, mass.size + 1, states, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(
-                    pa.array(at), pa.array(mass.astype(np.float32).ravel()))], names=["word", "n", "mass"])
+                numbers = np.empty(len(n), numbers_of)
+                numbers["n"], numbers["mass"] = n, mass
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([r.tobytes() for r in numbers], pa.binary())], names=["word", "numbers"])
+
+    def summed(batches):
+        total = np.zeros(states)
+        for b in batches:
+            if b.num_rows:
+                total += np.frombuffer(b"".join(b.column(0).to_pylist()), numbers_of)["mass"].sum(0, dtype=float)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(states), pa.int32()), pa.array(total)], names=["k", "v"])
 
     rare = written(by_word.where("code IS NULL").select("word", "n", *names)
-                   .mapInArrow(of_rare, "word binary, n long, mass array<float>"), "masses")
+                   .mapInArrow(of_rare, "word binary, numbers binary"), "masses")
     # every word of the training rows and, for each ending class, a word not seen
-    whole = np.array(rare.agg(*[F.coalesce(F.sum(F.col("mass")[k]), F.lit(0.0)) for k in range(states)]).first())
-    whole += common.sum(0) + 0.5 * of_class[own:].sum(0)
+    whole = common.sum(0) + 0.5 * of_class[own:].sum(0)
+    for r in rare.select("numbers").mapInArrow(summed, "k int, v double").groupBy("k").agg(F.sum("v")).collect():
+        whole[r[0]] += r[1]  # a row for each state
     common_emit = (common / whole).astype(np.float32)
     fitted = spark.sparkContext.broadcast((model, common_emit, 0.5 * of_class[own:], met, whole))  # bounded: known_words
 
@@ -469,14 +515,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         for rows, codes in _grouped(batches, 3, batch_tokens):
             ids, more, more_n, size = [], [], [], len(emit)
             for (b, k), c in zip(rows, codes, strict=True):
-                some = b.column(4)[k].as_py()
+                some = rare_words(b.column(4)[k].as_py())
                 mass = unseen[np.array([ending_class(w, endings) for w in some], np.int64)]
                 seen = np.zeros(len(some))
                 hits = b.column(5)[k].values
                 if hits is not None and len(hits):
-                    at, hit_n, hit_mass = hits.flatten()
-                    mass[at.to_numpy()] = hit_mass.flatten().to_numpy().reshape(-1, states)
-                    seen[at.to_numpy()] = hit_n.to_numpy()
+                    at, found = hits.flatten()
+                    numbers = np.frombuffer(b"".join(found.to_pylist()), numbers_of)
+                    mass[at.to_numpy()], seen[at.to_numpy()] = numbers["mass"], numbers["n"]
                 ids.append(_token_ids(c, size + np.arange(len(some))))
                 more.append(mass)
                 more_n.append(seen)
@@ -498,8 +544,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
                     names=["doc_id", "held_out", "n_tokens", "n_known", "count_log", "log"])
                 done = until
 
-    hits = (table.select("row", F.posexplode("rare").alias("at", "word")).join(rare, "word")
-            .groupBy("row").agg(F.collect_list(F.struct("at", "n", "mass")).alias("hits")))  # a document's words
+    asked = table.where(F.octet_length("rare") > 0).select(
+        "row", F.posexplode(F.split(F.col("rare").cast("string"), " ")).alias("at", "word"))
+    hits = (asked.withColumn("word", F.col("word").cast("binary")).join(rare, "word")
+            .groupBy("row").agg(F.collect_list(F.struct("at", "numbers")).alias("hits")))  # a document's words
     scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare", "hits")
               .mapInArrow(likelihoods, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                                        "count_log double, log double"))
