@@ -4,12 +4,18 @@ sorted, hashed over several randomised subsets of the lexicon.
 The lexicon holds the terms that a share of at least ``low`` and at most ``high`` of
 all documents contain. A document with ``d`` distinct terms on average gives at most
 ``d / low`` such terms, whatever the corpus, so the lexicon is bounded and goes into
-the plan as a set. A text with fewer than ``least_terms`` terms of the lexicon uses
-all its terms. Subset ``i`` holds the terms whose MD5 has a zero at hex digit ``i``
-(32 subsets of 1/16 of the lexicon), subset ``32 + i`` those with zeros at digits
-``i`` and ``i + 1`` (31 subsets of 1/256, for long texts). A fingerprint is four hex
-digits for every subset, dots where the text has no term of it; likeness is the share
-of equal entries among the subsets that either text has terms of.
+the plan as a set (and the terms above the band, fewer still, as another). Subset ``i``
+holds the lexicon's terms whose MD5 has a zero at hex digit ``i`` (32 subsets of 1/16 of
+the lexicon), subset ``32 + i`` those with zeros at digits ``i`` and ``i + 1`` (31 subsets
+of 1/256, for long texts). A fingerprint is four hex digits for every subset; likeness is
+the share of equal entries among the subsets that either text has an entry of.
+
+An entry hashes all terms that the text has of the subset. Where it has none, one of the
+first 32 subsets takes a single term from outside the band, so short texts have a
+fingerprint too: terms outside are dealt to these subsets by their MD5, and a subset takes
+rare terms before common ones, then the one with the smallest MD5. The rule holds for
+each subset by itself, so a term more or less changes the entries it belongs to and no
+others. What then has no entry is dots.
 
 DataFrame functions only: no Python runs on executors.
 
@@ -35,12 +41,14 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != ""))
 
 
-def lexicon(docs: DataFrame, low: float, high: float) -> list[str]:
-    """Terms of ``docs`` (column ``text``) inside the band; bounded, see above."""
+def lexicon(docs: DataFrame, low: float, high: float) -> tuple[list[str], list[str]]:
+    """Terms of ``docs`` (column ``text``) inside the band, and those above it; bounded, see
+    above."""
     n = docs.count()
     found = (docs.select(F.explode(terms(F.col("text"))).alias("t")).groupBy("t").count()
-             .where((F.col("count") >= max(1.0, low * n)) & (F.col("count") <= high * n)))
-    return sorted(r.t for r in found.select("t").collect())
+             .where(F.col("count") >= max(1.0, low * n))
+             .select("t", (F.col("count") <= high * n).alias("inside")).collect())
+    return sorted(r.t for r in found if r.inside), sorted(r.t for r in found if not r.inside)
 
 
 def _named(value: Column, use) -> Column:
@@ -48,37 +56,57 @@ def _named(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def entries(text: Column, words: list[str], least_terms: int) -> Column:
+def entries(text: Column, words: list[str], common: list[str]) -> Column:
     """The fingerprint as an array: an entry for each subset."""
-    def hashed(inside: Column) -> Column:
-        # the zeros of a term's MD5 as bits, the first digit the lowest
-        def zero_bits(t: Column) -> Column:
-            digits = F.translate(F.md5(t.cast("binary")), "123456789abcdef0", "0000000000000001")
-            return F.conv(F.reverse(digits), 2, 10).cast("long")
+    def among(t: Column, some: list[str]) -> Column:
+        return t.isin(some) if some else F.lit(False)
 
-        told = F.transform(F.array_sort(inside), lambda t: F.struct(t.alias("t"), zero_bits(t).alias("m")))
+    # the zeros of a term's MD5 as bits, the first digit the lowest
+    def zero_bits(t: Column) -> Column:
+        digits = F.translate(F.md5(t.cast("binary")), "123456789abcdef0", "0000000000000001")
+        return F.conv(F.reverse(digits), 2, 10).cast("long")
 
-        def entry(kept: Column) -> Column:
-            return F.when(F.size(kept) == 0, F.lit("....")).otherwise(
-                F.substring(F.md5(F.concat_ws(" ", F.transform(kept, lambda x: x.t)).cast("binary")), 1, 4))
+    def digest(kept: Column) -> Column:
+        return F.substring(F.md5(kept.cast("binary")), 1, 4)
+
+    def outside_firsts(outside: Column) -> Column:
+        """Of the terms dealt to each subset the first by band and MD5: ``i``, ``entry``."""
+        def dealt(t: Column) -> Column:
+            return _named(F.md5(t.cast("binary")), lambda h: F.struct(
+                F.pmod(F.conv(F.substring(h, 1, 2), 16, 10).cast("int"), F.lit(32)).alias("i"),
+                among(t, common).alias("common"), h.alias("h"), t.alias("t")))
+
+        def firsts(told: Column) -> Column:
+            return F.filter(told, lambda x, k: (k == 0) | (F.get(told, k - 1)["i"] != x["i"]))
+
+        return F.transform(_named(F.array_sort(F.transform(outside, dealt)), firsts),
+                           lambda x: F.struct(x["i"].alias("i"), digest(x["t"]).alias("entry")))
+
+    def hashed(told: Column, firsts: Column) -> Column:
+        def entry(kept: Column, other: Column) -> Column:
+            return F.when(F.size(kept) == 0, other).otherwise(digest(F.concat_ws(" ", F.transform(kept, lambda x: x.t))))
 
         def with_bit(terms_: Column, i: Column) -> Column:
             return F.filter(terms_, lambda x: F.getbit(x.m, i) == 1)
 
         def subset(terms_: Column, i: Column) -> Column:
-            one = _named(with_bit(terms_, i), lambda some: F.struct(some.alias("some"), entry(some).alias("one")))
+            other = F.coalesce(F.get(F.filter(firsts, lambda x: x["i"] == i), F.lit(0))["entry"], F.lit("...."))
+            one = _named(with_bit(terms_, i), lambda some: F.struct(some.alias("some"), entry(some, other).alias("one")))
             return _named(one, lambda o: F.struct(o.one.alias("one"), F.when(F.size(o.some) == 0, F.lit("....")).otherwise(
-                _named(with_bit(o.some, i + 1), entry)).alias("two")))
+                _named(with_bit(o.some, i + 1), lambda kept: entry(kept, F.lit("....")))).alias("two")))
 
-        both = _named(told, lambda ts: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: subset(ts, i)))
+        both = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: subset(told, i))
         return _named(both, lambda x: F.concat(F.transform(x, lambda b: b.one),
                                                F.slice(F.transform(x, lambda b: b.two), 1, SUBSETS - 32)))
 
-    def chosen(all_terms: Column) -> Column:
-        band = F.filter(all_terms, lambda t: t.isin(words)) if words else F.array().cast("array<string>")
-        return _named(band, lambda b: F.when(F.size(b) >= least_terms, b).otherwise(all_terms))
+    def split(told: Column) -> Column:
+        inside = F.transform(F.array_sort(F.transform(F.filter(told, lambda x: x["w"]), lambda x: x["t"])),
+                             lambda t: F.struct(t.alias("t"), zero_bits(t).alias("m")))
+        outside = F.transform(F.filter(told, lambda x: ~x["w"]), lambda x: x["t"])
+        return _named(F.struct(inside.alias("inside"), outside_firsts(outside).alias("firsts")),
+                      lambda x: hashed(x["inside"], x["firsts"]))
 
-    return _named(_named(terms(text), chosen), hashed)
+    return _named(F.transform(terms(text), lambda t: F.struct(t.alias("t"), among(t, words).alias("w"))), split)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -112,16 +140,16 @@ def edited_text(text: Column, after: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - quarter), F.substring(after, F.lit(1), quarter))
 
 
-def fingerprints(docs: DataFrame, low: float = 0.005, high: float = 0.02, least_terms: int = 8,
+def fingerprints(docs: DataFrame, low: float = 0.005, high: float = 0.02,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_chars``, ``fingerprint`` of every document."""
     src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    words = lexicon(src, low, high)
+    words, common = lexicon(src, low, high)
     return src.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
-                      F.concat_ws("", entries(F.col("text"), words, least_terms)).alias("fingerprint"))
+                      F.concat_ws("", entries(F.col("text"), words, common)).alias("fingerprint"))
 
 
-def edit_likeness(docs: DataFrame, low: float = 0.005, high: float = 0.02, least_terms: int = 8,
+def edit_likeness(docs: DataFrame, low: float = 0.005, high: float = 0.02,
                   id_col: str = "doc_id", text_col: str = "text", group_ids: int = 256) -> DataFrame:
     """Fingerprints of every document and of its edited text (its last quarter replaced
     from the next document), and how like they are: ``doc_id``, ``n_chars``,
@@ -132,10 +160,10 @@ def edit_likeness(docs: DataFrame, low: float = 0.005, high: float = 0.02, least
     next text is at hand, and only the runs' first and last texts meet in a join.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    words = lexicon(src, low, high)
+    words, common = lexicon(src, low, high)
 
     def fingerprint(text: Column) -> Column:
-        return entries(text, words, least_terms)
+        return entries(text, words, common)
 
     told = src.where("doc_id IS NOT NULL").select(
         "doc_id", "text", fingerprint(F.col("text")).alias("f"),

@@ -73,8 +73,8 @@ WITH d AS (
          list_distinct(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS t
   FROM documents),
 lex AS (
-  SELECT t FROM (SELECT unnest(t) AS t FROM d) GROUP BY t
-  HAVING count(*) >= greatest(1.0, 0.005 * (SELECT count(*) FROM d)) AND count(*) <= 0.02 * (SELECT count(*) FROM d)),
+  SELECT t, CASE WHEN count(*) <= 0.02 * (SELECT count(*) FROM d) THEN 0 ELSE 2 END AS band
+  FROM (SELECT unnest(t) AS t FROM d) GROUP BY t HAVING count(*) >= greatest(1.0, 0.005 * (SELECT count(*) FROM d))),
 nx AS (
   SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after,
          coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id
@@ -87,16 +87,20 @@ texts AS (
 terms AS (
   SELECT doc_id, k, unnest(list_distinct(list_filter(string_split_regex(lower(x), '[^\p{L}\p{N}]+'), lambda y: y <> ''))) AS t
   FROM texts),
-flagged AS (SELECT doc_id, k, t, md5(t) AS h, lex.t IS NOT NULL AS inside FROM terms LEFT JOIN lex USING (t)),
-chosen AS (
-  SELECT doc_id, k, t, h FROM flagged
-  QUALIFY inside OR count(*) FILTER (inside) OVER (PARTITION BY doc_id, k) < 8),
+-- 0: inside the band, 1: rarer, 2: more common
+flagged AS (SELECT doc_id, k, t, md5(t) AS h, coalesce(band, 1) AS band FROM terms LEFT JOIN lex USING (t)),
 subset AS (SELECT unnest(generate_series(1, 63)) AS i),
-member AS (
+inside AS (
   SELECT doc_id, k, i, substr(md5(string_agg(t, ' ' ORDER BY t)), 1, 4) AS entry
-  FROM chosen JOIN subset ON CASE WHEN i <= 32 THEN substr(h, CAST(i AS INT), 1) = '0'
-                                  ELSE substr(h, CAST(i - 32 AS INT), 2) = '00' END
-  GROUP BY doc_id, k, i),
+  FROM flagged JOIN subset ON CASE WHEN i <= 32 THEN substr(h, CAST(i AS INT), 1) = '0'
+                                   ELSE substr(h, CAST(i - 32 AS INT), 2) = '00' END
+  WHERE band = 0 GROUP BY doc_id, k, i),
+outside AS (
+  SELECT doc_id, k, CAST('0x' || substr(h, 1, 2) AS INT) % 32 + 1 AS i, substr(md5(arg_min(t, (band, h))), 1, 4) AS entry
+  FROM flagged WHERE band > 0 GROUP BY doc_id, k, CAST('0x' || substr(h, 1, 2) AS INT) % 32 + 1),
+member AS (
+  SELECT doc_id, k, i, coalesce(inside.entry, outside.entry) AS entry
+  FROM inside FULL JOIN outside USING (doc_id, k, i)),
 fp AS (
   SELECT x.doc_id, x.k, list(coalesce(entry, '....') ORDER BY i) AS f
   FROM (SELECT doc_id, k, i FROM texts CROSS JOIN subset) x LEFT JOIN member USING (doc_id, k, i) GROUP BY x.doc_id, x.k),

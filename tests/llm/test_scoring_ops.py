@@ -275,3 +275,58 @@ def test_runs_of_ids_do_not_change_results(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = (sorted(map(tuple, imatch.edit_likeness(docs, group_ids=g).collect())) for g in (256, 3))
     assert a == b
+
+
+def test_no_jump_at_any_number_of_terms(spark):
+    """One band term more or less changes the entries it belongs to, however many there are."""
+    rnd = random.Random(4)
+    band = [f"band{k}" for k in range(300)]
+    rows = []
+    for n in range(1, 17):
+        for k in range(12):
+            some = rnd.sample(band, n)
+            rare = [f"rare{rnd.randrange(10 ** 9)}" for _ in range(40)]
+            rows.append((n, " ".join(some + rare), " ".join(some[1:] + rare)))
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    words, common = sorted(band), ["of", "the"]
+    both = df.select("n", imatch.likeness(imatch.entries(F.col("a"), words, common), imatch.entries(F.col("b"), words, common)).alias("l"))
+    mean = {r.n: r.m for r in both.groupBy("n").agg(F.avg("l").alias("m")).collect()}
+    assert min(mean.values()) > 0.8 and abs(mean[8] - mean[7]) < 0.1, mean
+
+
+def test_entries_by_brute_force(spark):
+    import hashlib
+
+    def md5(t):
+        return hashlib.md5(t.encode()).hexdigest()
+
+    def brute(text, words, common):
+        terms = sorted({t for t in text.split() if t})
+        out = []
+        for i in range(63):
+            inside = [t for t in terms if t in words and (md5(t)[i] == "0" if i < 32 else md5(t)[i - 32:i - 30] == "00")]
+            dealt = [t for t in terms if t not in words and int(md5(t)[:2], 16) % 32 == i]
+            if inside:
+                out.append(md5(" ".join(inside))[:4])
+            elif dealt:
+                out.append(md5(min(dealt, key=lambda t: (t in common, md5(t))))[:4])
+            else:
+                out.append("....")
+        return out
+
+    rnd = random.Random(9)
+    words, common = [f"w{k}" for k in range(400)], [f"c{k}" for k in range(30)]
+    texts = ["", "c1", "w1", "r1"] + [" ".join(rnd.choice(words + common * 5 + [f"r{rnd.randrange(9999)}" for _ in range(400)])
+                                               for _ in range(rnd.randrange(600))) for _ in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", imatch.entries(F.col("t"), words, common).alias("e")).collect():
+        assert r.e == brute(r.t, words, common)
+
+
+def test_edited_texts_are_nearer_than_the_next(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    nearer = imatch.edit_likeness(docs).agg(F.avg((F.col("near_edited") > F.col("near_next")).cast("double")),
+                                            F.avg("near_edited"), F.avg("near_next"),
+                                            F.avg((F.col("near_edited") < 0.1).cast("double"))).first()
+    print("near_edited above near_next, means, near_edited under 0.1:", tuple(nearer))
+    assert nearer[0] > 0.9
