@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -17,12 +18,6 @@ from pyspark.sql import functions as F
 from ..config import HEADER_DICTIONARY, HEADER_FOLD_FROM, HEADER_FOLD_TO
 from ._cols import as_col
 
-# Code-point ranges whose letters are folded to plain ones: Latin-1 supplement, Latin
-# extended A/B, Latin extended additional, letter-like symbols, ligatures and
-# full-width forms.
-_FOLD_RANGES = ((0x00A0, 0x024F), (0x1E00, 0x1EFF), (0x2100, 0x214F),
-                (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
-
 #: White space of any kind, as ``str.strip`` knows it.
 _SPACE = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
 #: What a header keeps: each run is a word, words are joined by one underscore.
@@ -31,37 +26,59 @@ _HEADER_WORD = "[a-z0-9]+"
 
 @functools.lru_cache(maxsize=1)
 def fold_table() -> dict[str, str]:
-    """Character -> its compatibility decomposition without marks, from the Unicode
-    database. Both the Column and the string rules fold with this one table."""
+    """Character -> its compatibility decomposition without marks, for every code point
+    where they differ, from the Unicode database; a mark's is empty. Both the Column and
+    the string rules fold with this one table."""
     table = {}
-    for lo, hi in _FOLD_RANGES:
-        for ch in map(chr, range(lo, hi + 1)):
-            plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not _is_mark(c))
-            if plain != ch:
-                table[ch] = plain
+    for ch in map(chr, range(0x80, sys.maxunicode + 1)):  # ASCII stands for itself
+        plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not _is_mark(c))
+        if plain != ch:
+            table[ch] = plain
     return table
 
 
-def _is_mark(ch: str) -> bool:
-    return unicodedata.category(ch).startswith("M")
+def _is_mark(ch: str) -> bool:  # combining marks
+    return unicodedata.combining(ch) != 0
 
 
 def fold_text(text: str) -> str:
     """String form of :func:`accent_fold`."""
     table = fold_table()
-    return "".join(table.get(ch, ch) for ch in text if not _is_mark(ch))
+    return "".join([table.get(ch, ch) for ch in text])
 
 
-def accent_fold(c) -> Column:
-    """Latin letters without their accents, whether these are part of a character or
-    stand behind it as marks of their own; ligatures and wide forms become plain."""
+def _translated(c: Column, table: dict[str, str]) -> Column:
+    """Characters exchanged for at most one other each."""
+    ordered = sorted(table, key=lambda ch: (not table[ch], ch))  # what is dropped comes last
+    return F.translate(c, "".join(ordered), "".join(table[ch] for ch in ordered))
+
+
+@functools.lru_cache(maxsize=1)
+def _fold_parts() -> tuple[dict[str, str], str, list[dict[str, str]]]:
+    """The table by length: characters that become one or none; those that become several,
+    and for each place of the result its letter."""
     table = fold_table()
-    single = {k: v for k, v in table.items() if len(v) == 1}
-    out = F.regexp_replace(as_col(c), r"\p{M}+", "")
-    for ch, plain in table.items():
-        if len(plain) != 1:
-            out = F.replace(out, F.lit(ch), F.lit(plain))
-    return F.translate(out, "".join(single), "".join(single.values()))
+    single = {ch: plain for ch, plain in table.items() if len(plain) < 2}
+    several = {ch: plain for ch, plain in table.items() if len(plain) > 1}
+    places = [{ch: plain[k:k + 1] for ch, plain in several.items()} for k in range(max(map(len, several.values())))]
+    return single, "".join(several), places
+
+
+def accent_fold(c) -> Column:
+    """Characters of any script as their compatibility decomposition without marks: no
+    accents, whether these are part of a character or stand behind it; ligatures, wide,
+    circled and mathematical forms become plain. One pass looks up every character that
+    becomes several; texts without such a one don't take it."""
+    single, several, places = _fold_parts()
+    text = as_col(c)
+    plain = _translated(text, single)
+
+    def spelt(ch: Column) -> Column:
+        letters = F.concat(*[_translated(ch, place) for place in places])
+        return F.when(F.translate(ch, several, "") == "", letters).otherwise(ch)
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit("(?s)(.)")), spelt), "")
+    return F.when(F.translate(plain, several, "") == plain, plain).otherwise(whole)
 
 
 def strip_space(c) -> Column:
@@ -80,12 +97,12 @@ def _header_words_of(text: str) -> str:
 def normalise_header(c) -> Column:
     """Generic header rule: the words of the accent-folded header in lower case, joined
     by underscores; a dotless i counts as i."""
-    return _header_words(F.translate(accent_fold(c), "ı", "i"))
+    return _header_words(accent_fold(F.translate(as_col(c), "ı", "i")))
 
 
 def header_name(name: str) -> str:
     """String form of :func:`normalise_header`, for column names on the driver."""
-    return _header_words_of(fold_text(str(name)).replace("ı", "i"))
+    return _header_words_of(fold_text(str(name).replace("ı", "i")))
 
 
 def normalise_header_dictionary(c) -> Column:

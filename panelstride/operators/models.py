@@ -221,6 +221,8 @@ def fit_table(data: DataFrame, cand: Candidate, features: Sequence[str], label:
                                      minInstancesPerNode=cand.min_leaf, seed=cand.seed,
                                      probabilityCol="__prob", rawPredictionCol="__raw",
                                      predictionCol="__pred")
+    if cand.params:  # further parameters of the learner
+        clf = clf.copy({clf.getParam(k): v for k, v in cand.params.items()})
     if cand.balanced:
         data = data.withColumn("__w", balanced_weight(counts, label))
         clf.setWeightCol("__w")
@@ -262,3 +264,38 @@ def run_records(spark: SparkSession, name: str, params: Mapping[str, object],
     rows = [(name, "param", k, str(v)) for k, v in params.items()]
     rows += [(name, "metric", k, repr(float(v)) if v is not None else None) for k, v in metrics.items()]
     return spark.createDataFrame(rows, "run string, kind string, key string, value string")
+
+
+def with_run_ids(runs: DataFrame) -> DataFrame:
+    """Add ``run_id``, a digest of the run's name and all its parameters."""
+    told = F.when(F.col("kind") == "param", F.to_json(F.struct("key", "value")))
+    ids = runs.groupBy("run").agg(F.sha2(F.concat_ws("\n", F.col("run"), F.array_sort(F.collect_list(told))).cast("binary"), 256)
+                                  .alias("run_id"))
+    return runs.join(ids, "run")  # a few rows for each run
+
+
+def record_runs(runs: DataFrame, path: str) -> DataFrame:
+    """Add runs to the run table at ``path`` (M7, M13). A run lies in a partition of its
+    own, named by its name and parameters, so a run that is recorded again (after a
+    restart, say) takes its own place and no other. Returns ``run``, ``run_id``,
+    ``replayed`` (was it there before?) and ``same_metrics`` (with the same values?)."""
+    spark, named = runs.sparkSession, shared_table(with_run_ids(runs), "runs")
+    before = shared_table(read_runs(spark, path), "runs_before")
+    metric = F.when(F.col("kind") == "metric", F.to_json(F.struct("key", "value")))
+    found, now = (df.groupBy("run", "run_id").agg(F.array_sort(F.collect_list(metric)).alias(name))
+                  for df, name in ((before, "old"), (named, "new")))
+    told = shared_table(now.join(found, ["run", "run_id"], "left").select(
+        "run", "run_id", F.col("old").isNotNull().alias("replayed"), (F.col("old") == F.col("new")).alias("same_metrics")), "replays")
+    (named.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    return told
+
+
+RUNS = "run string, kind string, key string, value string, run_id string"
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table; without rows where nothing has been recorded yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], RUNS)
+    return spark.read.schema(RUNS).parquet(path)

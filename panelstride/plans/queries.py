@@ -932,12 +932,29 @@ def _run_sql(runs, gold_rule: str) -> str:
     return f"with {O.gold_ctes(rule=gold_rule)}, n as (select {sizes}) " + " union all ".join(rows)
 
 
+def _metrics_again(result) -> dict[tuple[str, str], float]:
+    """(run, metric) -> its value from the scored rows, by other formulas than the library's
+    (the AUC's own query has an oracle)."""
+    out = {}
+    for (run, part), rows in result.scored.items():
+        y, p = F.col(LABEL).cast("double"), F.col("predicted_class").cast("double")
+        r = rows.agg(F.avg((y == p).cast("double")).alias("accuracy"), F.coalesce(F.try_divide(F.sum(y * p), F.sum(p)), F.lit(0.0)).alias("precision"),
+                     F.coalesce(F.try_divide(F.sum(y * p), F.sum(y)), F.lit(0.0)).alias("recall")).first()
+        both = r["precision"] + r["recall"]
+        values = {**r.asDict(), "f1": 2 * r["precision"] * r["recall"] / both if both else 0.0,
+                  "roc_auc": metrics.roc_auc(rows, LABEL, "predicted_probability").first()["roc_auc"]}
+        out |= {(run, f"{part}_{k}"): v for k, v in values.items()}
+    return out
+
+
 def _checked_runs(result, order, tie) -> DataFrame:
-    """The run table with each metric's value replaced by what it must be, and the
-    selection compared with the table of metrics."""
+    """The run table with each metric's value replaced by what it must be, if it is the
+    scored rows' own metric, and the selection compared with the table of metrics."""
     best = select_best(result.metrics, order, tie).first()["model"]
-    share = F.col("value").try_cast("double").between(0.0, 1.0)
-    told = (F.when((F.col("kind") == "metric") & share, "a share")
+    again = F.create_map(*[F.lit(x) for (run, k), v in _metrics_again(result).items() for x in (f"{run} {k}", v)])
+    value = F.col("value").try_cast("double")
+    right = value.between(0.0, 1.0) & (F.abs(value - F.try_element_at(again, F.concat_ws(" ", "run", "key"))) < 1e-12)
+    told = (F.when((F.col("kind") == "metric") & right, "a share")
             .when((F.col("key") == "best_model") & (F.col("value") == best), "best by validation")
             .otherwise(F.col("value")))
     return result.runs.select("run", "kind", "key", told.alias("value"))

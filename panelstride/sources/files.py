@@ -1,9 +1,10 @@
 """Directory ingest: one file per entity, entity key in the file name.
 
 * CSV: lines are read by Spark's text source, from whatever storage it reads, with the
-  file each line lies in; a file's first line is its header. Values find their columns
-  by the (normalised) names of their own file's header, so files of any layouts stack
-  by name, and only the distinct header lines come to the driver.
+  file each line lies in, and put together to records where quoted fields hold line
+  breaks (``csv_records``); a file's first record is its header. Values find their
+  columns by the (normalised) names of their own file's header, so files of any layouts
+  stack by name, and only the distinct headers come to the driver.
 * Workbooks (``.xlsx``): ``binaryFile`` + ``mapInPandas``, one decode per file
   inside the tasks. Each sheet row becomes a ``map<header, text>``, so
   workbooks with different headers stack by name without a schema pass.
@@ -21,6 +22,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import date, timedelta
+from itertools import islice
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import entity_from_filename, header_name, header_name_dictionary
 from ..session import shared_table
+from .csv_records import UNCLOSED, csv_records
 
 HEADER_RULES = {"generic": header_name, "dictionary": header_name_dictionary}
 
@@ -48,14 +51,6 @@ def _name_from(path: Column, entity_from: str) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def csv_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Every line with its file, the block it lies in and its order there."""
-    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path)
-            .select("value", F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_block_start").alias("source_block"),
-                    F.monotonically_increasing_id().alias("source_row")))
-
-
 def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ",",
                header_rule: str = "generic", entity_from: str = "file") -> tuple[DataFrame, DataFrame]:
     """Stack every CSV under ``path``; columns by (normalised) header name, text kept
@@ -63,16 +58,20 @@ def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str
 
     Headers of one file that normalise alike are one column, the first value that is
     there. ``entity_from="directory"`` takes the name from the parent folder
-    (``.../key=NAME/part-0.csv`` or ``.../NAME/part-0.csv``). Files without a header
-    line are in the second result (Spark's sources pass over files of no bytes at all)."""
-    lines = shared_table(csv_lines(spark, path, pattern), "csv_lines")
+    (``.../key=NAME/part-0.csv`` or ``.../NAME/part-0.csv``). Quoted fields may hold
+    separators, line breaks of any kind and doubled quotes. Files without a header line
+    (Spark's sources pass over files of no bytes at all) and files that end inside
+    quotes are in the second result."""
+    lines, unclosed = csv_records(spark, path, pattern, sep)
     first = lines.where((F.col("source_block") == 0) & (F.trim("value") != ""))
     headers = shared_table(
         first.groupBy("path").agg(F.min_by("value", "source_row").alias("header"), F.min("source_row").alias("__first"))
         .withColumn("header", F.regexp_replace("header", "^\ufeff", "")), "csv_headers")
     listed = list_files(spark, path, pattern).select(F.col("file_path").alias("path"))
     name = _name_from(F.col("path"), entity_from).alias("source_file")
-    errors = listed.join(headers, "path", "left_anti").select(name, F.lit("EmptyFile: no header line").alias("error"))
+    errors = (listed.join(headers, "path", "left_anti").join(unclosed, "path", "left_anti")
+              .select(name, F.lit("EmptyFile: no header line").alias("error"))
+              .unionByName(unclosed.select(name, F.lit(UNCLOSED).alias("error"))))
 
     layouts = [r["header"] for r in headers.select("header").distinct().collect()]  # one for each layout
     if not layouts:
@@ -83,7 +82,8 @@ def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str
     names = {h: [rule(c) or f"column_{i}" for i, c in enumerate(next(csv.reader([h], delimiter=sep)))] for h in layouts}
     width = max(map(len, names.values()))
     known = spark.createDataFrame(list(names.items()), "header string, names array<string>")  # as many as layouts
-    values = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"sep": sep})
+    values = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)),
+                        {"sep": sep, "escape": '"', "multiLine": "true"})
     rows = (lines.join(headers, "path").join(known, "header")
             .where((F.col("source_row") != F.col("__first")) & (F.trim("value") != ""))
             .withColumn("__v", values)
@@ -125,78 +125,116 @@ def _excel_date(serial: float) -> str:
     return (date(1899, 12, 30) + timedelta(days=int(float(serial)))).strftime("%d-%m-%Y")
 
 
-def decode_xlsx(data: bytes) -> list[dict[str, str | None]]:
-    """First sheet of a workbook -> list of ``{header: text}`` rows (flat sheets only)."""
-    z = zipfile.ZipFile(io.BytesIO(data))
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    date_styles: set[int] = set()
-    if "xl/styles.xml" in z.namelist():
-        st = ET.fromstring(z.read("xl/styles.xml"))
-        custom = {int(f.get("numFmtId")): f.get("formatCode", "")
-                  for f in st.findall("m:numFmts/m:numFmt", _NS)}
-        xfs = st.find("m:cellXfs", _NS)
-        for i, xf in enumerate(xfs.findall("m:xf", _NS) if xfs is not None else []):
-            fid = int(xf.get("numFmtId", "0"))
-            code = custom.get(fid, "").lower()
-            if fid in _DATE_FMT_IDS or ("y" in code and "d" in code):
-                date_styles.add(i)
-    wb = ET.fromstring(z.read("xl/workbook.xml"))
-    first = wb.find("m:sheets/m:sheet", _NS)
-    sheet_path = "xl/worksheets/sheet1.xml"
+def _elements(z: zipfile.ZipFile, name: str, tag: str, parent: str) -> Iterator[ET.Element]:
+    """The elements ``tag`` below ``parent``, one after the other; each is forgotten before
+    the next one is read."""
+    tag, parent = f"{{{_NS['m']}}}{tag}", f"{{{_NS['m']}}}{parent}"
+    holder = None
+    with z.open(name) as f:
+        for event, el in ET.iterparse(f, events=("start", "end")):
+            if event == "start" and el.tag == parent:
+                holder = el
+            elif event == "end" and el.tag == tag:
+                yield el
+                if holder is not None:
+                    holder.clear()
+
+
+def _text_of(el: ET.Element) -> str:
+    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Places of the cell formats that show a date."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    st = ET.fromstring(z.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "") for f in st.findall("m:numFmts/m:numFmt", _NS)}
+    out = set()
+    for i, xf in enumerate(st.findall("m:cellXfs/m:xf", _NS)):
+        fid = int(xf.get("numFmtId", "0"))
+        code = custom.get(fid, "").lower()
+        if fid in _DATE_FMT_IDS or ("y" in code and "d" in code):
+            out.add(i)
+    return out
+
+
+def _first_sheet(z: zipfile.ZipFile) -> str:
+    first = ET.fromstring(z.read("xl/workbook.xml")).find("m:sheets/m:sheet", _NS)
     if first is not None and "xl/_rels/workbook.xml.rels" in z.namelist():
-        rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-        for r in rels:
+        for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")):
             if r.get("Id") == first.get(_REL):
                 target = r.get("Target").lstrip("/")
-                sheet_path = target if target.startswith("xl/") else f"xl/{target}"
-    rows: list[list[str | None]] = []
-    for row in ET.fromstring(z.read(sheet_path)).iter(f"{{{_NS['m']}}}row"):
-        values: dict[int, str | None] = {}
-        for c in row.findall("m:c", _NS):
-            kind, style = c.get("t"), int(c.get("s", "0"))
-            v = c.find("m:v", _NS)
-            if kind == "s" and v is not None:
-                text = shared[int(v.text)]
-            elif kind == "inlineStr":
-                text = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
-            elif v is None:
-                text = None
-            elif kind is None and style in date_styles:
-                text = _excel_date(v.text)
-            else:
-                text = v.text
-            values[_col_index(c.get("r"))] = text
-        width = max(values) + 1 if values else 0
-        rows.append([values.get(i) for i in range(width)])
-    if not rows:
-        return []
-    header: list[str] = []
-    for i, h in enumerate(rows[0]):
-        name = str(h) if h is not None else f"column_{i}"
-        same = sum(x == name or x.startswith(f"{name}.") and x[len(name) + 1:].isdigit() for x in header)
-        header.append(f"{name}.{same}" if same else name)  # a repeated header stays a column of its own
-    return [{h: (r[i] if i < len(r) else None) for i, h in enumerate(header)} for r in rows[1:]]
+                return target if target.startswith("xl/") else f"xl/{target}"
+    return "xl/worksheets/sheet1.xml"
+
+
+def _cells(row: ET.Element, shared: list[str], dates: set[int]) -> list[str | None]:
+    values: dict[int, str | None] = {}
+    for c in row.findall("m:c", _NS):
+        kind, style = c.get("t"), int(c.get("s", "0"))
+        v = c.find("m:v", _NS)
+        if kind == "s" and v is not None:
+            text = shared[int(v.text)]
+        elif kind == "inlineStr":
+            text = _text_of(c)
+        elif v is None:
+            text = None
+        elif kind is None and style in dates:
+            text = _excel_date(v.text)
+        else:
+            text = v.text
+        values[_col_index(c.get("r"))] = text
+    return [values.get(i) for i in range(max(values) + 1 if values else 0)]
+
+
+def iter_xlsx(data: bytes) -> Iterator[dict[str, str | None]]:
+    """First sheet of a workbook as ``{header: text}`` rows (flat sheets only), read row by
+    row: what is held at a time is the file, its shared strings and one row."""
+    z = zipfile.ZipFile(io.BytesIO(data))
+    shared = []
+    if "xl/sharedStrings.xml" in z.namelist():
+        shared = [_text_of(si) for si in _elements(z, "xl/sharedStrings.xml", "si", "sst")]
+    dates = _date_styles(z)
+    header: list[str] | None = None
+    for row in _elements(z, _first_sheet(z), "row", "sheetData"):
+        cells = _cells(row, shared, dates)
+        if header is None:
+            header = []
+            for i, h in enumerate(cells):
+                name = str(h) if h is not None else f"column_{i}"
+                same = sum(x == name or x.startswith(f"{name}.") and x[len(name) + 1:].isdigit() for x in header)
+                header.append(f"{name}.{same}" if same else name)  # a repeated header stays a column of its own
+        else:
+            yield {h: (cells[i] if i < len(cells) else None) for i, h in enumerate(header)}
+
+
+def decode_xlsx(data: bytes) -> list[dict[str, str | None]]:
+    """All rows of :func:`iter_xlsx`."""
+    return list(iter_xlsx(data))
 
 
 WORKBOOK_ROWS = "source_file string, row_number int, cells map<string,string>, error string"
+#: Rows of a sheet that a task holds at a time.
+SHEET_ROWS = 5000
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["source_file", "row_number", "cells", "error"]
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
             name = path.rsplit("/", 1)[-1]
             try:
-                rows = [(name, i, cells, None) for i, cells in enumerate(decode_xlsx(bytes(content)))]
+                rows = enumerate(iter_xlsx(bytes(content)))
+                while part := [(name, i, cells, None) for i, cells in islice(rows, SHEET_ROWS)]:
+                    yield pd.DataFrame(part, columns=columns)
             except Exception as e:  # noqa: BLE001 - a bad file becomes an error row (S4)
-                rows = [(name, -1, None, f"{type(e).__name__}: {e}")]
-            yield pd.DataFrame(rows, columns=["source_file", "row_number", "cells", "error"])
+                yield pd.DataFrame([(name, -1, None, f"{type(e).__name__}: {e}")], columns=columns)
 
 
 def decode_workbooks(raw: DataFrame) -> DataFrame:
-    """``(path, content)`` -> a row for each sheet row, or for each file that fails."""
+    """``(path, content)`` -> a row for each sheet row, and one for each file that fails
+    (whose rows before the failure count for nothing)."""
     return raw.select("path", "content").mapInPandas(_decode_batches, WORKBOOK_ROWS)
 
 
@@ -212,7 +250,8 @@ def ingest_workbooks(spark: SparkSession, path: str | DataFrame, pattern: str =
     of ``(path, content)``. Every workbook is decoded once. Returns ``(bronze, errors)``."""
     raw = path if isinstance(path, DataFrame) else read_workbooks(spark, path, pattern)
     decoded = shared_table(decode_workbooks(raw), "workbook_rows")
-    rows, errors = decoded.where("error IS NULL"), decoded.where("error IS NOT NULL").select("source_file", "error")
+    errors = decoded.where("error IS NOT NULL").select("source_file", "error")
+    rows = decoded.where("error IS NULL").join(errors.select("source_file"), "source_file", "left_anti")
     keys = [r["k"] for r in rows.select(F.explode(F.map_keys("cells")).alias("k")).distinct().collect()]
     if not keys and errors.isEmpty():
         raise FileNotFoundError(f"no workbooks matching {pattern} under {path}")

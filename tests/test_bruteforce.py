@@ -3,13 +3,14 @@
 import math
 import random
 import re
+import sys
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from panelstride.functions import clean_numeric, normalise_header
-from panelstride.functions.text import _FOLD_RANGES
+from panelstride.functions.text import accent_fold, fold_text
 
 
 def reference_number(text):
@@ -50,7 +51,8 @@ def reference_header(text):
 
 def test_header_rule_matches_nfkd(spark):
     rnd = random.Random(11)
-    pool = [chr(c) for lo, hi in _FOLD_RANGES for c in range(lo, hi + 1)]
+    pool = [chr(c) for lo, hi in ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2100, 0x2BFF), (0xFB00, 0xFB4F), (0xFF01, 0xFF5E),
+                                  (0x1D400, 0x1D7FF), (0x300, 0x36F)) for c in range(lo, hi + 1)]
     pool += list("abcXYZ019 ()/-_.ıİ")
     texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -58,3 +60,15 @@ def test_header_rule_matches_nfkd(spark):
     want = [reference_header(t) for t in texts]
     bad = [(t, g, w) for t, g, w in zip(texts, got, want) if g != w]
     assert not bad, bad[:10]
+
+
+def test_fold_equals_the_unicode_database(spark):
+    """Every assigned code point, alone and between letters."""
+    points = [chr(c) for c in range(0x20, sys.maxunicode + 1) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    texts = points + ["".join(points[k:k + 40]) for k in range(0, len(points), 40)]
+    want = ["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+    assert [fold_text(t) for t in texts] == want
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(8)
+    got = dict(df.select("i", accent_fold(F.col("t"))).collect())
+    bad = [(t, got[i], w) for i, (t, w) in enumerate(zip(texts, want, strict=True)) if got[i] != w]
+    assert not bad, bad[:5]
