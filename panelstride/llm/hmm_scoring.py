@@ -6,7 +6,7 @@ expected counts of every word of the training rows are a table by word, as long
 vocabulary. A word's mass is its count + 0.5, shared out to the states by these counts
 plus ``lean`` counts dealt as its class's, so words met seldom lean on their class; an
 unseen word has the mass 0.5 and its class's shares. A state's emissions are its masses
-over their sum.
+over their sum. (Rare words' shares are rounded to 11 bits, and so are in that sum.)
 
 * Word counts of all training documents are summed per task, then over the corpus.
 * Baum-Welch, incremental: training documents are dealt to ``parts`` by a hash of their
@@ -64,30 +64,45 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512):
             yield part, part.column(column).cast(pa.binary()).to_pylist()
 
 
-def word_counts(train: DataFrame, flush: int = 100_000) -> DataFrame:
-    """``word``, ``c`` over all rows of ``train`` (column ``text``)."""
+def word_counts(train: DataFrame, endings: int, flush: int = 200_000) -> DataFrame:
+    """What the choice of common words needs of all rows of ``train`` (column ``text``):
+    ``word``, ``c`` of words that a task meets twice or more among ``flush`` distinct ones,
+    and (``word`` null) ``e``, ``c``: all tokens by ending class. Common words come from
+    the first, the number of tokens from the second; exact counts of all words are summed
+    later, with their states."""
     def each(batches):
         def out():
+            often = {w: c for w, c in seen.items() if c > 1}
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
+                [pa.array(list(often), pa.binary()), pa.nulls(len(often), pa.int32()), pa.array(list(often.values()), pa.int64())],
+                names=["word", "e", "c"])
+
+        def ended():
+            for w, c in seen.items():
+                classes[ending_class(w, endings)] += c
 
         seen: Counter = Counter()
+        classes = np.zeros(endings, np.int64)
         for _, texts in _texts(batches, 0):
             for t in texts:
                 seen.update(tokens(t))
             if len(seen) > flush:
                 yield out()
+                ended()
                 seen.clear()
         yield out()
+        ended()
+        yield pa.RecordBatch.from_arrays([pa.nulls(endings, pa.binary()), pa.array(np.arange(endings), pa.int32()), pa.array(classes)],
+                                         names=["word", "e", "c"])
 
-    return (train.select("text").mapInArrow(each, "word binary, c long")
-            .groupBy("word").agg(F.sum("c").alias("c")))
+    return (train.select("text").mapInArrow(each, "word binary, e int, c long")
+            .groupBy("word", "e").agg(F.sum("c").alias("c")))
 
 
 def common_from(counts: DataFrame, most: int) -> int:
     """The count from which words are among the (at most) ``most`` commonest."""
     steps = 16  # of the histogram, to a doubling: its size doesn't depend on the corpus
-    rows = (counts.groupBy(F.floor(F.log2("c") * steps).cast("long").alias("b")).count()
+    rows = (counts.where("word IS NOT NULL").groupBy(F.floor(F.log2("c") * steps).cast("long").alias("b")).count()
             .orderBy(F.desc("b")).collect())
     total, least = 0, None
     for r in rows:
@@ -104,14 +119,11 @@ def ending_class(word: bytes, classes: int) -> int:
 
 @dataclass
 class Vocabulary:
-    """The common words and, for each, its class, log10(c + 0.5) and log10 of its
-    probability inside the class; for each ending class its log10 denominator."""
+    """The common words and the class of each; every class's weight in the corpus."""
 
     words: list[bytes]
     group: np.ndarray
-    count_log: np.ndarray
-    inside_log: np.ndarray
-    ending_log: np.ndarray
+    weight: np.ndarray
     own: int
 
     def codes(self) -> dict[bytes, int]:
@@ -122,41 +134,24 @@ _codes: dict[str, dict[bytes, int]] = {}
 
 
 def vocabulary(counts: DataFrame, known_words: int, own_words: int, endings: int) -> Vocabulary:
-    """From the table of counts: common words to the driver, sums of the ending classes."""
+    """From the table of counts: common words and the ending classes' sums to the driver."""
     common = (F.col("c") >= common_from(counts, known_words)) & (F.length("word") <= 64)
-    found = counts.where(common | (F.length("word") == 0)).toPandas()  # the end token is always known
+    found = counts.where("word IS NOT NULL").where(common | (F.length("word") == 0)).toPandas()  # the end token is always known
     found = found.assign(word=found["word"].map(bytes)).sort_values(["c", "word"], ascending=[False, True])
     found = found.iloc[np.argsort(found["word"] != END, kind="stable")]  # the end token first, then by count
     words, c = found["word"].tolist(), found["c"].to_numpy(np.int64)
-    if not words:  # no training tokens
-        words, c = [END], np.zeros(1, np.int64)
+    if not words or words[0] != END:  # no training tokens, or a document alone in its task
+        words, c = [END, *words], np.concatenate(([0], c))
     own = min(own_words, len(words))
-
-    def sums(batches):
-        n, v = np.zeros(endings), np.zeros(endings)
-        mine = set(own_list)
-        for batch in batches:
-            for w, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if w not in mine:
-                    e = ending_class(w, endings)
-                    n[e] += k
-                    v[e] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(endings), pa.int32()), pa.array(n), pa.array(v)],
-                                         names=["e", "n", "v"])
-
-    own_list = words[:own]
-    total, kinds = np.zeros(endings), np.zeros(endings)
-    for r in (counts.select("word", "c").mapInArrow(sums, "e int, n double, v double")
-              .groupBy("e").agg(F.sum("n"), F.sum("v")).collect()):  # bounded: a row for each ending class
-        total[r[0]], kinds[r[0]] = r[1], r[2]
-    ending_log = np.log10(total + 0.5 * (kinds + 1))
+    total = np.zeros(endings)
+    for r in counts.where("word IS NULL").select("e", "c").collect():  # bounded: a row for each ending class
+        total[r[0]] = r[1]
+    ends = np.array([ending_class(w, endings) for w in words], np.int64)
+    np.subtract.at(total, ends[:own], c[:own])
     group = np.arange(len(words))
-    ends = np.array([ending_class(w, endings) for w in words[own:]], np.int64)
-    group[own:] = own + ends
-    count_log = np.log10(c + 0.5)
-    inside = np.zeros(len(words))
-    inside[own:] = count_log[own:] - ending_log[ends]
-    return Vocabulary(words, group.astype(np.int16), count_log, inside, ending_log, own)
+    group[own:] = own + ends[own:]
+    weight = np.concatenate((c[:own], np.maximum(total, 0))) + 0.5
+    return Vocabulary(words, group.astype(np.int16), weight, own)
 
 
 SEQUENCES = ("row long, doc_id long, held_out boolean, n_tokens long, codes binary, rare binary, "
@@ -179,7 +174,7 @@ def rare_words(rare: bytes) -> list[bytes]:
 
 def classes_of(codes: np.ndarray, rare_groups: bytes, group: np.ndarray) -> np.ndarray:
     """Each token's class: a common word's own, a rare word's by its place in the list."""
-    out = group[codes]
+    out = group[np.maximum(codes, 0)]
     miss = np.flatnonzero(codes < 0)
     if len(miss):
         out[miss] = np.frombuffer(rare_groups, "<i2")[-1 - codes[miss]]
@@ -319,36 +314,43 @@ def stretches(groups: list[np.ndarray], stretch: int) -> tuple[list[np.ndarray],
     return cut, np.array(first, bool)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], column: int, most: int):
-    """Rows and their codes, about ``most`` tokens at a time."""
-    rows, codes, size = [], [], 0
+def _grouped(batches: Iterator[pa.RecordBatch], numbers_of, most: int):
+    """Rows and each one's numbers, about ``most`` tokens at a time."""
+    rows, numbers, size = [], [], 0
     for batch in batches:
-        for k, planes in enumerate(batch.column(column).to_pylist()):
-            codes.append(unpacked(planes))
+        for k in range(batch.num_rows):
+            numbers.append(numbers_of(batch, k))
             rows.append((batch, k))
-            size += len(codes[-1])
+            size += len(numbers[-1])
             if size >= most:
-                yield rows, codes
-                rows, codes, size = [], [], 0
+                yield rows, numbers
+                rows, numbers, size = [], [], 0
     if rows:
-        yield rows, codes
+        yield rows, numbers
+
+
+def _codes_in(column: int):
+    return lambda batch, k: unpacked(batch.column(column)[k].as_py())
 
 
-def baum_welch(train: DataFrame, shared, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
+def _listed(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    return batch.column(0)[k].values.to_numpy(zero_copy_only=False)
+
+
+def baum_welch(train: DataFrame, classes: int, shares: np.ndarray, states: int = 8, iterations: int = 2,
                parts: int = 8, fade: float = 0.5, stretch: int = 512, batch_tokens: int = 200_000,
-               seed: int = 0) -> Model:
-    """Fit on all rows of ``train`` (columns ``part`` from 0 to ``parts - 1``, ``codes``,
-    ``rare_groups``); ``shared`` broadcasts the vocabulary."""
+               seed: int = 0, columns: tuple[str, ...] = ("groups",), groups_of=_listed) -> Model:
+    """Fit on all rows of ``train`` (columns ``part`` from 0 to ``parts - 1``, and
+    ``groups``, or those of which ``groups_of`` makes a row's classes)."""
     names = [f"s{k}" for k in range(states)]
 
     def expected(rows: DataFrame, model: Model) -> np.ndarray:
         now = train.sparkSession.sparkContext.broadcast(model)  # bounded: states * classes numbers
 
         def counts(batches):
-            m, group = now.value, shared.value.group
+            m = now.value
             begin, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
-            for rows, codes in _grouped(batches, 0, batch_tokens):
-                groups = [classes_of(c, b.column(1)[k].as_py(), group) for (b, k), c in zip(rows, codes, strict=True)]
+            for _, groups in _grouped(batches, groups_of, batch_tokens):
                 cut, first = stretches(groups, stretch)
                 for total, more in zip((begin, move, emit), Packed(cut).expected(m, first, classes), strict=True):
                     total += more
@@ -358,7 +360,7 @@ def baum_welch(train: DataFrame, shared, classes: int, shares: np.ndarray, state
                 names=["part", *names])
 
         sums = np.zeros((classes + states + 1, states))
-        for r in (rows.select("codes", "rare_groups").mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
+        for r in (rows.select(*columns).mapInArrow(counts, ", ".join(["part int", *[f"{n} double" for n in names]]))
                   .groupBy("part").agg(*[F.sum(n) for n in names]).collect()):  # bounded as the model
             sums[r[0]] = r[1:]
         now.unpersist()
@@ -413,7 +415,7 @@ def word_state_counts(train: DataFrame, shared, model: Model, stretch: int = 512
         total, met = np.zeros((known, states)), np.zeros(known, np.int64)
         index: dict[bytes, int] = {}  # rare words since the last sending
         held, held_n = np.zeros((0, states)), np.zeros(0, np.int64)
-        for rows, codes in _grouped(batches, 0, batch_tokens):
+        for rows, codes in _grouped(batches, _codes_in(0), batch_tokens):
             ids, groups = [], []
             for (b, k), c in zip(rows, codes, strict=True):
                 at = [known + index.setdefault(w, len(index)) for w in rare_words(b.column(1)[k].as_py())]
@@ -448,6 +450,14 @@ def masses(n: np.ndarray, sums: np.ndarray, shares: np.ndarray, lean: float) ->
     return (n + 0.5)[:, None] * (sums + lean * shares) / (sums.sum(1, keepdims=True) + lean)
 
 
+#: The least share of a state in a rare word's mass: shares are kept with 11 bits.
+LEAST_SHARE = 2.0 ** -14
+
+
+def _masses_kept(numbers: np.ndarray) -> np.ndarray:
+    return (numbers["n"] + 0.5)[:, None] * numbers["share"].astype(float)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8,
           iterations: int = 2, known_words: int = 100_000, own_words: int = 8192, endings: int = 512,
           parts: int = 8, lean: float = 2.0, batch_tokens: int = 200_000, seed: int = 0) -> DataFrame:
@@ -456,21 +466,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
                       text_of(text_col).alias("text"))
-    counts = written(word_counts(src.where(~F.col("held_out"))), "counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = written(word_counts(src.where(~F.col("held_out")), endings), "counts")
+    n = counts.where("word IS NULL").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     words = vocabulary(counts, known_words, own_words, endings)
     shared = spark.sparkContext.broadcast(words)  # bounded: known_words words of 64 bytes at most
     rows = (src.withColumn("row", F.monotonically_increasing_id())
             .withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
     table = written(sequences(rows, shared, uuid.uuid4().hex, endings), "sequences")
 
-    own = words.own
-    share = np.zeros(own + endings)
-    share[:own] = 10 ** words.count_log[:own]
-    share[own:] = 10 ** words.ending_log
+    own, share = words.own, words.weight
     train = table.where(~F.col("held_out"))
-    model = baum_welch(train.select("part", "codes", "rare_groups"), shared, own + endings, share / share.sum(),
-                       states, iterations, parts, batch_tokens=batch_tokens, seed=seed)
+
+    def groups_of(batch, k):
+        return classes_of(unpacked(batch.column(0)[k].as_py()), batch.column(1)[k].as_py(), shared.value.group)
+
+    model = baum_welch(train, own + endings, share / share.sum(), states, iterations, parts, batch_tokens=batch_tokens,
+                       seed=seed, columns=("codes", "rare_groups"), groups_of=groups_of)
 
     names = [f"s{k}" for k in range(states)]
     by_word = written(word_state_counts(train, shared, model, batch_tokens=batch_tokens), "word_states")
@@ -480,39 +491,43 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     met, sums = np.zeros(len(words.words)), np.zeros((len(words.words), states))
     met[found["code"]], sums[found["code"]] = found["n"], found[names] / PARTS
     common = masses(met, sums, of_class[words.group], lean)
-    numbers_of = np.dtype([("n", "<i8"), ("mass", "<f4", (states,))])  # what a rare word's row holds
+    numbers_of = np.dtype([("n", "<i8"), ("share", "<f2", (states,))])  # what a rare word's row holds
+
+    def rare_numbers(b):
+        """Counts and shares of the states, as they are kept."""
+        ends = np.array([ending_class(w, endings) for w in b.column(0).to_pylist()], np.int64)
+        n = b.column(1).to_numpy()
+        mass = masses(n, np.stack([b.column(2 + k).to_numpy() / PARTS for k in range(states)], 1), of_class[own + ends], lean)
+        numbers = np.empty(len(n), numbers_of)
+        numbers["n"], numbers["share"] = n, np.maximum(mass / (n + 0.5)[:, None], LEAST_SHARE)
+        return numbers
 
     def of_rare(batches):
         for b in batches:
             if b.num_rows:
-                ends = np.array([ending_class(w, endings) for w in b.column(0).to_pylist()], np.int64)
-                n = b.column(1).to_numpy()
-                mass = masses(n, np.stack([b.column(2 + k).to_numpy() / PARTS for k in range(states)], 1),
-                              of_class[own + ends], lean)
-                numbers = np.empty(len(n), numbers_of)
-                numbers["n"], numbers["mass"] = n, mass
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([r.tobytes() for r in numbers], pa.binary())], names=["word", "numbers"])
+                    [b.column(0), pa.array([r.tobytes() for r in rare_numbers(b)], pa.binary())], names=["word", "numbers"])
 
     def summed(batches):
         total = np.zeros(states)
         for b in batches:
             if b.num_rows:
-                total += np.frombuffer(b"".join(b.column(0).to_pylist()), numbers_of)["mass"].sum(0, dtype=float)
+                total += _masses_kept(rare_numbers(b)).sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(states), pa.int32()), pa.array(total)], names=["k", "v"])
 
-    rare = written(by_word.where("code IS NULL").select("word", "n", *names)
-                   .mapInArrow(of_rare, "word binary, numbers binary"), "masses")
-    # every word of the training rows and, for each ending class, a word not seen
+    by_rare = by_word.where("code IS NULL").select("word", "n", *names)
+    v = int((met > 0).sum()) + by_rare.count()  # every word of the training rows
+    # and, for each ending class, a word not seen
     whole = common.sum(0) + 0.5 * of_class[own:].sum(0)
-    for r in rare.select("numbers").mapInArrow(summed, "k int, v double").groupBy("k").agg(F.sum("v")).collect():
+    for r in by_rare.mapInArrow(summed, "k int, v double").groupBy("k").agg(F.sum("v")).collect():
         whole[r[0]] += r[1]  # a row for each state
+    rare = by_rare.mapInArrow(of_rare, "word binary, numbers binary")
     common_emit = (common / whole).astype(np.float32)
     fitted = spark.sparkContext.broadcast((model, common_emit, 0.5 * of_class[own:], met, whole))  # bounded: known_words
 
     def likelihoods(batches):
         m, emit, unseen, common_n, total = fitted.value
-        for rows, codes in _grouped(batches, 3, batch_tokens):
+        for rows, codes in _grouped(batches, _codes_in(3), batch_tokens):
             ids, more, more_n, size = [], [], [], len(emit)
             for (b, k), c in zip(rows, codes, strict=True):
                 some = rare_words(b.column(4)[k].as_py())
@@ -522,7 +537,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
                 if hits is not None and len(hits):
                     at, found = hits.flatten()
                     numbers = np.frombuffer(b"".join(found.to_pylist()), numbers_of)
-                    mass[at.to_numpy()], seen[at.to_numpy()] = numbers["mass"], numbers["n"]
+                    mass[at.to_numpy()], seen[at.to_numpy()] = _masses_kept(numbers), numbers["n"]
                 ids.append(_token_ids(c, size + np.arange(len(some))))
                 more.append(mass)
                 more_n.append(seen)
