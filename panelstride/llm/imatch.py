@@ -70,17 +70,19 @@ def entries(text: Column, words: list[str], common: list[str]) -> Column:
         return F.substring(F.md5(kept.cast("binary")), 1, 4)
 
     def outside_firsts(outside: Column) -> Column:
-        """Of the terms dealt to each subset the first by band and MD5: ``i``, ``entry``."""
+        """Of the terms dealt to each subset the first by band and MD5: code -> entry.
+        The subset is the MD5's first byte modulo 32. Terms are sorted as texts of subset
+        (two characters), band, MD5 and term."""
         def dealt(t: Column) -> Column:
-            return _named(F.md5(t.cast("binary")), lambda h: F.struct(
-                F.pmod(F.conv(F.substring(h, 1, 2), 16, 10).cast("int"), F.lit(32)).alias("i"),
-                among(t, common).alias("common"), h.alias("h"), t.alias("t")))
+            return _named(F.md5(t.cast("binary")), lambda h: F.concat(
+                F.translate(F.substring(h, 1, 1), "0123456789abcdef", "0101010101010101"), F.substring(h, 2, 1),
+                F.when(among(t, common), F.lit("2")).otherwise(F.lit("1")), h, t))
 
         def firsts(told: Column) -> Column:
-            return F.filter(told, lambda x, k: (k == 0) | (F.get(told, k - 1)["i"] != x["i"]))
+            return F.filter(told, lambda x, k: (k == 0) | (F.substring(F.get(told, k - 1), 1, 2) != F.substring(x, 1, 2)))
 
-        return F.transform(_named(F.array_sort(F.transform(outside, dealt)), firsts),
-                           lambda x: F.struct(x["i"].alias("i"), digest(x["t"]).alias("entry")))
+        return F.map_from_entries(F.transform(
+            _named(F.sort_array(F.transform(outside, dealt)), firsts), lambda x: F.struct(F.substring(x, 1, 2).alias("code"), digest(x.substr(F.lit(36), F.length(x))).alias("entry"))))
 
     def hashed(told: Column, firsts: Column) -> Column:
         def entry(kept: Column, other: Column) -> Column:
@@ -90,7 +92,8 @@ def entries(text: Column, words: list[str], common: list[str]) -> Column:
             return F.filter(terms_, lambda x: F.getbit(x.m, i) == 1)
 
         def subset(terms_: Column, i: Column) -> Column:
-            other = F.coalesce(F.get(F.filter(firsts, lambda x: x["i"] == i), F.lit(0))["entry"], F.lit("...."))
+            code = F.concat(F.floor(i / 16).cast("string"), F.lower(F.hex(i % 16)))
+            other = F.coalesce(F.try_element_at(firsts, code), F.lit("...."))
             one = _named(with_bit(terms_, i), lambda some: F.struct(some.alias("some"), entry(some, other).alias("one")))
             return _named(one, lambda o: F.struct(o.one.alias("one"), F.when(F.size(o.some) == 0, F.lit("....")).otherwise(
                 _named(with_bit(o.some, i + 1), lambda kept: entry(kept, F.lit("....")))).alias("two")))
@@ -100,7 +103,7 @@ def entries(text: Column, words: list[str], common: list[str]) -> Column:
                                                F.slice(F.transform(x, lambda b: b.two), 1, SUBSETS - 32)))
 
     def split(told: Column) -> Column:
-        inside = F.transform(F.array_sort(F.transform(F.filter(told, lambda x: x["w"]), lambda x: x["t"])),
+        inside = F.transform(F.sort_array(F.transform(F.filter(told, lambda x: x["w"]), lambda x: x["t"])),
                              lambda t: F.struct(t.alias("t"), zero_bits(t).alias("m")))
         outside = F.transform(F.filter(told, lambda x: ~x["w"]), lambda x: x["t"])
         return _named(F.struct(inside.alias("inside"), outside_firsts(outside).alias("firsts")),
