@@ -37,6 +37,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512):
             yield part, part.column(column).cast(pa.binary()).to_pylist()
 
 
-def word_counts(train: DataFrame, endings: int, flush: int = 200_000) -> DataFrame:
+def word_counts(train: DataFrame, endings: int, flush: int = 400_000) -> DataFrame:
     """What the choice of common words needs of all rows of ``train`` (column ``text``):
     ``word``, ``c`` of words that a task meets twice or more among ``flush`` distinct ones,
     and (``word`` null) ``e``, ``c``: all tokens by ending class. Common words come from
@@ -78,11 +79,11 @@ def word_counts(train: DataFrame, endings: int, flush: int = 200_000) -> DataFra
                 names=["word", "e", "c"])
 
         def ended():
-            for w, c in seen.items():
-                classes[ending_class(w, endings)] += c
+            at = [end_of[w[-3:]] for w in seen]
+            classes[:] += np.bincount(at, np.fromiter(seen.values(), np.int64, len(seen)), endings).astype(np.int64)
 
         seen: Counter = Counter()
-        classes = np.zeros(endings, np.int64)
+        classes, end_of = np.zeros(endings, np.int64), Endings(endings)
         for _, texts in _texts(batches, 0):
             for t in texts:
                 seen.update(tokens(t))
@@ -117,6 +118,20 @@ def ending_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-3:]) % classes
 
 
+class Endings(dict):
+    """Ending classes by a word's last three bytes, remembered up to a million of them."""
+
+    def __init__(self, classes: int):
+        super().__init__()
+        self.classes = classes
+
+    def __missing__(self, tail: bytes) -> int:
+        found = ending_class(tail, self.classes)
+        if len(self) < 1_000_000:
+            self[tail] = found
+        return found
+
+
 @dataclass
 class Vocabulary:
     """The common words and the class of each; every class's weight in the corpus."""
@@ -190,19 +205,19 @@ def sequences(rows: DataFrame, shared, key: str, endings: int) -> DataFrame:
         if key not in _codes:
             _codes.clear()  # of an earlier corpus
             _codes[key] = v.codes()
-        code = _codes[key].get
+        code, end_of = _codes[key].get, Endings(endings)
         for part, texts in _texts(batches, 3):
             n, codes, rare, groups = [], [], [], []
             for t in texts:
                 ws = tokens(t)
-                at = np.array([code(w, -1) for w in ws], np.int32)
+                at = np.fromiter(map(code, ws, repeat(-1)), np.int32, len(ws))
                 some: dict[bytes, int] = {}
                 miss = np.flatnonzero(at < 0)
                 at[miss] = [-1 - some.setdefault(ws[k], len(some)) for k in miss.tolist()]
                 n.append(len(ws))
                 codes.append(packed(at))
                 rare.append(b" ".join(some))
-                groups.append(np.array([v.own + ending_class(w, endings) for w in some], "<i2").tobytes())
+                groups.append(np.array([v.own + end_of[w[-3:]] for w in some], "<i2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(codes, pa.binary()),
                  pa.array(rare, pa.binary()), pa.array(groups, pa.binary()), part.column(4)],
@@ -393,7 +408,7 @@ PARTS = 1024
 
 
 def word_state_counts(train: DataFrame, shared, model: Model, stretch: int = 512,
-                      batch_tokens: int = 200_000, flush: int = 200_000) -> DataFrame:
+                      batch_tokens: int = 200_000, flush: int = 600_000) -> DataFrame:
     """``word`` (null for common words), ``code`` (null for others), ``n`` and the
     expected counts ``s0``, ... of the states in 1/1024, over all rows of ``train``
     (columns ``codes``, ``rare``, ``rare_groups``). A task sums up to ``flush`` rare words
@@ -491,11 +506,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     met, sums = np.zeros(len(words.words)), np.zeros((len(words.words), states))
     met[found["code"]], sums[found["code"]] = found["n"], found[names] / PARTS
     common = masses(met, sums, of_class[words.group], lean)
-    numbers_of = np.dtype([("n", "<i8"), ("share", "<f2", (states,))])  # what a rare word's row holds
+    numbers_of = np.dtype([("n", "<u4"), ("share", "<f2", (states,))])  # what a rare word's row holds
 
     def rare_numbers(b):
         """Counts and shares of the states, as they are kept."""
-        ends = np.array([ending_class(w, endings) for w in b.column(0).to_pylist()], np.int64)
+        end_of = Endings(endings)
+        ends = np.array([end_of[w[-3:]] for w in b.column(0).to_pylist()], np.int64)
         n = b.column(1).to_numpy()
         mass = masses(n, np.stack([b.column(2 + k).to_numpy() / PARTS for k in range(states)], 1), of_class[own + ends], lean)
         numbers = np.empty(len(n), numbers_of)
@@ -527,11 +543,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
 
     def likelihoods(batches):
         m, emit, unseen, common_n, total = fitted.value
-        for rows, codes in _grouped(batches, _codes_in(3), batch_tokens):
+        for rows, codes in _grouped(batches, _codes_in(3), 4 * batch_tokens):  # long texts are few: many side by side
             ids, more, more_n, size = [], [], [], len(emit)
             for (b, k), c in zip(rows, codes, strict=True):
                 some = rare_words(b.column(4)[k].as_py())
-                mass = unseen[np.array([ending_class(w, endings) for w in some], np.int64)]
+                mass = unseen[np.frombuffer(b.column(6)[k].as_py(), "<i2") - own]
                 seen = np.zeros(len(some))
                 hits = b.column(5)[k].values
                 if hits is not None and len(hits):
@@ -563,7 +579,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         "row", F.posexplode(F.split(F.col("rare").cast("string"), " ")).alias("at", "word"))
     hits = (asked.withColumn("word", F.col("word").cast("binary")).join(rare, "word")
             .groupBy("row").agg(F.collect_list(F.struct("at", "numbers")).alias("hits")))  # a document's words
-    scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare", "hits")
+    scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare", "hits", "rare_groups")
               .mapInArrow(likelihoods, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                                        "count_log double, log double"))
     return scored.select(
