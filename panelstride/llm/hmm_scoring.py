@@ -65,7 +65,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512):
             yield part, part.column(column).cast(pa.binary()).to_pylist()
 
 
-def word_counts(train: DataFrame, endings: int, flush: int = 400_000) -> DataFrame:
+def word_counts(train: DataFrame, endings: int, flush: int = 200_000) -> DataFrame:
     """What the choice of common words needs of all rows of ``train`` (column ``text``):
     ``word``, ``c`` of words that a task meets twice or more among ``flush`` distinct ones,
     and (``word`` null) ``e``, ``c``: all tokens by ending class. Common words come from
@@ -546,8 +546,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         for rows, codes in _grouped(batches, _codes_in(3), 4 * batch_tokens):  # long texts are few: many side by side
             ids, more, more_n, size = [], [], [], len(emit)
             for (b, k), c in zip(rows, codes, strict=True):
-                some = rare_words(b.column(4)[k].as_py())
-                mass = unseen[np.frombuffer(b.column(6)[k].as_py(), "<i2") - own]
+                some = np.frombuffer(b.column(4)[k].as_py(), "<i2")  # the rare words' classes
+                mass = unseen[some - own]
                 seen = np.zeros(len(some))
                 hits = b.column(5)[k].values
                 if hits is not None and len(hits):
@@ -579,7 +579,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         "row", F.posexplode(F.split(F.col("rare").cast("string"), " ")).alias("at", "word"))
     hits = (asked.withColumn("word", F.col("word").cast("binary")).join(rare, "word")
             .groupBy("row").agg(F.collect_list(F.struct("at", "numbers")).alias("hits")))  # a document's words
-    scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare", "hits", "rare_groups")
+    scored = (table.join(hits, "row", "left").select("doc_id", "held_out", "n_tokens", "codes", "rare_groups", "hits")
               .mapInArrow(likelihoods, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                                        "count_log double, log double"))
     return scored.select(
