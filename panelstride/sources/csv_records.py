@@ -61,8 +61,8 @@ def line_functions(lines: DataFrame, sep: str) -> DataFrame:
     pieces, quoted = F.split("value", '"', -1), F.contains(F.col("value"), F.lit('"'))
     first = F.element_at(pieces, 1)
     begin = F.when((first == "") | first.endswith(sep), F.lit(1)).otherwise(F.lit(0))
-    return lines.withColumns({"from_out": quoted & _ends_inside(pieces, begin, sep),
-                              "from_in": ~quoted | _ends_inside(pieces, F.lit(2), sep)})
+    return lines.withColumns({"from_out": F.when(quoted, _ends_inside(pieces, begin, sep)).otherwise(F.lit(False)),
+                              "from_in": F.when(quoted, _ends_inside(pieces, F.lit(2), sep)).otherwise(F.lit(True))})
 
 
 def _composed(df: DataFrame, window) -> DataFrame:

@@ -17,15 +17,15 @@
 from __future__ import annotations
 
 import csv
+import functools
 import io
 import re
 import zipfile
 from collections.abc import Iterator
 from datetime import date, timedelta
-from itertools import islice
 from xml.etree import ElementTree as ET
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,21 +81,22 @@ def ingest_csv(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str
     rule = HEADER_RULES[header_rule]
     names = {h: [rule(c) or f"column_{i}" for i, c in enumerate(next(csv.reader([h], delimiter=sep)))] for h in layouts}
     width = max(map(len, names.values()))
-    known = spark.createDataFrame(list(names.items()), "header string, names array<string>")  # as many as layouts
+    columns = [c for c in dict.fromkeys(c for h in sorted(names) for c in names[h]) if c not in ("source_file", "ticker")]
+    places = {h: {c: [i for i, n in enumerate(names[h]) if n == c] for c in columns} for h in layouts}
+    slots = [(c, k) for c in columns for k in range(max(len(p[c]) for p in places.values()))]
+    known = spark.createDataFrame(  # as many as layouts; where each column's values stand in a record
+        [(h, [p[c][k] if k < len(p[c]) else None for c, k in slots]) for h, p in places.items()], "header string, at array<int>")
     values = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)),
                         {"sep": sep, "escape": '"', "multiLine": "true"})
     rows = (lines.join(headers, "path").join(known, "header")
             .where((F.col("source_row") != F.col("__first")) & (F.trim("value") != ""))
             .withColumn("__v", values)
-            .withColumn("__cells", F.arrays_zip(F.col("names").alias("names"), F.slice(F.array(
-                *[F.col(f"__v.c{i}") for i in range(width)]), 1, F.size("names")).alias("cells"))))
-    columns = list(dict.fromkeys(c for h in sorted(names) for c in names[h]))
+            .withColumn("__cells", F.array(*[F.col(f"__v.c{i}") for i in range(width)])))
 
     def cell(c: str) -> Column:
-        found = F.filter("__cells", lambda x: (x["names"] == c) & x["cells"].isNotNull())
-        return F.get(found, F.lit(0))["cells"].alias(c)
+        return F.coalesce(*[F.get("__cells", F.get("at", F.lit(j))) for j, (x, _) in enumerate(slots) if x == c]).alias(c)
 
-    data = rows.select(*[cell(c) for c in columns if c not in ("source_file", "ticker")], name, "source_block", "source_row")
+    data = rows.select(*map(cell, columns), name, "source_block", "source_row")
     return data.withColumn("ticker", entity_from_filename(F.col("source_file"))), errors
 
 
@@ -106,15 +107,20 @@ def ingest_files(spark: SparkSession, path: str, fmt: str = "xlsx", **options) -
 
 # ------------------------------------------------------------------ workbooks
 
+_C, _V, _T = (f"{{http://schemas.openxmlformats.org/spreadsheetml/2006/main}}{x}" for x in "cvt")
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 _DATE_FMT_IDS = set(range(14, 23)) | {45, 46, 47}
 
 
 def _col_index(ref: str) -> int:
-    letters = re.match(r"[A-Z]+", ref).group(0)
+    return _letters_index(ref.rstrip("0123456789"))
+
+
+@functools.lru_cache(maxsize=1 << 15)  # a sheet has 16,384 columns
+def _letters_index(letters: str) -> int:
     n = 0
-    for ch in letters:
+    for ch in re.match(r"[A-Z]+", letters).group(0):
         n = n * 26 + (ord(ch) - 64)
     return n - 1
 
@@ -141,7 +147,7 @@ def _elements(z: zipfile.ZipFile, name: str, tag: str, parent: str) -> Iterator[
 
 
 def _text_of(el: ET.Element) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+    return "".join([t.text or "" for t in el.iter(_T)])
 
 
 def _date_styles(z: zipfile.ZipFile) -> set[int]:
@@ -171,13 +177,14 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
 
 def _cells(row: ET.Element, shared: list[str], dates: set[int]) -> list[str | None]:
     values: dict[int, str | None] = {}
-    for c in row.findall("m:c", _NS):
-        kind, style = c.get("t"), int(c.get("s", "0"))
-        v = c.find("m:v", _NS)
+    for c in row.findall(_C):
+        kind = c.get("t")
+        if kind == "inlineStr":
+            values[_col_index(c.get("r"))] = _text_of(c)
+            continue
+        v, style = c.find(_V), int(c.get("s", "0"))
         if kind == "s" and v is not None:
             text = shared[int(v.text)]
-        elif kind == "inlineStr":
-            text = _text_of(c)
         elif v is None:
             text = None
         elif kind is None and style in dates:
@@ -219,23 +226,36 @@ WORKBOOK_ROWS = "source_file string, row_number int, cells map<string,string>, e
 SHEET_ROWS = 5000
 
 
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source_file", "row_number", "cells", "error"]
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            name = path.rsplit("/", 1)[-1]
+_WORKBOOK_ARROW = pa.schema([("source_file", pa.string()), ("row_number", pa.int32()),
+                             ("cells", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
+
+
+def _sheet_batch(part: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), f.type) for c, f in zip(zip(*part), _WORKBOOK_ARROW)], schema=_WORKBOOK_ARROW)
+
+
+def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part: list[tuple] = []  # rows of one workbook or of many small ones
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            name = path.as_py().rsplit("/", 1)[-1]
             try:
-                rows = enumerate(iter_xlsx(bytes(content)))
-                while part := [(name, i, cells, None) for i, cells in islice(rows, SHEET_ROWS)]:
-                    yield pd.DataFrame(part, columns=columns)
+                for i, cells in enumerate(iter_xlsx(content.as_py())):
+                    part.append((name, i, list(cells.items()), None))
+                    if len(part) == SHEET_ROWS:
+                        yield _sheet_batch(part)
+                        part = []
             except Exception as e:  # noqa: BLE001 - a bad file becomes an error row (S4)
-                yield pd.DataFrame([(name, -1, None, f"{type(e).__name__}: {e}")], columns=columns)
+                part.append((name, -1, None, f"{type(e).__name__}: {e}"))
+    if part:
+        yield _sheet_batch(part)
 
 
 def decode_workbooks(raw: DataFrame) -> DataFrame:
     """``(path, content)`` -> a row for each sheet row, and one for each file that fails
     (whose rows before the failure count for nothing)."""
-    return raw.select("path", "content").mapInPandas(_decode_batches, WORKBOOK_ROWS)
+    return raw.select("path", "content").mapInArrow(_decode_batches, WORKBOOK_ROWS)
 
 
 def read_workbooks(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
