@@ -55,11 +55,11 @@ def first_available(df: DataFrame, entity: str = "ticker", time: str = "date",
 
 
 def availability(df: DataFrame, entity: str = "ticker", time: str = "date") -> DataFrame:
-    """First date, last date and number of dated rows per entity, earliest first."""
-    return (
-        df.groupBy(entity)
-        .agg(F.min(time).alias("first_available_date"),
-             F.max(time).alias("latest_available_date"),
-             F.count(time).alias("observations"))
-        .orderBy("first_available_date", entity)
-    )
+    """First date, last date and number of dated rows per entity, earliest first.
+
+    The rows of entities are written once: the sort samples its input before it deals it
+    out, and where ``df`` is grouped by entity already, ``df`` would be computed twice."""
+    found = df.groupBy(entity).agg(F.min(time).alias("first_available_date"),
+                                   F.max(time).alias("latest_available_date"),
+                                   F.count(time).alias("observations"))
+    return shared_table(found, "availability").orderBy("first_available_date", entity)

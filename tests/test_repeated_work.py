@@ -44,3 +44,9 @@ def test_moving_averages_of_chunks(panel):
 @pytest.mark.parametrize("windows,size", [((20, 50, 20), 10), ((20, 20), None), ((7, 20), None), ((2, 50), None)])
 def test_chunks_only_where_they_save_work(windows, size):
     assert feat.chunk_size(windows) == size
+
+
+def test_availability_sorts_a_written_table(panel):
+    out = profile.availability(feat.build_gold(panel))
+    assert "Window" not in plan(out)  # the sort's sample would run the windows once more
+    assert [(r[0], r[3]) for r in out.collect()] == [("A", 91), ("B", out.collect()[1][3])]
