@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS, PanelColumns
 from ..functions.numeric import half_even, safe_div
+from ..session import shared_table
 
 COLS = PanelColumns()
 
@@ -76,12 +77,13 @@ def normalised_index(df: DataFrame, entities=None, freq: str = "monthly",
     the filtered rows equals the one in the unfiltered data. Monthly rows (one a month
     for each entity) are finished by one window per entity, which carries the first
     date along; daily rows take the first close and date from a grouped aggregate, so
-    that no window holds an entity's whole history.
+    that no window holds an entity's whole history. For that the daily rows are written
+    once, with all columns they come with.
     """
     chosen = df if entities is None else entity_filter(df, entities, cols.entity)
     chosen = chosen.where(F.col(cols.time).isNotNull())
     if freq.lower() == "daily":
-        rows = chosen.withColumn("plot_date", F.col(cols.time))
+        rows = shared_table(chosen, "daily").withColumn("plot_date", F.col(cols.time))
         base = rows.groupBy(cols.entity).agg(F.min_by(cols.price, "plot_date").alias("__base"),
                                              F.min(cols.time).alias("first_available_date"))
         index = safe_div(F.col(cols.price), F.col("__base")) * F.lit(100.0)

@@ -50,3 +50,12 @@ def test_availability_sorts_a_written_table(panel):
     out = profile.availability(feat.build_gold(panel))
     assert "Window" not in plan(out)  # the sort's sample would run the windows once more
     assert [(r[0], r[3]) for r in out.collect()] == [("A", 91), ("B", out.collect()[1][3])]
+
+
+def test_daily_index_runs_the_windows_once(panel):
+    gold = feat.build_gold(panel)
+    out = reports.normalised_index(gold.select("ticker", "date", "close"), freq="daily")
+    assert "Window" not in plan(out)  # else once for the rows and once for the first closes
+    assert out.count() == gold.count()
+    first = out.where("date = first_available_date").collect()
+    assert [r["normalized_close"] for r in first] == [100.0, 100.0]
