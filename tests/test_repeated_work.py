@@ -59,3 +59,9 @@ def test_daily_index_runs_the_windows_once(panel):
     assert out.count() == gold.count()
     first = out.where("date = first_available_date").collect()
     assert [r["normalized_close"] for r in first] == [100.0, 100.0]
+
+
+@pytest.mark.parametrize("name", ["month_end", "normalised_index_monthly", "performance_summary", "top_performers", "best_performer"])
+def test_month_ends_carry_no_more_than_the_close(spark, name):
+    text = plan(REGISTRY[name].build(spark, "/root/testdata/sf0.001"))
+    assert re.search(r"max\(struct\(date, date#\d+, close, close#\d+\)\)", text)
