@@ -45,12 +45,12 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 
 
 def _sums(rows: DataFrame, beta: Sequence[float]) -> np.ndarray:
-    """Loss, gradient and Gram matrix of all rows (columns ``x0``, ..., ``y``, ``w``)."""
+    """Loss, gradient, Gram matrix and number of all rows (columns ``x0``, ..., ``y``, ``w``)."""
     p = len(beta)
     now = np.array(beta)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 + p + p * p)
+        total = np.zeros(2 + p + p * p)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -60,10 +60,11 @@ def _sums(rows: DataFrame, beta: Sequence[float]) -> np.ndarray:
             prob = 1 / (1 + np.exp(-z))
             total[0] += float(np.sum(w * (np.logaddexp(0, z) - y * z)))
             total[1:1 + p] += x.T @ (w * (prob - y))
-            total[1 + p:] += ((x * (w * prob * (1 - prob))[:, None]).T @ x).ravel()
+            total[1 + p:-1] += ((x * (w * prob * (1 - prob))[:, None]).T @ x).ravel()
+            total[-1] += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["k", "v"])
 
-    out = np.zeros(1 + p + p * p)
+    out = np.zeros(2 + p + p * p)
     for r in rows.mapInArrow(each, "k int, v double").groupBy("k").agg(F.sum("v")).collect():  # features squared
         out[r[0]] = r[1]
     return out
@@ -77,7 +78,6 @@ def fit_newton(df: DataFrame, inputs: Sequence[str], label: str, weight: str | N
                      F.col(label).cast("double").alias("y"),
                      (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w")).na.drop()
     p = len(inputs)
-    n = rows.count()
     ridge = np.array([penalty] * p + [0.0])
     beta, step, best = np.zeros(p + 1), None, np.inf
     gradient, taken = np.zeros(p + 1), 0
@@ -90,9 +90,9 @@ def fit_newton(df: DataFrame, inputs: Sequence[str], label: str, weight: str | N
             continue
         best = value
         gradient = sums[1:2 + p] + ridge * beta
-        if np.abs(gradient).max() <= tol * max(n, 1):
+        if np.abs(gradient).max() <= tol * max(sums[-1], 1):
             break
-        hessian = sums[2 + p:].reshape(p + 1, p + 1) + np.diag(ridge)
+        hessian = sums[2 + p:-1].reshape(p + 1, p + 1) + np.diag(ridge)
         step = -np.array(solve(hessian.tolist(), gradient.tolist()))
         beta = beta + step
     return NewtonFit(float(beta[-1]), tuple(beta[:-1].tolist()), tuple(gradient.tolist()), taken)
