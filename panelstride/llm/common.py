@@ -6,7 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelstride.session import shared_table as written
+from panelstride.session import shared_table
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table on shared storage, in the session's codec."""
+    return shared_table(df, name, codec=None)
 
 
 def text_of(column: str = "text") -> Column:
